@@ -103,9 +103,12 @@ def partition_three_way(
     The second split is not repaired, so validation and holdout may hold keys that
     training lacks.
     """
-    repaired = repair_holdout(
-        stratified_sample(enriched, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=key_columns)
-    )
+    sampled = stratified_sample(enriched, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=key_columns)
+    return split_rest(repair_holdout(sampled), key_columns)
+
+
+def split_rest(repaired: Repaired, key_columns: Sequence[str] | None = None) -> ThreeWay:
+    """Training and validation out of the rows that are not in the holdout."""
     second = stratified_sample(
         repaired.edx, VALIDATION_SHARE, VALIDATION_SEED, key_columns=key_columns
     )

@@ -11,30 +11,40 @@ from starfit.operators.effects import RATING, GridFit
 from starfit.operators.keyed import SMALL_BYTES, attach
 
 
-def lambda_curves(
-    validation: DataFrame,
+def errors_at(
+    rows: DataFrame,
     fitted: GridFit,
-    depths: Sequence[int] | None = None,
+    points: Sequence[tuple[int, float]],
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Columns levels, lambda, rmse: the error of the model cut after 1, 2, ... levels."""
-    depths = list(depths or [len(fitted.levels)])
-    columns = dict.fromkeys(key for level in fitted.levels for key in level.keys)
-    rows = attach(validation.select(*columns, RATING), fitted.tables[: max(depths)], small_bytes)
-    names = {
-        f"_e{depth}_{k}": (depth, k) for depth in depths for k in range(len(fitted.grid))
-    }
-    totals = rows.agg(
+    """Columns levels, lambda, rmse for each (number of leading levels, λ), in one pass."""
+    depth = max(levels for levels, _ in points)
+    columns = dict.fromkeys(key for level in fitted.levels[:depth] for key in level.keys)
+    joined = attach(rows.select(*columns, RATING), fitted.tables[:depth], small_bytes)
+    names = {f"_e{i}": (levels, lam) for i, (levels, lam) in enumerate(points)}
+    totals = joined.agg(
         *[
-            F.expr(f"sqrt(avg(power({fitted.residual(depth, k)} - {fitted.mu!r}D, 2))) AS {name}")
-            for name, (depth, k) in names.items()
+            F.expr(f"sqrt(avg(power({_error(fitted, levels, lam)}, 2))) AS {name}")
+            for name, (levels, lam) in names.items()
         ]
     )
-    points = ", ".join(
-        f"named_struct('levels', {depth}, 'lambda', {fitted.grid[k]!r}D, 'rmse', {name})"
-        for name, (depth, k) in names.items()
+    rows_sql = ", ".join(
+        f"named_struct('levels', {levels}, 'lambda', {float(lam)!r}D, 'rmse', {name})"
+        for name, (levels, lam) in names.items()
     )
-    return totals.select(F.expr(f"inline(array({points}))"))
+    return totals.select(F.expr(f"inline(array({rows_sql}))"))
+
+
+def _error(fitted: GridFit, levels: int, lam: float) -> str:
+    return f"{fitted.residual(levels, fitted.grid.index(lam))} - {fitted.mu!r}D"
+
+
+def lambda_curve(
+    validation: DataFrame, fitted: GridFit, small_bytes: int = SMALL_BYTES
+) -> DataFrame:
+    """Columns lambda, rmse of the whole model over the grid."""
+    points = [(len(fitted.levels), lam) for lam in fitted.grid]
+    return errors_at(validation, fitted, points, small_bytes).select("lambda", "rmse")
 
 
 def mark_best(curve: DataFrame) -> DataFrame:
