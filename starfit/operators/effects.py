@@ -166,7 +166,7 @@ def fit_grid(
         table = summed.select(
             *level.keys, level.count, F.expr(f"array({left_over})").alias(_sums(level))
         )
-        written = KeyedTable.write(table, level.keys, f"sums-{level.effect}")
+        written = KeyedTable.write(table, level.keys, f"sums-{level.effect}", array_items=width)
         fitted = GridFit(mu, fitted.levels, fitted.grid, (*fitted.tables, written))
     return fitted
 

@@ -23,7 +23,7 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
 
 
-def _row_bytes(schema: T.StructType) -> Column:
+def _row_bytes(schema: T.StructType, array_items: int | None) -> Column:
     """Width of a row as it is held in memory, from its actual strings and arrays."""
     width = F.lit(16)
     for field in schema.fields:
@@ -31,7 +31,8 @@ def _row_bytes(schema: T.StructType) -> Column:
         if isinstance(field.dataType, T.StringType):
             width = width + 16 + F.coalesce(F.octet_length(column), F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
-            width = width + 24 + F.greatest(F.size(column), F.lit(0)) * 8
+            items = F.greatest(F.size(column), F.lit(0)) if array_items is None else F.lit(array_items)
+            width = width + 24 + items * 8
         else:
             width = width + 8
     return width
@@ -47,15 +48,19 @@ class KeyedTable:
     n_bytes: int
 
     @classmethod
-    def measure(cls, frame: DataFrame, keys: Sequence[str]) -> KeyedTable:
-        row = frame.agg(
-            F.count("*").alias("n"), F.coalesce(F.sum(_row_bytes(frame.schema)), F.lit(0)).alias("b")
-        ).first()
-        return cls(frame, tuple(keys), row.n, int(row.b))
+    def measure(
+        cls, frame: DataFrame, keys: Sequence[str], array_items: int | None = None
+    ) -> KeyedTable:
+        """Size up ``frame``. A known length of its arrays spares reading them."""
+        width = _row_bytes(frame.schema, array_items)
+        row = frame.agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
+        return cls(frame, tuple(keys), row.n, int(row.b or 0))
 
     @classmethod
-    def write(cls, frame: DataFrame, keys: Sequence[str], name: str) -> KeyedTable:
-        return cls.measure(stage(frame, name), keys)
+    def write(
+        cls, frame: DataFrame, keys: Sequence[str], name: str, array_items: int | None = None
+    ) -> KeyedTable:
+        return cls.measure(stage(frame, name), keys, array_items)
 
     @property
     def value_columns(self) -> list[str]:
@@ -117,9 +122,13 @@ def _attach_large(rows: DataFrame, table: KeyedTable, hot: DataFrame) -> DataFra
     right, names = _renamed(table.frame, table.keys)
     hot, _ = _renamed(hot, table.keys)
     values = table.value_columns
+    # Fewer rows than shuffle partitions on either side, since table keys are unique.
+    found = right.join(
+        F.broadcast(hot), same_key([right[n] for n in names], [hot[n] for n in names])
+    ).select(*[right[n] for n in names], *[right[v].alias(f"_hot_{v}") for v in values])
     hot_values = hot.join(
-        right, same_key([hot[n] for n in names], [right[n] for n in names]), "left"
-    ).select(*[hot[n] for n in names], "_parts", *[right[v].alias(f"_hot_{v}") for v in values])
+        F.broadcast(found), same_key([hot[n] for n in names], [found[n] for n in names]), "left"
+    ).select(*[hot[n] for n in names], "_parts", *[f"_hot_{v}" for v in values])
     marked = rows.join(
         F.broadcast(hot_values),
         same_key([rows[k] for k in table.keys], [hot_values[n] for n in names]),

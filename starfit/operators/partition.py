@@ -34,11 +34,12 @@ def enrich(ratings: DataFrame, movies: DataFrame, small_bytes: int = SMALL_BYTES
 
 
 def unseen_keys(rows: DataFrame, key: str) -> KeyedTable:
-    """Keys that occur among the sampled rows only.
+    """Keys that occur among the sampled rows only, with a flag ``_unseen_<key>``.
 
     Far fewer than the keys that occur elsewhere, so this is the side to look up.
     """
-    only_sampled = rows.groupBy(key).agg(F.bool_and(SAMPLED).alias("_unseen")).filter("_unseen")
+    flag = f"_unseen_{key}"
+    only_sampled = rows.groupBy(key).agg(F.bool_and(SAMPLED).alias(flag)).filter(flag)
     return KeyedTable.write(only_sampled, [key], f"unseen-{key}")
 
 
@@ -46,12 +47,10 @@ def known_to_rest(
     rows: DataFrame, keys: Sequence[str], small_bytes: int = SMALL_BYTES
 ) -> DataFrame:
     """The sampled rows, with a flag per key ``known_<key>``: it occurs in an unsampled row."""
-    out = rows.filter(SAMPLED)
-    for key in keys:
-        unseen = unseen_keys(rows, key)
-        out = attach(out, [unseen], small_bytes)
-        out = out.withColumn(f"known_{key}", F.col("_unseen").isNull()).drop("_unseen")
-    return out
+    unseen = [unseen_keys(rows, key) for key in keys]
+    looked_up = attach(rows.filter(SAMPLED), unseen, small_bytes)
+    flags = {f"known_{key}": F.col(f"_unseen_{key}").isNull() for key in keys}
+    return looked_up.withColumns(flags).drop(*[f"_unseen_{key}" for key in keys])
 
 
 @dataclass(frozen=True)

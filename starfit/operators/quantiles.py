@@ -21,7 +21,7 @@ from starfit.sources.staging import stage
 SKETCH_ACCURACY = 10_000
 
 # Groups of up to this many rows or distinct values are sorted by one task each.
-SMALL_GROUP = 1_000_000
+SMALL_GROUP = 200_000
 
 
 def _below(value: Column, bounds: Sequence[Column]) -> Column:
