@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfit.functions import or_zero
-from starfit.operators.keyed import SMALL_BYTES, KeyedTable, attach, grouped_sums
+from starfit.operators.keyed import (
+    ARRAY_BYTES,
+    SMALL_BYTES,
+    KeyedTable,
+    attach,
+    grouped_sums,
+)
 
 RATING = "rating"
 PREDICTION = "pred"
@@ -65,6 +71,27 @@ class EffectsModel:
         )
         return joined.withColumn(PREDICTION, sum((F.col(n) for n in names), F.lit(self.mu)))
 
+    def written(self) -> EffectsModel:
+        """The same model with its tables in files of their own, free of the grid's columns."""
+        tables = [
+            KeyedTable.write(table.frame, table.keys, f"effects-{level.effect}")
+            for level, table in zip(self.levels, self.tables)
+        ]
+        return EffectsModel(self.mu, self.levels, tuple(tables))
+
+    def plus(
+        self, train: DataFrame, level: Level, lam: float, small_bytes: int = SMALL_BYTES
+    ) -> EffectsModel:
+        """This model with one more level, fitted on what the model leaves over."""
+        keys = dict.fromkeys(key for each in (*self.levels, level) for key in each.keys)
+        scored = self.predict(train.select(*keys, RATING), small_bytes)
+        left_over = F.sum(F.col(RATING) - F.col(PREDICTION)) / (F.count("*") + F.lit(float(lam)))
+        table = scored.groupBy(*level.keys).agg(
+            left_over.alias(level.effect), F.count("*").alias(level.count)
+        )
+        written = KeyedTable.write(table, level.keys, f"effects-{level.effect}")
+        return EffectsModel(self.mu, (*self.levels, level), (*self.tables, written))
+
     def save(self, path: str) -> None:
         spark = self.tables[0].frame.sparkSession if self.tables else SparkSession.active()
         spark.createDataFrame([(self.mu,)], "mu double").write.parquet(f"{path}/mu")
@@ -113,10 +140,14 @@ class GridFit:
     def at(self, lam: float) -> EffectsModel:
         """The model at one λ of the grid. Nothing is fitted again."""
         k = self.grid.index(lam)
-        tables = [
-            table.with_values(F.expr(self.effect(i, k)).alias(level.effect), F.col(level.count))
-            for i, (level, table) in enumerate(zip(self.levels, self.tables))
-        ]
+        tables = []
+        for i, (level, table) in enumerate(zip(self.levels, self.tables)):
+            width = 1 if i == 0 else len(self.grid)
+            effect = F.expr(self.effect(i, k)).alias(level.effect)
+            array_less_double = ARRAY_BYTES + 8 * (width - 1)
+            tables.append(
+                table.with_values(effect, F.col(level.count), saved_per_row=array_less_double)
+            )
         return EffectsModel(self.mu, self.levels, tuple(tables))
 
 

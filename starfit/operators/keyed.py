@@ -15,6 +15,8 @@ from starfit.sources.staging import stage
 # A table is broadcast, and a set of group buffers is held per task, up to this size.
 SMALL_BYTES = 64 * 1024 * 1024
 
+ARRAY_BYTES = 24
+
 _SALT = "_salt"
 
 
@@ -32,7 +34,7 @@ def _row_bytes(schema: T.StructType, array_items: int | None) -> Column:
             width = width + 16 + F.coalesce(F.octet_length(column), F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
             items = F.greatest(F.size(column), F.lit(0)) if array_items is None else F.lit(array_items)
-            width = width + 24 + items * 8
+            width = width + ARRAY_BYTES + items * 8
         else:
             width = width + 8
     return width
@@ -69,10 +71,10 @@ class KeyedTable:
     def fits(self, small_bytes: int = SMALL_BYTES) -> bool:
         return self.n_bytes <= small_bytes
 
-    def with_values(self, *values: Column) -> KeyedTable:
-        """Same keys with other values worked out from the row, at most as wide."""
+    def with_values(self, *values: Column, saved_per_row: int = 0) -> KeyedTable:
+        """Same keys with other values worked out from the row, narrower by so many bytes."""
         frame = self.frame.select(*self.keys, *values)
-        return KeyedTable(frame, self.keys, self.n_rows, self.n_bytes)
+        return KeyedTable(frame, self.keys, self.n_rows, self.n_bytes - self.n_rows * saved_per_row)
 
 
 def require_unique(frame: DataFrame, keys: Sequence[str]) -> None:

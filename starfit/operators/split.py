@@ -74,35 +74,34 @@ def find_cutoffs(rows: DataFrame, quota: Column, few_rows: int = FEW_ROWS) -> li
     """
     rows = rows.select(STRATUM, _HASH)
     digits = _DIGITS
-    prefix = F.substring(_HASH, 1, digits).alias("_prefix")
-    edges = _edges(rows.groupBy(STRATUM, prefix).agg(F.count("*").alias("_n")), "_prefix", quota)
+    prefix = F.substring(_HASH, 1, digits)
+    edges = _edges(_counted(rows, prefix.alias("_prefix")), "_prefix", quota)
     sizes = {e[STRATUM]: (e["n"], e["_quota"]) for e in edges}
     while True:
         # Literals from here on: there is one edge per stratum, and few strata.
-        on_edge = F.lit(False)
-        left = F.lit(None).cast("bigint")
-        for e in edges:
-            here = F.col(STRATUM) == e[STRATUM]
-            on_edge = on_edge | (here & F.col(_HASH).startswith(e["_prefix"]))
-            left = F.when(here, e["_left"]).otherwise(left)
-        rows = rows.filter(on_edge)
+        left = _by_stratum({e[STRATUM]: e["_left"] for e in edges}, "bigint")
+        rows = rows.filter(prefix == _by_stratum({e[STRATUM]: e["_prefix"] for e in edges}, "string"))
         if digits >= _MAX_DIGITS or all(e["_n"] <= few_rows for e in edges):
             break
         digits += _DIGITS
-        prefix = F.substring(_HASH, 1, digits).alias("_prefix")
-        edges = _edges(rows.groupBy(STRATUM, prefix).agg(F.count("*").alias("_n")), "_prefix", left)
-    hashes = rows.groupBy(STRATUM, _HASH).agg(F.count("*").alias("_n"))
+        prefix = F.substring(_HASH, 1, digits)
+        edges = _edges(_counted(rows, prefix.alias("_prefix")), "_prefix", left)
     return [
         Cutoff(e[STRATUM], *sizes[e[STRATUM]], e[_HASH], taken_at_last=e["_left"], rows_at_last=e["_n"])
-        for e in _edges(hashes, _HASH, left)
+        for e in _edges(_counted(rows, F.col(_HASH)), _HASH, left)
     ]
 
 
-def _per_stratum(cutoffs: Sequence[Cutoff], test) -> Column:
-    hit = F.lit(False)
-    for c in cutoffs:
-        hit = hit | ((F.col(STRATUM) == c.stratum) & test(c))
-    return hit
+def _counted(rows: DataFrame, by: Column) -> DataFrame:
+    return rows.groupBy(STRATUM, by).agg(F.count("*").alias("_n"))
+
+
+def _by_stratum(values: dict[int, object], type_name: str) -> Column:
+    """The value of a row's stratum. One comparison with it reads the row's hash once."""
+    out = F.lit(None).cast(type_name)
+    for stratum, value in values.items():
+        out = F.when(F.col(STRATUM) == stratum, F.lit(value)).otherwise(out)
+    return out
 
 
 def stratified_sample(
@@ -129,18 +128,18 @@ def sample_within(rows: DataFrame, quota: Column, hash_value: Column) -> DataFra
     """As ``stratified_sample``, for rows that have a stratum, with any quota and hash."""
     hashed = rows.withColumn(_HASH, hash_value)
     cutoffs = find_cutoffs(hashed, quota)
-    taken = _per_stratum(cutoffs, lambda c: F.col(_HASH) <= c.last_hash)
+    last = _by_stratum({c.stratum: c.last_hash for c in cutoffs}, "string")
+    taken = F.coalesce(F.col(_HASH) <= last, F.lit(False))
     split = [c for c in cutoffs if c.taken_at_last < c.rows_at_last]
     if not split:
         return hashed.withColumn(SAMPLED, taken).drop(_HASH)
 
     # Copies of a row straddle the edge. Number them once, and sample among them by number.
-    on_edge = _per_stratum(split, lambda c: F.col(_HASH) == c.last_hash)
+    edge = _by_stratum({c.stratum: c.last_hash for c in split}, "string")
+    on_edge = F.coalesce(F.col(_HASH) == edge, F.lit(False))
     clear = hashed.filter(~on_edge).withColumn(SAMPLED, taken).drop(_HASH)
     copies = hashed.filter(on_edge).withColumn("_copy", F.monotonically_increasing_id())
     copies = stage(copies.drop(_HASH), "edge-copies")
-    places = F.lit(None).cast("bigint")
-    for c in split:
-        places = F.when(F.col(STRATUM) == c.stratum, c.taken_at_last).otherwise(places)
+    places = _by_stratum({c.stratum: c.taken_at_last for c in split}, "bigint")
     chosen = sample_within(copies, places, row_hash("copy", ["_copy"]))
     return clear.unionByName(chosen.drop("_copy"))

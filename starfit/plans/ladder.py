@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 
 from starfit.functions import lambda_grid
 from starfit.operators.diagnostics import effect_spread, gain_over, rmse_of
-from starfit.operators.effects import GENRE, MOVIE, USER, EffectsModel, GridFit, fit_effects, fit_grid
+from starfit.operators.effects import (
+    GENRE,
+    MOVIE,
+    USER,
+    USER_GENRE,
+    EffectsModel,
+    GridFit,
+    fit_effects,
+    fit_grid,
+)
 from starfit.operators.sweep import best_lambda, errors_at, mark_best
 from starfit.sources.staging import stage
 
@@ -65,7 +74,16 @@ class Ladder:
     @cached_property
     def final(self) -> EffectsModel:
         """The three-level model at its best λ, fitted on the same training rows."""
-        return self.fitted.at(self.best(3).first()["lambda"])
+        return self.fitted.at(self.best_lambda).written()
+
+    @cached_property
+    def best_lambda(self) -> float:
+        return self.best(3).first()["lambda"]
+
+    @cached_property
+    def with_user_genre(self) -> EffectsModel:
+        """The final model with an effect per user and genres on top, at the same λ."""
+        return self.final.plus(self.train, USER_GENRE, self.best_lambda)
 
     @cached_property
     def regularized(self) -> EffectsModel:
@@ -139,8 +157,7 @@ class Ladder:
 
     def importance(self) -> DataFrame:
         """Per effect of the final model its spread, and the error saved by adding it."""
-        lam = self.best(3).first()["lambda"]
-        points = [(depth, lam) for depth in range(len(LEVELS) + 1)]
+        points = [(depth, self.best_lambda) for depth in range(len(LEVELS) + 1)]
         by_depth = stage(errors_at(self.validation, self.fitted, points), "errors-by-depth")
         gains = [
             F.struct(

@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfit.operators import diagnostics, effects, explore
-from starfit.operators.effects import (
-    GENRE,
-    MOVIE,
-    USER,
-    USER_GENRE,
-    EffectsModel,
-    fit_effects,
-)
+from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, EffectsModel
 from starfit.operators.partition import known_to_rest
 from starfit.operators.recommend import recommend
 from starfit.plans.ladder import LEVELS
@@ -539,19 +532,14 @@ def eda_extremes_by_support(w: Workbench) -> DataFrame:
 # ---- Genre-specific user effects and recommendations
 
 
-def _user_genre_model(w: Workbench) -> EffectsModel:
-    lam = w.ladder.best(3).first()["lambda"]
-    return fit_effects(w.dense.train, [*LEVELS, USER_GENRE], lam)
-
-
 @query
 def fit_user_genre(w: Workbench) -> DataFrame:
-    return _effects(_user_genre_model(w), USER_GENRE)
+    return _effects(w.ladder.with_user_genre, USER_GENRE)
 
 
 @query
 def rmse_user_genre(w: Workbench) -> DataFrame:
-    return _rmse(w.dense.validation, _user_genre_model(w))
+    return _rmse(w.dense.validation, w.ladder.with_user_genre)
 
 
 @query

@@ -44,3 +44,16 @@ def mini_validation(spark):
         (9, 10, 4.0, "Drama"),  # unseen user
     ]
     return spark.createDataFrame(rows, "userId int, movieId int, rating double, genres string")
+
+
+@pytest.fixture()
+def no_auto_broadcast(spark):
+    """Only hinted tables are broadcast, so joins called large are shuffled for real."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    spark.conf.set(adaptive, "-1")
+    yield
+    spark.conf.set(key, before)
+    spark.conf.unset(adaptive)

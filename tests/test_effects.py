@@ -29,7 +29,9 @@ COUNTS = {"n_i": {10: 3, 20: 2, 30: 1}, "n_u": {1: 2, 2: 2, 3: 2}, "n_g": {"Come
 
 @pytest.mark.parametrize("small_bytes", [64 << 20, 0], ids=["broadcast", "shuffled"])
 @pytest.mark.parametrize("lam", [0.0, 1.0])
-def test_golden_effects_and_predictions(mini_train, mini_validation, lam, small_bytes):
+def test_golden_effects_and_predictions(
+    mini_train, mini_validation, lam, small_bytes, no_auto_broadcast
+):
     model = fit_effects(mini_train, LEVELS, lam, small_bytes)
     assert model.mu == pytest.approx(20 / 6)
     for level in LEVELS:
@@ -48,7 +50,9 @@ def test_golden_effects_and_predictions(mini_train, mini_validation, lam, small_
 
 
 @pytest.mark.parametrize("small_bytes", [64 << 20, 0], ids=["broadcast", "shuffled"])
-def test_sweep_equals_one_fit_per_lambda(mini_train, mini_validation, small_bytes):
+def test_sweep_equals_one_fit_per_lambda(
+    mini_train, mini_validation, small_bytes, no_auto_broadcast
+):
     grid = lambda_grid()
     fitted = fit_grid(mini_train, LEVELS, grid, small_bytes)
     curve = {r["lambda"]: r.rmse for r in lambda_curve(mini_validation, fitted, small_bytes).collect()}
@@ -111,3 +115,17 @@ def test_saved_model_predicts_the_same(spark, tmp_path, mini_train, mini_validat
 
 def test_rmse_of_exact_predictions_is_zero(mini_train):
     assert mini_train.agg(rmse(F.col("rating"), F.col("rating")).alias("e")).first().e == 0.0
+
+
+def test_added_level_equals_fitting_it_in_order(mini_train):
+    whole = fit_effects(mini_train, LEVELS, 1.0)
+    grown = fit_effects(mini_train, [MOVIE, USER], 1.0).plus(mini_train, GENRE, 1.0)
+    as_dict = lambda m: {r.genres: (round(r.b_g, 12), r.n_g) for r in m.effects(GENRE).collect()}
+    assert as_dict(whole) == as_dict(grown)
+
+
+def test_narrowed_tables_know_their_size(mini_train):
+    fitted = fit_grid(mini_train, LEVELS, lambda_grid())
+    lazy, written = fitted.at(1.0), fitted.at(1.0).written()
+    assert [t.n_bytes for t in lazy.tables] == [t.n_bytes for t in written.tables]
+    assert all(t.n_bytes < 200 * t.n_rows for t in written.tables)

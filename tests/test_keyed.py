@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def test_hot_keys_are_few_and_found(skewed):
     assert 1 in hot and len(hot) < 4
 
 
-def test_shuffled_lookup_equals_broadcast(spark, skewed, table):
+def test_shuffled_lookup_equals_broadcast(skewed, table, no_auto_broadcast):
     keyed = KeyedTable.write(table, ["k"], "t")
     small = attach(skewed, [keyed]).orderBy("v").collect()
     large = attach(skewed, [keyed], small_bytes=0).orderBy("v").collect()
@@ -40,10 +42,15 @@ def test_shuffled_lookup_equals_broadcast(spark, skewed, table):
     assert sum(r.name is None for r in small) == sum(r.k == 7 or (r.k or 0) >= 400 for r in small)
 
 
-def test_hot_rows_leave_the_shuffled_join_by_salt(skewed, table):
+def test_hot_rows_are_spread_over_the_shuffle(spark, skewed, table, no_auto_broadcast):
+    """The shuffle is on key and salt, and the salt of a hot key takes several values."""
     keyed = KeyedTable.write(table, ["k"], "t")
-    plan = attach(skewed, [keyed], small_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert "(_salt" in plan and "pmod(hash(" in plan
+    joined = attach(skewed, [keyed], small_bytes=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\([^\n]*_salt#\d+, \d+\)", plan)
+    assert "SortMergeJoin" in plan
+    hot = hot_keys(skewed, ["k"]).filter("k = 1").first()
+    assert hot._parts >= 2
 
 
 def test_measured_size(table):
@@ -59,6 +66,13 @@ def test_duplicate_keys_are_refused(table):
         require_unique(table.unionByName(table.filter("k = 1")), ["k"])
 
 
+def test_large_lookups_in_a_row(skewed, table, no_auto_broadcast):
+    one = KeyedTable.write(table.select("k", "name"), ["k"], "one")
+    two = KeyedTable.write(table.select("k", "weight"), ["k"], "two")
+    small = attach(skewed, [one, two]).orderBy("v").collect()
+    assert attach(skewed, [one, two], small_bytes=0).orderBy("v").collect() == small
+
+
 def test_wide_sums_agree_however_they_are_shuffled(skewed):
     sums = {"n": "1", "a": "v", "b": "v * 2", "c": "cast(v as double) / 2"}
     early = grouped_sums(skewed, ["k"], sums, group_bytes=0)
