@@ -54,8 +54,8 @@ temp AS (SELECT * EXCLUDE (stratum, sampled) FROM first_split WHERE sampled),
 known_movies AS (SELECT * FROM temp t WHERE EXISTS (SELECT 1 FROM rest r WHERE r.movieId IS NOT DISTINCT FROM t.movieId)),
 holdout AS (SELECT * FROM known_movies t WHERE EXISTS (SELECT 1 FROM rest r WHERE r.userId IS NOT DISTINCT FROM t.userId)),
 removed AS (SELECT t.* FROM temp t ANTI JOIN holdout h ON {six}),
-edx AS (SELECT * FROM rest UNION ALL SELECT * FROM removed),
-{_split("second_split", "edx", "2", "0.2")},
+development AS (SELECT * FROM rest UNION ALL SELECT * FROM removed),
+{_split("second_split", "development", "2", "0.2")},
 validation AS (SELECT * EXCLUDE (stratum, sampled) FROM second_split WHERE sampled),
 train AS (SELECT * EXCLUDE (stratum, sampled) FROM second_split WHERE NOT sampled)"""
 
@@ -190,7 +190,7 @@ FROM first_split GROUP BY stratum"""
     out["semi_known_movies"] = SPARSE + f"SELECT {ROW} FROM known_movies"
     out["semi_known_users"] = SPARSE + f"SELECT {ROW} FROM holdout"
     out["anti_removed"] = SPARSE + f"SELECT {ROW} FROM removed"
-    out["edx_repaired"] = SPARSE + f"SELECT {ROW} FROM edx"
+    out["edx_repaired"] = SPARSE + f"SELECT {ROW} FROM development"
     out["holdout_repaired"] = SPARSE + f"SELECT {ROW} FROM holdout"
     out["partition_sizes"] = SPARSE + """
 SELECT 'train' AS part, count(*) AS n FROM train UNION ALL SELECT 'validation', count(*) FROM validation
@@ -316,35 +316,35 @@ UNION ALL SELECT 'b_g', count(*), {_r('stddev_samp(b_g)', 'sd')}, {_r('min(b_g)'
     profile = " UNION ALL ".join(
         f"""SELECT CAST({i} AS BIGINT) AS ordinal, '{c}' AS column_name, '{t}' AS type,
   (SELECT string_agg(coalesce(CAST("{c}" AS VARCHAR), 'NA'), ', ' ORDER BY k) FROM first_rows) AS first_values,
-  (SELECT count(*) FROM edx) AS n_rows, CAST(6 AS BIGINT) AS n_columns"""
+  (SELECT count(*) FROM development) AS n_rows, CAST(6 AS BIGINT) AS n_columns"""
         for i, (c, t) in enumerate(columns, 1)
     )
     out["profile_table"] = DENSE.rstrip() + f""",
-first_rows AS (SELECT *, row_number() OVER (ORDER BY userId, movieId, "timestamp", rating) AS k FROM edx
+first_rows AS (SELECT *, row_number() OVER (ORDER BY userId, movieId, "timestamp", rating) AS k FROM development
   ORDER BY userId, movieId, "timestamp", rating LIMIT 5)
 {profile}"""
     out["count_rating_eq"] = DENSE + """
-SELECT CAST(0 AS DOUBLE) AS value, count(*) FILTER (WHERE rating = 0) AS n FROM edx
-UNION ALL SELECT 3, count(*) FILTER (WHERE rating = 3) FROM edx"""
-    out["distinct_movies"] = DENSE + "SELECT count(*) AS n_movies FROM (SELECT DISTINCT movieId FROM edx)"
-    out["distinct_users"] = DENSE + "SELECT count(*) AS n_users FROM (SELECT DISTINCT userId FROM edx)"
+SELECT CAST(0 AS DOUBLE) AS value, count(*) FILTER (WHERE rating = 0) AS n FROM development
+UNION ALL SELECT 3, count(*) FILTER (WHERE rating = 3) FROM development"""
+    out["distinct_movies"] = DENSE + "SELECT count(*) AS n_movies FROM (SELECT DISTINCT movieId FROM development)"
+    out["distinct_users"] = DENSE + "SELECT count(*) AS n_users FROM (SELECT DISTINCT userId FROM development)"
     words = ("PROMO", "LARGE", "SMALL", "ECONOMY")
     out["genre_membership_counts"] = DENSE + "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE regexp_matches(genres, '{w}')) AS \"{w}\"" for w in words
-    ) + " FROM edx"
-    out["ratings_per_title"] = DENSE + "SELECT title, count(*) AS number_of_ratings FROM edx GROUP BY title"
+    ) + " FROM development"
+    out["ratings_per_title"] = DENSE + "SELECT title, count(*) AS number_of_ratings FROM development GROUP BY title"
     out["most_rated_title"] = DENSE + """
-SELECT title, count(*) AS number_of_ratings FROM edx GROUP BY title ORDER BY 2 DESC, title NULLS FIRST LIMIT 1"""
+SELECT title, count(*) AS number_of_ratings FROM development GROUP BY title ORDER BY 2 DESC, title NULLS FIRST LIMIT 1"""
     out["top5_ratings"] = DENSE + """
-SELECT rating, count(*) AS "count" FROM edx GROUP BY rating ORDER BY 2 DESC, rating LIMIT 5"""
-    out["eda_rating_distribution"] = DENSE + "SELECT rating, count(*) AS n FROM edx GROUP BY rating"
+SELECT rating, count(*) AS "count" FROM development GROUP BY rating ORDER BY 2 DESC, rating LIMIT 5"""
+    out["eda_rating_distribution"] = DENSE + "SELECT rating, count(*) AS n FROM development GROUP BY rating"
     out["eda_rating_moments"] = DENSE + f"""
-SELECT count(*) AS n, {_r('avg(rating)', 'mean_rating')}, {_r('var_samp(rating)', 'variance')} FROM edx"""
+SELECT count(*) AS n, {_r('avg(rating)', 'mean_rating')}, {_r('var_samp(rating)', 'variance')} FROM development"""
     for name, key in (("eda_movie_popularity", "movieId"), ("eda_user_patterns", "userId"), ("eda_genre_ratings", "genres")):
         out[name] = DENSE + f"""
 SELECT {key}, count(*) AS n, {_r('avg(rating)', 'mean_rating')}, {_r('stddev_samp(rating)', 'sd_rating')}
-FROM edx GROUP BY {key}"""
-    per_movie = "(SELECT movieId, count(*) AS n, avg(rating) AS mean_rating FROM edx GROUP BY movieId)"
+FROM development GROUP BY {key}"""
+    per_movie = "(SELECT movieId, count(*) AS n, avg(rating) AS mean_rating FROM development GROUP BY movieId)"
     out["eda_popularity_correlation"] = DENSE + f"""
 SELECT count(*) AS n_movies, {_r('corr(n, mean_rating)', 'corr')} FROM {per_movie}"""
     per_sparse = f"""(SELECT *, CAST((CASE WHEN n >= 100 THEN 100 WHEN n >= 50 THEN 50 WHEN n >= 20 THEN 20
@@ -369,14 +369,14 @@ SELECT {_r('sqrt(avg((rating - pred - coalesce(b_ug, 0)) ^ 2))', 'rmse')}
 FROM scored_validation v LEFT JOIN final_user_genre x
   ON x.userId IS NOT DISTINCT FROM v.userId AND x.genres IS NOT DISTINCT FROM v.genres"""
     out["recommend_topn"] = FINALS.rstrip() + f""",
-candidates AS (SELECT DISTINCT movieId, genres FROM edx),
+candidates AS (SELECT DISTINCT movieId, genres FROM development),
 movie_scores AS (
   SELECT c.movieId, round(coalesce(b_i, 0) + coalesce(b_g, 0), 9) AS score FROM candidates c
   LEFT JOIN final_movie m ON m.movieId IS NOT DISTINCT FROM c.movieId
   LEFT JOIN final_genre x ON x.genres IS NOT DISTINCT FROM c.genres),
 pairs AS (
-  SELECT u.userId, s.movieId, s.score FROM (SELECT DISTINCT userId FROM edx) u CROSS JOIN movie_scores s
-  ANTI JOIN edx e ON e.userId = u.userId AND e.movieId = s.movieId),
+  SELECT u.userId, s.movieId, s.score FROM (SELECT DISTINCT userId FROM development) u CROSS JOIN movie_scores s
+  ANTI JOIN development e ON e.userId = u.userId AND e.movieId = s.movieId),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rank FROM pairs)
 SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + score', 'pred')}
 FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHERE rank <= 5"""

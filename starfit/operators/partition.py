@@ -59,7 +59,7 @@ class Repaired:
 
     holdout: DataFrame
     removed: DataFrame
-    edx: DataFrame
+    development: DataFrame
 
 
 def repair_holdout(
@@ -80,18 +80,28 @@ def repair_holdout(
     return Repaired(
         holdout=checked.filter("_known").select(*columns),
         removed=removed,
-        edx=rows.filter(~F.col(SAMPLED)).select(*columns).unionByName(removed),
+        development=rows.filter(~F.col(SAMPLED)).select(*columns).unionByName(removed),
     )
 
 
 @dataclass(frozen=True)
 class ThreeWay:
-    """Train and validation together are ``edx``."""
+    """Train and validation together are ``development``."""
 
     train: DataFrame
     validation: DataFrame
     holdout: DataFrame
-    edx: DataFrame
+    development: DataFrame
+
+
+def sample_holdout(enriched: DataFrame, key_columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows flagged for the holdout, before the repair.
+
+    Written by flag: the steps that follow scan it several times and mostly want one side
+    and a column or two, which is much less than hashing every row again.
+    """
+    flagged = stratified_sample(enriched, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=key_columns)
+    return stage(flagged, "flagged", partition_by=SAMPLED)
 
 
 def partition_three_way(
@@ -102,22 +112,22 @@ def partition_three_way(
     The second split is not repaired, so validation and holdout may hold keys that
     training lacks.
     """
-    sampled = stratified_sample(enriched, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=key_columns)
-    return split_rest(repair_holdout(sampled), key_columns)
+    key_columns = key_columns or enriched.columns
+    return split_rest(repair_holdout(sample_holdout(enriched, key_columns)), key_columns)
 
 
 def split_rest(repaired: Repaired, key_columns: Sequence[str] | None = None) -> ThreeWay:
     """Training and validation out of the rows that are not in the holdout."""
     second = stratified_sample(
-        repaired.edx, VALIDATION_SHARE, VALIDATION_SEED, key_columns=key_columns
+        repaired.development, VALIDATION_SHARE, VALIDATION_SEED, key_columns=key_columns
     )
     part = F.when(F.col(SAMPLED), VALIDATION).otherwise(TRAIN)
-    edx = stage(
-        second.withColumn(PART, part).drop(SAMPLED, STRATUM), "edx", partition_by=PART
+    development = stage(
+        second.withColumn(PART, part).drop(SAMPLED, STRATUM), "development", partition_by=PART
     )
     return ThreeWay(
-        train=edx.filter(F.col(PART) == TRAIN).drop(PART),
-        validation=edx.filter(F.col(PART) == VALIDATION).drop(PART),
+        train=development.filter(F.col(PART) == TRAIN).drop(PART),
+        validation=development.filter(F.col(PART) == VALIDATION).drop(PART),
         holdout=repaired.holdout,
-        edx=edx.drop(PART),
+        development=development.drop(PART),
     )

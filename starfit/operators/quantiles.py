@@ -17,8 +17,11 @@ from starfit.functions import box_fences
 from starfit.operators.keyed import KeyedTable, attach, same_key
 from starfit.sources.staging import stage
 
-# Rank error of the sketch is at most rows / SKETCH_ACCURACY.
-SKETCH_ACCURACY = 10_000
+# The rank error of the sketch is at most rows / accuracy, and a range that is ordered holds
+# four times as many rows. The accuracy grows with the largest group to keep that in hand.
+MIN_ACCURACY = 10_000
+MAX_ACCURACY = 1_000_000
+ORDERED_ROWS = 200_000
 
 # Groups of up to this many rows or distinct values are sorted by one task each.
 SMALL_GROUP = 200_000
@@ -49,21 +52,26 @@ def group_quantiles(
     largest = copies.agg(F.max("n").alias("n"), F.max("d").alias("d")).first()
     if largest["n"] is None or min(largest["n"], largest["d"]) <= small_group:
         # The built-in aggregate holds one entry per distinct value of a group.
-        found = rows.groupBy(*keys).agg(
-            F.count("*").alias("n"), F.percentile("_v", list(probs)).alias("_p")
+        counts = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_copies"))
+        found = counts.groupBy(*keys).agg(
+            F.sum("_copies").alias("n"),
+            F.percentile("_v", list(probs), F.col("_copies")).alias("_p"),
         )
         return found.select(
             *keys, "n", *[F.get("_p", F.lit(i)).alias(f"p{i}") for i in range(len(probs))]
         )
-    return _ranged_quantiles(rows, keys, probs)
+    accuracy = min(max(4 * largest["n"] // ORDERED_ROWS, MIN_ACCURACY), MAX_ACCURACY)
+    return _ranged_quantiles(rows, keys, probs, accuracy)
 
 
-def _ranged_quantiles(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+def _ranged_quantiles(
+    rows: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int = MIN_ACCURACY
+) -> DataFrame:
     """Quantiles of groups that may be too large for a task."""
-    margin = 2.0 / SKETCH_ACCURACY
+    margin = 2.0 / accuracy
     marks = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     sketch = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_marks")
+        F.count("*").alias("n"), F.percentile_approx("_v", marks, accuracy).alias("_marks")
     )
     sketch = KeyedTable.write(sketch, keys, "quantile-sketch")
     bounds = [F.get("_marks", F.lit(i)) for i in range(len(marks))]

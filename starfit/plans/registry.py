@@ -150,7 +150,7 @@ def anti_removed(w: Workbench) -> DataFrame:
 
 @query
 def edx_repaired(w: Workbench) -> DataFrame:
-    return w.sparse_repaired.edx.select(*ENRICHED_COLUMNS)
+    return w.sparse_repaired.development.select(*ENRICHED_COLUMNS)
 
 
 @query
@@ -455,78 +455,78 @@ def effect_importance(w: Workbench) -> DataFrame:
 @query
 def profile_table(w: Workbench) -> DataFrame:
     return explore.profile(
-        w.dense.edx.select(*ENRICHED_COLUMNS), ["userId", "movieId", "timestamp", "rating"]
+        w.dense.development.select(*ENRICHED_COLUMNS), ["userId", "movieId", "timestamp", "rating"]
     )
 
 
 @query
 def count_rating_eq(w: Workbench) -> DataFrame:
-    return explore.count_equal(w.dense.edx, "rating", [0, 3])
+    return explore.count_equal(w.dense.development, "rating", [0, 3])
 
 
 @query
 def distinct_movies(w: Workbench) -> DataFrame:
-    return explore.distinct_count(w.dense.edx, "movieId", "n_movies")
+    return explore.distinct_count(w.dense.development, "movieId", "n_movies")
 
 
 @query
 def distinct_users(w: Workbench) -> DataFrame:
-    return explore.distinct_count(w.dense.edx, "userId", "n_users")
+    return explore.distinct_count(w.dense.development, "userId", "n_users")
 
 
 @query
 def genre_membership_counts(w: Workbench) -> DataFrame:
-    return explore.word_counts(w.dense.edx, "genres", GENRE_WORDS)
+    return explore.word_counts(w.dense.development, "genres", GENRE_WORDS)
 
 
 @query
 def ratings_per_title(w: Workbench) -> DataFrame:
-    return explore.ratings_per_title(w.dense.edx)
+    return explore.ratings_per_title(w.dense.development)
 
 
 @query
 def most_rated_title(w: Workbench) -> DataFrame:
-    return explore.most_rated_title(w.dense.edx)
+    return explore.most_rated_title(w.dense.development)
 
 
 @query
 def top5_ratings(w: Workbench) -> DataFrame:
-    return explore.top_ratings(w.dense.edx, 5)
+    return explore.top_ratings(w.dense.development, 5)
 
 
 @query
 def eda_rating_distribution(w: Workbench) -> DataFrame:
-    return explore.rating_distribution(w.dense.edx)
+    return explore.rating_distribution(w.dense.development)
 
 
 @query
 def eda_rating_moments(w: Workbench) -> DataFrame:
-    return _tidy(explore.rating_moments(w.dense.edx))
+    return _tidy(explore.rating_moments(w.dense.development))
 
 
 @query
 def eda_movie_popularity(w: Workbench) -> DataFrame:
-    return _tidy(explore.support(w.dense.edx, "movieId"))
+    return _tidy(explore.support(w.dense.development, "movieId"))
 
 
 @query
 def eda_popularity_correlation(w: Workbench) -> DataFrame:
-    return _tidy(explore.popularity_correlation(w.dense.edx))
+    return _tidy(explore.popularity_correlation(w.dense.development))
 
 
 @query
 def eda_user_patterns(w: Workbench) -> DataFrame:
-    return _tidy(explore.support(w.dense.edx, "userId"))
+    return _tidy(explore.support(w.dense.development, "userId"))
 
 
 @query
 def eda_genre_ratings(w: Workbench) -> DataFrame:
-    return _tidy(explore.support(w.dense.edx, "genres"))
+    return _tidy(explore.support(w.dense.development, "genres"))
 
 
 @query
 def eda_extremes_by_support(w: Workbench) -> DataFrame:
-    return _tidy(explore.extremes_by_support(w.sparse_repaired.edx))
+    return _tidy(explore.extremes_by_support(w.sparse_repaired.development))
 
 
 # ---- Genre-specific user effects and recommendations
@@ -544,5 +544,5 @@ def rmse_user_genre(w: Workbench) -> DataFrame:
 
 @query
 def recommend_topn(w: Workbench) -> DataFrame:
-    seen = w.dense.edx.select("userId", "movieId", "genres")
+    seen = w.dense.development.select("userId", "movieId", "genres")
     return _tidy(recommend(seen, w.ladder.final, 5))

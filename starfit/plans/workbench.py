@@ -7,16 +7,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from starfit.operators.partition import (
-    HOLDOUT_SEED,
-    HOLDOUT_SHARE,
     Repaired,
     ThreeWay,
     enrich,
     partition_three_way,
     repair_holdout,
+    sample_holdout,
     split_rest,
 )
-from starfit.operators.split import stratified_sample
 from starfit.plans.ladder import Ladder
 from starfit.sources import testtables
 from starfit.sources.staging import stage
@@ -49,8 +47,7 @@ class Workbench:
 
     @cached_property
     def sparse_sample(self) -> DataFrame:
-        sparse = testtables.sparse_ids(self.enriched)
-        return stratified_sample(sparse, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=KEY)
+        return sample_holdout(testtables.sparse_ids(self.enriched), KEY)
 
     @cached_property
     def sparse_repaired(self) -> Repaired:

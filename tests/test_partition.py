@@ -52,13 +52,13 @@ def test_parts_add_up_to_the_input(bench):
     for part in (parts.train, parts.validation, parts.holdout):
         whole += multiset(part, ["row_key", "movieId"])
     assert whole == multiset(bench.sparse_sample, ["row_key", "movieId"])
-    assert multiset(parts.edx, SIX) == multiset(parts.train, SIX) + multiset(parts.validation, SIX)
+    assert multiset(parts.development, SIX) == multiset(parts.train, SIX) + multiset(parts.validation, SIX)
 
 
 def test_holdout_keys_are_known(bench):
     parts = bench.sparse
     for key in ("movieId", "userId"):
-        unknown = parts.holdout.join(parts.edx, key, "left_anti")
+        unknown = parts.holdout.join(parts.development, key, "left_anti")
         assert unknown.count() == 0
 
 
@@ -127,7 +127,7 @@ def test_repair_on_a_hand_made_sample(spark):
         fixed = repair_holdout(frame, small_bytes=small_bytes)
         assert multiset(fixed.holdout) == Counter([(1, 1), (None, 1)])
         assert multiset(fixed.removed) == Counter([(1, 9), (8, 1), (2, None)])
-        assert fixed.edx.count() == 7
+        assert fixed.development.count() == 7
         flags = known_to_rest(frame, ["movieId"], small_bytes)
         assert flags.filter("known_movieId").count() == 3
 
