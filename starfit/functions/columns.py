@@ -31,8 +31,9 @@ def to_integer(text: Column, as_type: str = "int") -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Number from text; unreadable text gives null."""
-    return text.try_cast("double")
+    """Number from text; unreadable text, and the text NaN, gives null."""
+    number = text.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def or_zero(effect: Column) -> Column:

@@ -6,6 +6,7 @@ With λ = 0 an effect is the plain mean of the residuals.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -94,7 +95,7 @@ class EffectsModel:
 
     def save(self, path: str) -> None:
         spark = self.tables[0].frame.sparkSession if self.tables else SparkSession.active()
-        spark.createDataFrame([(self.mu,)], "mu double").write.parquet(f"{path}/mu")
+        spark.range(1).select(F.lit(self.mu).alias("mu")).write.parquet(f"{path}/mu")
         for level, table in zip(self.levels, self.tables):
             table.frame.write.parquet(f"{path}/{level.effect}")
 
@@ -183,6 +184,8 @@ def fit_grid(
         raise ValueError("every training row needs a rating")
     if facts.n == 0:
         raise ValueError("no training rows")
+    if math.isnan(facts.mu):
+        raise ValueError("a training row's rating is not a number")
     mu = facts.mu
     fitted = GridFit(mu, tuple(levels), tuple(float(v) for v in grid), ())
     for i, level in enumerate(levels):

@@ -50,7 +50,8 @@ class Ladder:
 
     @cached_property
     def fitted(self) -> GridFit:
-        return fit_grid(self.train, LEVELS, self.grid)
+        # The plain models are the ones at λ = 0, which a narrower grid may leave out.
+        return fit_grid(self.train, LEVELS, sorted({0.0, *self.grid}))
 
     @cached_property
     def user_only(self) -> EffectsModel:
@@ -61,15 +62,19 @@ class Ladder:
         """Columns levels, lambda, rmse: the two- and three-level curves, and the plain
         mean and movie models at λ = 0. Written, since everything below reads it."""
         points = [(0, 0.0), (1, 0.0)]
-        points += [(levels, lam) for levels in (2, 3) for lam in self.grid]
+        points += [(levels, lam) for levels in (2, 3) for lam in self.fitted.grid]
         return stage(errors_at(self.validation, self.fitted, points), "errors")
 
+    def _points(self, levels: int) -> DataFrame:
+        on_grid = (F.col("levels") == levels) & F.col("lambda").isin(list(self.grid))
+        return self.errors.filter(on_grid).select("lambda", "rmse")
+
     def curve(self, levels: int) -> DataFrame:
         """The λ curve of the two- or three-level model with its optimum marked."""
-        return mark_best(self.errors.filter(F.col("levels") == levels).select("lambda", "rmse"))
+        return mark_best(self._points(levels))
 
     def best(self, levels: int) -> DataFrame:
-        return best_lambda(self.errors.filter(F.col("levels") == levels).select("lambda", "rmse"))
+        return best_lambda(self._points(levels))
 
     @cached_property
     def final(self) -> EffectsModel:

@@ -5,6 +5,7 @@ from starfit.functions import lambda_grid, rmse
 from starfit.operators.diagnostics import rmse_of
 from starfit.operators.effects import GENRE, MOVIE, USER, EffectsModel, fit_effects, fit_grid
 from starfit.operators.sweep import best_lambda, errors_at, lambda_curve, mark_best
+from starfit.plans.ladder import Ladder
 
 LEVELS = [MOVIE, USER, GENRE]
 
@@ -99,6 +100,20 @@ def test_missing_rating_is_refused(spark, mini_train):
         fit_effects(broken, [MOVIE])
 
 
+def test_rating_that_is_no_number_is_refused(mini_train):
+    broken = mini_train.withColumn("rating", F.when(F.col("userId") == 1, float("nan")).otherwise(F.col("rating")))
+    with pytest.raises(ValueError, match="not a number"):
+        fit_effects(broken, [MOVIE])
+
+
+def test_a_grid_without_zero(mini_train, mini_validation):
+    ladder = Ladder(mini_train, mini_validation, (1.0, 2.0))
+    rows = {r.step: r.rmse for r in ladder.validation_errors().collect()}
+    assert rows[4] == pytest.approx(GOLDEN[0.0]["rmse"][2], abs=1e-6)
+    assert {r["lambda"] for r in ladder.curve(3).collect()} == {1.0, 2.0}
+    assert rows[6] == pytest.approx(min(r.rmse for r in ladder.curve(3).collect()))
+
+
 def test_ties_go_to_the_smaller_lambda(spark):
     curve = spark.createDataFrame([(2.0, 0.5), (1.0, 0.5), (0.0, 0.9)], "lambda double, rmse double")
     assert best_lambda(curve).first()["lambda"] == 1.0

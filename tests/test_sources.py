@@ -14,6 +14,7 @@ RATING_LINES = [
     "6::3.9::2.5::1e3",
     "7::1::4::5::extra",
     "9999999999::1::4::5",
+    "8::1::NaN::5",
 ]
 MOVIE_LINES = [
     '1::"Quoted" One (1995)::Drama|Comedy',
@@ -45,6 +46,7 @@ def test_ratings_and_rejects(spark, written):
         RATING_LINES[4]: "no number in rating",
         RATING_LINES[6]: "too many fields",
         RATING_LINES[7]: "no number in userId",
+        RATING_LINES[8]: "no number in rating",
     }
 
 
