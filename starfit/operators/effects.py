@@ -10,7 +10,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfit.functions import or_zero
@@ -61,13 +61,14 @@ class EffectsModel:
     def predict(self, rows: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
         """Input rows with one effect column per level and the prediction.
 
-        Keys unseen in training have effect 0. Predictions are not clipped to the scale.
+        Columns of an earlier scoring are replaced. Keys unseen in training have effect 0.
+        Predictions are not clipped to the scale.
         """
         tables = [
             t.with_values(level.effect) for t, level in zip(self.tables, self.levels)
         ]
         names = [level.effect for level in self.levels]
-        joined = attach(rows, tables, small_bytes).withColumns(
+        joined = attach(rows.drop(*names, PREDICTION), tables, small_bytes).withColumns(
             {name: or_zero(F.col(name)) for name in names}
         )
         return joined.withColumn(PREDICTION, sum((F.col(n) for n in names), F.lit(self.mu)))

@@ -79,9 +79,10 @@ class KeyedTable:
 
 def require_unique(frame: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key occurs twice: a left join would then multiply rows."""
-    repeated = frame.groupBy(*keys).count().filter("count > 1").select(*keys).first()
-    if repeated is not None:
-        raise ValueError(f"more than one row for {repeated.asDict()}")
+    counts = frame.groupBy(*keys).agg(F.count("*").alias("_n"))
+    most = counts.agg(F.max("_n").alias("n"), F.max_by(F.struct(*keys), "_n").alias("key")).first()
+    if most.n is not None and most.n > 1:
+        raise ValueError(f"{most.n} rows for {most.key.asDict()}")
 
 
 def _shuffle_partitions(frame: DataFrame) -> int:

@@ -28,8 +28,8 @@ VALIDATION = "validation"
 
 def enrich(ratings: DataFrame, movies: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
     """Ratings with title and genres; both null where the movie is not listed."""
-    require_unique(movies, ["movieId"])
     listed = KeyedTable.write(movies.select("movieId", "title", "genres"), ["movieId"], "movies")
+    require_unique(listed.frame, ["movieId"])
     return attach(ratings, [listed], small_bytes)
 
 

@@ -7,7 +7,6 @@ with equal values merged. A poor sketch costs time, never exactness.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

@@ -1,8 +1,8 @@
 """Best unseen movies per user under an additive model.
 
 A user's own effect shifts all their predictions alike, so every user ranks the movies in
-one and the same order and only skips what they have seen. The first n unseen movies lie
-among the first n + (number seen there), which makes pairing users with all movies needless.
+one and the same order and only skips what they have seen. The ranking is served block by
+block until each user has enough, which makes pairing users with all movies needless.
 """
 
 from __future__ import annotations
@@ -11,79 +11,104 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfit.functions import or_zero
-from starfit.operators.effects import GENRE, MOVIE, USER, EffectsModel
+from starfit.operators.effects import GENRE, MOVIE, USER, EffectsModel, Level
 from starfit.operators.keyed import KeyedTable, attach
 from starfit.sources.staging import stage
 
+# A block is the most that is sorted by one task or held per user at a time.
 _GROWTH = 8
+MAX_BLOCK = 500_000
 
 
 def recommend(
-    seen: DataFrame, model: EffectsModel, n: int, first_prefix: int | None = None, digits: int = 9
+    seen: DataFrame,
+    model: EffectsModel,
+    n: int,
+    first_block: int | None = None,
+    max_block: int = MAX_BLOCK,
+    digits: int = 9,
 ) -> DataFrame:
     """userId, rank, movieId and prediction of the n best movies each user has not rated.
 
     ``seen`` has userId, movieId and genres. Scores equal to ``digits`` places tie, and the
-    smaller movie id goes first. Users are served from the head of the ranking; the few who
-    have seen too much of it are tried again with a longer head until none is left.
+    smaller movie id goes first. Nearly all users are served by the first block; the few who
+    have seen too much of it wait for the next ones.
     """
-    movies = seen.select("movieId", "genres").distinct()
-    scored = attach(movies, [_table(model, MOVIE), _table(model, GENRE)])
-    score = F.round(or_zero(F.col("b_i")) + or_zero(F.col("b_g")), digits)
-    scored = stage(scored.select("movieId", score.alias("_score")), "movie-scores")
-    n_movies = scored.count()
-
-    waiting = stage(seen.select("userId").distinct(), "users")
-    served = None
-    prefix = first_prefix or 4 * n
+    scored = _scores(seen, model, digits)
+    waiting = stage(seen.select("userId").distinct().withColumn("_need", F.lit(n)), "users")
+    served: list[DataFrame] = []
+    size = min(first_block or 4 * n, max_block)
     while True:
-        prefix = min(prefix, n_movies)
-        head = scored.orderBy(F.desc("_score"), F.asc_nulls_first("movieId")).limit(prefix)
-        head = head.withColumn(
-            "_place",
-            F.row_number().over(Window.orderBy(F.desc("_score"), F.asc_nulls_first("movieId"))),
-        )
-        head = KeyedTable.write(head, ["movieId"], "ranking-head")
-        rated = seen.select("userId", "movieId")
-        if served is not None:
-            again = waiting.withColumn("_waits", F.lit(True))
-            again = KeyedTable.write(again, ["userId"], "waiting-users")
-            rated = attach(rated, [again]).filter("_waits").drop("_waits")
-        hits = (
-            attach(rated, [head])
-            .filter("_place IS NOT NULL")
-            .select("userId", "_place")
-            .distinct()
-            .groupBy("userId")
-            .agg(F.collect_list("_place").alias("_seen"))  # at most ``prefix`` places
-        )
-        hits = KeyedTable.write(hits, ["userId"], "seen-in-head")
-        free = F.array_except(
-            F.sequence(F.lit(1), F.lit(prefix)), F.coalesce("_seen", F.array().cast("array<int>"))
-        )
-        offered = stage(
-            attach(waiting, [hits]).select("userId", F.slice(free, 1, n).alias("_places")),
-            "offers",
-        )
-        done = offered if prefix == n_movies else offered.filter(F.size("_places") >= n)
-        picks = done.select("userId", F.posexplode("_places").alias("_i", "_place"))
-        by_place = KeyedTable(head.frame, ("_place",), head.n_rows, head.n_bytes)
-        batch = attach(picks, [by_place])
-        served = batch if served is None else served.unionByName(batch)
-        if prefix == n_movies:
+        block = KeyedTable.write(_head(scored, size), ["movieId"], "ranking-block")
+        if block.n_rows == 0:
             break
-        waiting = offered.filter(F.size("_places") < n).select("userId")
-        if waiting.isEmpty():
+        offered = stage(_offer(seen, waiting, block, is_first=not served), "offers")
+        served.append(_picks(offered, block, n))
+        waiting = offered.select("userId", (F.col("_need") - F.size("_places")).alias("_need"))
+        waiting = waiting.filter("_need > 0")
+        if block.n_rows < size or waiting.isEmpty():
             break
-        prefix *= _GROWTH
-    out = attach(served, [_table(model, USER)])
-    return out.select(
-        "userId",
-        (F.col("_i") + 1).cast("bigint").alias("rank"),
-        "movieId",
-        (F.lit(model.mu) + or_zero(F.col("b_u")) + F.col("_score")).alias("pred"),
+        last = block.frame.filter(F.col("_place") == size).first()
+        scored = scored.filter(
+            (F.col("_score") < last["_score"])
+            | ((F.col("_score") == last["_score"]) & (F.col("movieId") > last["movieId"]))
+        )
+        size = min(size * _GROWTH, max_block)
+    if not served:
+        raise ValueError("no movies to recommend")
+    found = served[0]
+    for more in served[1:]:
+        found = found.unionByName(more)
+    pred = F.lit(model.mu) + or_zero(F.col("b_u")) + F.col("_score")
+    return attach(found, [_table(model, USER)]).select(
+        "userId", "rank", "movieId", pred.alias("pred")
     )
 
 
-def _table(model: EffectsModel, level) -> KeyedTable:
+def _scores(seen: DataFrame, model: EffectsModel, digits: int) -> DataFrame:
+    movies = seen.select("movieId", "genres").filter("movieId IS NOT NULL").distinct()
+    effects = attach(movies, [_table(model, MOVIE), _table(model, GENRE)])
+    score = F.round(or_zero(F.col("b_i")) + or_zero(F.col("b_g")), digits)
+    return stage(effects.select("movieId", score.alias("_score")), "movie-scores")
+
+
+def _head(scored: DataFrame, size: int) -> DataFrame:
+    """The first ``size`` movies with their place."""
+    order = [F.desc("_score"), F.asc("movieId")]
+    place = F.row_number().over(Window.orderBy(*order))
+    return scored.orderBy(*order).limit(size).withColumn("_place", place)
+
+
+def _offer(seen: DataFrame, waiting: DataFrame, block: KeyedTable, is_first: bool) -> DataFrame:
+    """Waiting users with the first places of the block that they still need and are free."""
+    rated = seen.select("userId", "movieId")
+    if not is_first:
+        names = KeyedTable.write(
+            waiting.select("userId", F.lit(True).alias("_waits")), ["userId"], "waiting-users"
+        )
+        rated = attach(rated, [names]).filter("_waits").drop("_waits")
+    hits = (
+        attach(rated, [block])
+        .filter("_place IS NOT NULL")
+        .select("userId", "_place")
+        .distinct()
+        .groupBy("userId")
+        .agg(F.collect_list("_place").alias("_seen"))  # at most the places of a block
+    )
+    hits = KeyedTable.write(hits, ["userId"], "seen-in-block")
+    taken = F.coalesce("_seen", F.array().cast("array<int>"))
+    free = F.array_except(F.sequence(F.lit(1), F.lit(block.n_rows)), taken)
+    return attach(waiting, [hits]).select(
+        "userId", "_need", F.slice(free, F.lit(1), F.col("_need")).alias("_places")
+    )
+
+
+def _picks(offered: DataFrame, block: KeyedTable, n: int) -> DataFrame:
+    picked = offered.select("userId", "_need", F.posexplode("_places").alias("_i", "_place"))
+    by_place = KeyedTable(block.frame, ("_place",), block.n_rows, block.n_bytes)
+    rank = (F.lit(n) - F.col("_need") + F.col("_i") + 1).cast("bigint")
+    return attach(picked, [by_place]).select("userId", rank.alias("rank"), "movieId", "_score")
+
+
+def _table(model: EffectsModel, level: Level) -> KeyedTable:
     return model.tables[model.levels.index(level)].with_values(level.effect)

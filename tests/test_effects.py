@@ -128,6 +128,14 @@ def test_saved_model_predicts_the_same(spark, tmp_path, mini_train, mini_validat
     assert ours == sorted(r.pred for r in back.predict(mini_validation).collect())
 
 
+def test_scoring_twice_replaces_the_first(mini_train, mini_validation):
+    model = fit_effects(mini_train, LEVELS, 1.0)
+    once = model.predict(mini_validation)
+    again = fit_effects(mini_train, [MOVIE]).predict(once)
+    assert sorted(again.columns) == sorted(once.columns)
+    assert {r.movieId: round(r.pred, 6) for r in again.collect()}[20] == round(20 / 6 - 1.083333333, 6)
+
+
 def test_rmse_of_exact_predictions_is_zero(mini_train):
     assert mini_train.agg(rmse(F.col("rating"), F.col("rating")).alias("e")).first().e == 0.0
 

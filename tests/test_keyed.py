@@ -62,7 +62,7 @@ def test_measured_size(table):
 
 def test_duplicate_keys_are_refused(table):
     require_unique(table, ["k"])
-    with pytest.raises(ValueError, match="more than one row"):
+    with pytest.raises(ValueError, match="2 rows for"):
         require_unique(table.unionByName(table.filter("k = 1")), ["k"])
 
 

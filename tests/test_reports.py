@@ -75,8 +75,8 @@ def brute_force(rows, effects, mu, n):
     return out
 
 
-@pytest.mark.parametrize("first_prefix", [None, 1, 3])
-def test_recommendations_equal_brute_force(spark, first_prefix):
+@pytest.mark.parametrize("first_block, max_block", [(None, 500_000), (1, 500_000), (3, 16)])
+def test_recommendations_equal_brute_force(spark, first_block, max_block):
     # User 0 has seen nearly everything, user 1 nearly nothing, user 2 everything.
     pairs = [(0, m) for m in range(58)] + [(1, 59)] + [(2, m) for m in range(60)]
     pairs += [(u, m) for u in range(3, 30) for m in range(60) if (u * 7 + m * 11) % 5 == 0]
@@ -90,7 +90,7 @@ def test_recommendations_equal_brute_force(spark, first_prefix):
     expected = brute_force([(u, m, g) for u, m, _, g in rows], effects, model.mu, 4)
     found = {
         (r.userId, r["rank"]): (r.movieId, round(r.pred, 6))
-        for r in recommend(seen, model, 4, first_prefix).collect()
+        for r in recommend(seen, model, 4, first_block, max_block).collect()
     }
     assert found == expected
     assert (2, 1) not in found and (0, 2) in found and (0, 3) not in found
