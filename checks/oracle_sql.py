@@ -19,7 +19,7 @@ ratings AS (
 movies AS (
   SELECT p_partkey AS movieId, p_name AS title,
          p_type || '|' || split_part(p_name, ' ', 2) AS genres
-  FROM part WHERE p_partkey % 50 <> 0),
+  FROM part WHERE NOT (p_brand = 'Brand#13' AND p_type = 'SMALL')),
 enriched AS (
   SELECT r.userId, r.movieId, r.rating, r."timestamp", r.line_number, r.row_key, m.title, m.genres
   FROM ratings r LEFT JOIN movies m ON r.movieId IS NOT DISTINCT FROM m.movieId),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+UNLISTED_BRAND = "Brand#13"
+UNLISTED_TYPE = "SMALL"
 ENRICHED_COLUMNS = ("userId", "movieId", "rating", "timestamp", "title", "genres")
 
 
@@ -48,8 +50,10 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """movieId, title, genres. Every fiftieth part is absent, as unlisted movies are."""
-    parts = _table(spark, sf_dir, "part").filter("p_partkey % 50 <> 0")
+    """movieId, title, genres. One brand's small parts are unlisted, so that some ratings,
+    which all stay, have a movie without title and genres."""
+    unlisted = (F.col("p_brand") == UNLISTED_BRAND) & (F.col("p_type") == UNLISTED_TYPE)
+    parts = _table(spark, sf_dir, "part").filter(~unlisted)
     return parts.select(
         F.col("p_partkey").alias("movieId"),
         F.col("p_name").alias("title"),
