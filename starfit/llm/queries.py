@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starfit.llm import quality_model, quality_rules, toxicity
+from starfit.llm import byte_bpe, packing, quality_model, quality_rules, sharding, toxicity, warc
 from starfit.llm.tables import staged
 
 
@@ -24,11 +25,44 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(vectors, quality_model.train(vectors, _table(spark, sf_dir, "labels")))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_bands(_table(spark, sf_dir, "documents"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Documents packed with the public 50k byte-level vocabulary."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return packing.pack_documents(docs, file.read(), public_tokenizers.PATTERN)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return warc.read_archives(warc.write_archives(pages, warc.archive_folder(pages)))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op5_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_quality_classifier,
+        op4_sharding,
+        op5_quality_rules,
+        op7_best_fit_packing,
+        op8_warc,
+        op9_byte_bpe,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starfit.sources.staging import stage
@@ -51,3 +51,24 @@ def scanned(frame: DataFrame, function, schema: str) -> DataFrame:
             yield from function(batch)
 
     return frame.mapInArrow(run, schema)
+
+
+def numbered(frame: DataFrame, by: list[str], order: list[str], name: str, rows: int, room: int = 2000) -> DataFrame:
+    """Number the rows of each group from 0 without gaps, as column ``name``.
+
+    Rows are dealt to cells by a hash of ``order``, about ``room`` rows a cell where one group
+    holds all of ``rows``; cells are numbered inside and moved on by the sizes of the cells before
+    them. No group is ordered in one task. Rows equal in ``order`` share a cell.
+    """
+    cells = max(1, -(-rows // room))
+    dealt = frame.withColumn("_cell", F.pmod(F.xxhash64(*order), F.lit(cells)))
+    sizes = dealt.groupBy(*by, "_cell").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*by, "_cell").orderBy(*order)
+    return (
+        dealt.withColumn("_at", F.row_number().over(inside))
+        .join(offsets, [*by, "_cell"])
+        .withColumn(name, F.col("_before") + F.col("_at") - 1)
+        .drop("_cell", "_at", "_before")
+    )
