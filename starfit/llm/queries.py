@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starfit.llm import byte_bpe, packing, quality_model, quality_rules, sharding, toxicity, warc
+from starfit.llm import byte_bpe, ngram_join, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity, warc
 from starfit.llm.tables import staged
 
 
@@ -33,6 +34,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.compression_bands(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Documents packed with the public 50k byte-level vocabulary."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
@@ -53,6 +60,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -60,9 +71,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_classifier,
         op4_sharding,
         op5_quality_rules,
+        op6_suffix_array_dedup,
         op7_best_fit_packing,
         op8_warc,
         op9_byte_bpe,
+        op10_ngram_jaccard_join,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
