@@ -464,3 +464,16 @@ def similar_documents(
         .withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, like: Likeness | None = None, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that name their component, with all their columns; repeated rows once.
+
+    Rows with a null id stay only if nothing they are linked with has an id.
+    """
+    found = similar_documents(docs, like, id_column, text_column)
+    names = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().alias("names")
+    same = docs[id_column].cast("long").eqNullSafe(F.col("names.doc_id"))
+    return docs.join(names, same, "left_semi").dropDuplicates([id_column, text_column])

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starfit.llm.arrays import SEPARATORS, Words, flat, slices
 from starfit.llm.tables import scanned
@@ -73,41 +74,80 @@ def _bands(text: bytes, rules: Bands, packer) -> tuple[bool, float, int, int, in
     return inside and (low + high) <= rules.chunk_share * max(n, 1), ratio, low, high, n
 
 
+@dataclass(frozen=True)
+class Verdicts:
+    """What is said of the texts of one slice, by row."""
+
+    n_words: np.ndarray
+    word_chars: np.ndarray
+    n_symbols: np.ndarray
+    n_dup_lines: np.ndarray
+    n_repeat_words: np.ndarray
+    base_failed: np.ndarray
+    kept: np.ndarray
+    bands: list[tuple[bool, float, int, int, int]]
+
+
+def judge(data: np.ndarray, offsets: np.ndarray, rules: Bands) -> Verdicts:
+    words = Words(data, offsets)
+    repeats = repeated_words(words, len(offsets) - 1)
+    _, dup_lines = duplicate_lines(data, offsets, words)
+    failed = (words.counts < 20) | (100 * repeats > 30 * words.counts)
+    packer = zstandard.ZstdCompressor(level=rules.level)
+    raw = data.tobytes()
+    bands = [_bands(raw[a:b], rules, packer) for a, b in zip(offsets[:-1], offsets[1:])]
+    return Verdicts(
+        words.counts,
+        per_row(OPENS[data] & ~SEPARATORS[data], offsets),
+        per_row(IS_SYMBOL[data], offsets),
+        dup_lines,
+        repeats,
+        failed,
+        ~failed & np.array([inside for inside, *_ in bands], bool),
+        bands,
+    )
+
+
+def _judged(column: pa.Array, rules: Bands) -> Iterator[tuple[int, int, Verdicts]]:
+    data, offsets = flat(column)
+    for i, j in slices(offsets):
+        with np.errstate(over="ignore"):
+            yield i, j, judge(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], rules)
+
+
 def compression_bands(
     docs: DataFrame, rules: Bands | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Counts, ratio and verdict of every document; columns as in ``SCHEMA``."""
     rules = rules or Bands()
 
-    def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, offsets = flat(batch.column(1))
-        packer = zstandard.ZstdCompressor(level=rules.level)
-        with np.errstate(over="ignore"):
-            for i, j in slices(offsets):
-                part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                words = Words(part, own)
-                n_words, repeats = words.counts, repeated_words(words, j - i)
-                _, dup_lines = duplicate_lines(part, own, words)
-                failed = (n_words < 20) | (100 * repeats > 30 * n_words)
-                raw = part.tobytes()
-                bands = [_bands(raw[a:b], rules, packer) for a, b in zip(own[:-1], own[1:])]
-                kept, ratio, low, high, chunks = zip(*bands)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, j - i).cast(pa.int64()),
-                        pa.array(n_words.astype(np.int64)),
-                        pa.array(per_row(OPENS[part] & ~SEPARATORS[part], own)),
-                        pa.array(per_row(IS_SYMBOL[part], own)),
-                        pa.array(dup_lines.astype(np.int64)),
-                        pa.array(repeats.astype(np.int64)),
-                        pa.array(failed),
-                        pa.array(~failed & np.array(kept, bool)),
-                        pa.array(ratio, pa.float64()),
-                        pa.array(low, pa.int64()),
-                        pa.array(high, pa.int64()),
-                        pa.array(chunks, pa.int64()),
-                    ],
-                    names=[x.split()[0] for x in SCHEMA.split(", ")],
-                )
-
-    return scanned(docs.select(id_column, text_column), judge, SCHEMA)
+    def report(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for i, j, said in _judged(batch.column(1), rules):
+            _, ratio, low, high, chunks = zip(*said.bands)
+            counts = (said.n_words, said.word_chars, said.n_symbols, said.n_dup_lines, said.n_repeat_words)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(i, j - i),
+                    *(pa.array(c.astype(np.int64)) for c in counts),
+                    pa.array(said.base_failed),
+                    pa.array(said.kept),
+                    pa.array(ratio, pa.float64()),
+                    *(pa.array(c, pa.int64()) for c in (low, high, chunks)),
+                ],
+                names=[x.split()[0] for x in SCHEMA.split(", ")],
+            )
+
+    return scanned(docs.select(F.col(id_column).cast("long"), text_column), report, SCHEMA)
+
+
+def accepted(docs: DataFrame, rules: Bands | None = None, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text passes, with all their columns."""
+    rules = rules or Bands()
+    at = docs.columns.index(text_column)
+
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        kept = [said.kept for _, _, said in _judged(batch.column(at), rules)]
+        if kept:
+            yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return scanned(docs, keep, docs.schema)

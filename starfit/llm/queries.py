@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfit.llm import byte_bpe, ngram_join, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity, warc
+from starfit.llm import byte_bpe, ngram_join, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity, vector_dedup, warc
 from starfit.llm.tables import staged
 
 
@@ -26,6 +26,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(vectors, quality_model.train(vectors, _table(spark, sf_dir, "labels")))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity,
         op2_quality_classifier,
+        op3_embedding_near_dedup,
         op4_sharding,
         op5_quality_rules,
         op6_suffix_array_dedup,

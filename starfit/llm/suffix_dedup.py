@@ -253,13 +253,19 @@ def _spans(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "alt").agg(F.collect_list("span").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) and text_key of every document."""
+def remove_repeats(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: list[str] | None = None
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept (the bytes left) of every document.
+
+    ``carried`` is a struct of the columns named in ``carry``.
+    """
     spark = docs.sparkSession
     buckets = 4 * partitions(spark)
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        F.struct(*(carry or [id_column])).alias("carried"),
     ).withColumn("text_key", F.xxhash64("text"))
     # Texts that share an id are told apart by a number, nearly always 0.
     shared = (
@@ -272,6 +278,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     alike = staged(rows.select("doc_id", "text_key").join(shared, "doc_id", "left_semi").distinct(), "alike")
     if alike.limit(1).count():
         by_id = Window.partitionBy("doc_id").orderBy("text_key")
+        # Null ids never join and keep number 0.
         rows = rows.join(
             alike.withColumn("alt", F.row_number().over(by_id).cast("int")), ["doc_id", "text_key"], "left"
         ).withColumn("alt", F.coalesce("alt", F.lit(0)))
@@ -315,11 +322,29 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
                     pa.array(begun[b] - begun[a]),
                     pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(kept)]),
                 ],
-                names=["doc_id", "text_key", "n_bytes", "n_removed", "n_spans", "kept"],
+                names=["doc_id", "carried", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
     joined = rows.join(removed, ["doc_id", "alt"], "left").select(
-        "doc_id", "text_key", "text", F.coalesce("spans", F.array().cast("array<long>")).alias("spans")
+        "doc_id", "carried", "text", F.coalesce("spans", F.array().cast("array<long>")).alias("spans")
     )
-    schema = "doc_id long, text_key long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return scanned(joined, remove, schema)
+    counts = "n_bytes long, n_removed long, n_spans long, kept binary"
+    return scanned(joined, remove, f"doc_id long, carried {joined.schema['carried'].dataType.simpleString()}, {counts}")
+
+
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All rows of ``docs`` with their other columns and what is left of their texts.
+
+    A character that lost some of its bytes goes. Null texts stay null.
+    """
+    rest = [c for c in docs.columns if c != text_column]
+    found = remove_repeats(docs.withColumn("_null", F.col(text_column).isNull()), id_column, text_column, [*rest, "_null"])
+
+    def decode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = [x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["carried", "text"])
+
+    kind = found.schema["carried"].dataType.simpleString()
+    texts = scanned(found.select("carried", "kept"), decode, f"carried {kind}, text string")
+    text = F.when(~F.col("carried._null"), F.col("text")).alias(text_column)
+    return texts.select(*(text if c == text_column else F.col(f"carried.`{c}`").alias(c) for c in docs.columns))

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starfit.sources.staging import stage
 
@@ -43,7 +44,7 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def scanned(frame: DataFrame, function, schema: str) -> DataFrame:
+def scanned(frame: DataFrame, function, schema: str | StructType) -> DataFrame:
     """Apply ``function(batch) -> iterable of pyarrow record batches`` to every Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

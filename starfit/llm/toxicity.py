@@ -209,19 +209,23 @@ def train(
     return Model(place, *_fit(x[order], y[order], factors, steps, 1e-5))
 
 
+def _scored(column: pa.Array, model: Model) -> Iterator[tuple[int, int, np.ndarray]]:
+    data, offsets = flat(column)
+    for i, j in slices(offsets):
+        with np.errstate(over="ignore"):
+            row, term = distinct_terms(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], model.place)
+        yield i, j, model.scores(row, term, j - i)
+
+
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted for every document."""
     held = (remainder(id_column, HELD_OUT_MODULUS) == HELD_OUT_REMAINDER).alias("held_out")
 
     def apply(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, offsets = flat(batch.column(2))
-        for i, j in slices(offsets):
-            with np.errstate(over="ignore"):
-                row, term = distinct_terms(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], model.place)
-            s = model.scores(row, term, j - i)
+        for i, j, s in _scored(batch.column(2), model):
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(i, j - i).cast(pa.int64()),
+                    batch.column(0).slice(i, j - i),
                     batch.column(1).slice(i, j - i),
                     pa.array(s),
                     pa.array((s >= 0.5).astype(np.int32)),
@@ -229,5 +233,17 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    rows = docs.select(id_column, held, text_column)
+    rows = docs.select(F.col(id_column).cast("long"), held, text_column)
     return scanned(rows, apply, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` predicted to have label 0, with all their columns."""
+    at = docs.columns.index(text_column)
+
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        kept = [s < 0.5 for _, _, s in _scored(batch.column(at), model)]
+        if kept:
+            yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return scanned(docs, keep, docs.schema)
