@@ -15,12 +15,13 @@ signatures. A set may therefore pass over its signatures of less than two shingl
 long as these are fewer than the signatures it must share with any partner: such contents agree by
 chance too often. A signature's content is the same in both sets, so either set's count suffices.
 
-Signatures are packed by hash bucket and compared within a bucket; only those that two sets share
-go on. Their members carry a parity sketch of their set: as every differing shingle flips one bit,
-more differing bits than allowed differences rule a pair out for certain. Of the pairs left a
-signature hands out a spanning forest, which is verified on the full sets; components of the
-verified links decide which pairs of a signature are still open, and those are all verified. So no
-group of copies is expanded into its pairs, and no link between components is lost.
+Signatures are packed by hash bucket and compared within a bucket. Where few sets share one, their
+pairs go on, each once; larger groups go on as members. A pair is first held against the sets'
+parity sketches: as every differing shingle flips one bit, more differing bits than allowed
+differences rule it out for certain. Of the pairs left open, spanning forests are verified on the
+full sets; components of the verified links decide which pairs are still open, and those are all
+verified. So a group of copies is not expanded into its pairs, and no link between components is
+lost.
 
 Defined cases: null and empty texts and texts without words are empty sets, linked with nothing,
 each its own component; texts with fewer words than a shingle are one shingle; repeated rows are
@@ -48,8 +49,13 @@ from starfit.llm.tables import partitions, scanned, staged
 SPARE = 1.25
 #: Up to so many ids of documents to verify are broadcast (8 MB); beyond, the texts are shuffled.
 MANY_IDS = 1_000_000
+#: Spanning forests of a task's open pairs that are verified first: what one false pair parts,
+#: another joins.
+FORESTS = 3
 #: Members of one signature within a block of texts that make it shared for certain.
 MANY_HERE = 16
+#: Members of one signature whose pairs are listed.
+FEW = 8
 #: Members of one signature compared in one task; larger groups are compared by pairs of blocks.
 GROUP = 4_096
 
@@ -118,8 +124,8 @@ def fingerprints(rows: np.ndarray, hashes: np.ndarray, n_rows: int) -> np.ndarra
 
 
 def sketch_bits(size: np.ndarray) -> np.ndarray:
-    """Bits of a set's parity sketch: the least power of two from its size on, 64 at least."""
-    return np.maximum(64, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    """Bits of a set's parity sketch: the least power of two from twice its size on, 64 at least."""
+    return np.maximum(64, 2 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
 
 
 def sketch(hashes: np.ndarray, bits: int) -> bytes:
@@ -212,8 +218,28 @@ def _describe(docs: DataFrame, like: Likeness) -> DataFrame:
     return scanned(keyed, run, "doc_id long, text_key long, n long, node long, sketch binary")
 
 
+def group_pairs(nodes: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
+    """All pairs, smaller node first, of groups of ``size`` sorted nodes that start at ``heads``."""
+    x, y = np.triu_indices(size, 1)
+    first, second = nodes[heads[:, None] + x], nodes[heads[:, None] + y]
+    return np.column_stack([np.minimum(first, second).ravel(), np.maximum(first, second).ravel()])
+
+
+def _shared(signature: np.ndarray, node: np.ndarray, other: np.ndarray, members: int) -> pa.Table:
+    """The first ``members`` rows have a signature, the others a second node."""
+    pair = np.arange(len(node)) >= members
+    return pa.table(
+        {
+            "signature": pa.array(signature, pa.int64(), mask=pair),
+            "node": pa.array(node, pa.int64()),
+            "other": pa.array(other, pa.int64(), mask=~pair),
+        }
+    )
+
+
 def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
-    """(signature, node) of the signatures that two nodes or more share."""
+    """Members (signature, node) of signatures that many nodes share, and pairs (node, other) of
+    those that up to ``FEW`` nodes share."""
     buckets = 4 * partitions(docs.sparkSession)
 
     def packed_rows(bucket, signed: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
@@ -267,7 +293,7 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
         bucket = key[0].as_py()
         signed, nodes = b"".join(table["signatures"].to_pylist()), np.frombuffer(b"".join(table["nodes"].to_pylist()), np.int64)
         if bucket >= buckets:  # shared for certain
-            return pa.table({"signature": np.frombuffer(signed, np.int64), "node": nodes})
+            return _shared(np.frombuffer(signed, np.int64), nodes, np.zeros(len(nodes), np.int64), len(nodes))
         signed = np.frombuffer(signed, np.uint32)
         order = np.lexsort((nodes, signed))
         signed, nodes = signed[order], nodes[order]
@@ -275,55 +301,134 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
         signed, nodes = signed[new], nodes[new]
         heads = np.flatnonzero(np.append(True, signed[1:] != signed[:-1]))
         members = np.diff(np.append(heads, len(signed)))
-        many = np.repeat(members > 1, members)
-        return pa.table({"signature": bucket << 32 | signed[many].astype(np.int64), "node": nodes[many]})
+        pairs = np.unique(np.concatenate([group_pairs(nodes, heads[members == m], m) for m in range(2, FEW + 1)]), axis=0)
+        many = np.repeat(members > FEW, members)
+        return _shared(
+            np.append(bucket << 32 | signed[many].astype(np.int64), np.zeros(len(pairs), np.int64)),
+            np.append(nodes[many], pairs[:, 0]),
+            np.append(np.zeros(many.sum(), np.int64), pairs[:, 1]),
+            many.sum(),
+        )
 
     packed = scanned(docs, sign, "bucket long, signatures binary, nodes binary")
-    return packed.groupBy("bucket").applyInArrow(compare, "signature long, node long")
-
-
-def _fold(raw: bytes, bits: int) -> np.ndarray:
-    """A parity sketch brought to fewer bits: bits a whole multiple apart are added up."""
-    data = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(-1, bits)
-    return np.packbits(np.bitwise_xor.reduce(data, axis=0))
-
-
-BIT_COUNTS = np.array([bin(x).count("1") for x in range(256)], np.uint8)
-
-
-def open_pairs(
-    sizes: np.ndarray, sketches: list[bytes], component: np.ndarray, like: Likeness, forest: bool
-) -> list[tuple[int, int]]:
-    """Pairs of one signature's members in different components that their sketches leave open.
+    return packed.groupBy("bucket").applyInArrow(compare, "signature long, node long, other long")
+
+
+class Sketches:
+    """Parity sketches of many sets and how many bits differ between any two of them."""
+
+    def __init__(self, raw: list[bytes], sizes: np.ndarray, like: Likeness):
+        self.sizes, self.like = sizes, like
+        self.width = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.place = np.zeros(len(raw), np.int64)
+        self.tables: dict[int, np.ndarray] = {}
+        for width in np.unique(self.width):
+            at = np.flatnonzero(self.width == width)
+            self.place[at] = np.arange(len(at))
+            self.tables[int(width)] = np.frombuffer(b"".join(raw[k] for k in at), np.uint64).reshape(len(at), -1)
+
+    def flips(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        kind = self.width[x] << 32 | self.width[y]
+        for k in np.unique(kind):
+            at = np.flatnonzero(kind == k)
+            wide, narrow = (x, y) if k >> 32 >= k & 0xFFFFFFFF else (y, x)
+            for part in np.array_split(at, -(-len(at) // 50_000)):
+                a = self.tables[int(self.width[wide[part[0]]])][self.place[wide[part]]]
+                b = self.tables[int(self.width[narrow[part[0]]])][self.place[narrow[part]]]
+                # Bits that lie a narrow sketch's length apart are one bit of the narrow sketch.
+                a = np.bitwise_xor.reduce(a.reshape(len(part), -1, b.shape[1]), axis=1)
+                out[part] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+        return out
+
+    def open(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether a pair's sizes and sketches let it be similar."""
+        small, large = np.minimum(self.sizes[x], self.sizes[y]), np.maximum(self.sizes[x], self.sizes[y])
+        out = large * self.like.percent <= 100 * small
+        out[out] = self.flips(x[out], y[out]) <= self.like.differences(small[out] + large[out])
+        return out
+
+
+def open_pairs(members: np.ndarray, component: np.ndarray, sketches: Sketches, forest: bool) -> np.ndarray:
+    """Open pairs of one signature's members in different components.
 
     With ``forest`` only so many of them as connect what all of them connect.
     """
-    bits = min(8 * len(x) for x in sketches)
-    table = np.stack([_fold(x, bits) for x in sketches])
-    table = np.pad(table, ((0, 0), (0, -table.shape[1] % 8))).view(np.uint64)
-    waiting = np.arange(len(sizes))
-    pairs: list[tuple[int, int]] = []
+    pairs: list[np.ndarray] = []
+    waiting = members
 
     def partners(x: int, among: np.ndarray) -> np.ndarray:
         among = among[component[among] != component[x]]
-        small, large = np.minimum(sizes[among], sizes[x]), np.maximum(sizes[among], sizes[x])
-        among = among[large * like.percent <= 100 * small]
-        flips = np.bitwise_count(table[among] ^ table[x]).sum(axis=1, dtype=np.int64)
-        return among[flips <= like.differences(sizes[among] + sizes[x])]
-
-    if not forest:
-        for x in waiting:
-            pairs += [(x, y) for y in partners(x, waiting[x + 1 :])]
-        return pairs
-    while len(waiting) > 1:
-        front, waiting = [waiting[0]], waiting[1:]
-        while front and len(waiting):
-            x = front.pop()
-            near = partners(x, waiting)
-            pairs += [(x, y) for y in near]
-            front += near.tolist()
-            waiting = np.setdiff1d(waiting, near, assume_unique=True)
-    return pairs
+        near = among[sketches.open(np.full(len(among), x), among)]
+        if len(near):
+            pairs.append(np.column_stack([np.full(len(near), x), near]))
+        return near
+
+    if forest:
+        while len(waiting) > 1:
+            front, waiting = [waiting[0]], waiting[1:]
+            while front and len(waiting):
+                near = partners(front.pop(), waiting)
+                front += near.tolist()
+                waiting = np.setdiff1d(waiting, near, assume_unique=True)
+    else:
+        for k, x in enumerate(members[:-1]):
+            partners(x, members[k + 1 :])
+    return np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+
+
+def forests(pairs: np.ndarray, count: int) -> np.ndarray:
+    """Up to ``count`` spanning forests of the pairs, none sharing a pair."""
+    kept: list[np.ndarray] = []
+    for _ in range(count):
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        joins = np.zeros(len(pairs), bool)
+        for k, (x, y) in enumerate(pairs.tolist()):
+            x, y = find(x), find(y)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                joins[k] = True
+        kept.append(pairs[joins])
+        pairs = pairs[~joins]
+    return np.concatenate(kept)
+
+
+def _open_of_pairs(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) that their sketches leave open, and whether one is in its task's forests."""
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        for batch in batches:
+            n = batch.num_rows
+            sizes = np.concatenate([batch.column(k).to_numpy() for k in (2, 3)])
+            sketches = Sketches([*batch.column(4).to_pylist(), *batch.column(5).to_pylist()], sizes, like)
+            open_ = sketches.open(np.arange(n), np.arange(n, 2 * n))
+            found.append(np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])[open_])
+        if found:
+            pairs = np.concatenate(found)
+            first = forests(pairs, FORESTS)
+            chosen = set(map(tuple, first.tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(pairs[:, 0]),
+                    pa.array(pairs[:, 1]),
+                    pa.array([p in chosen for p in map(tuple, pairs.tolist())], pa.bool_()),
+                ],
+                names=["a", "b", "first"],
+            )
+
+    side = lambda k: nodes.select(
+        F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"sketch_{k}")
+    )
+    sketched = pairs.join(side("a"), "a").join(side("b"), "b")
+    return sketched.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(hold, "a long, b long, first boolean")
 
 
 def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
@@ -336,25 +441,27 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
         table = pa.Table.from_batches(batches)
         if table.num_rows == 0:
             return
-        signature, node, block = (table[c].to_numpy() for c in ("signature", "node", "block"))
-        sizes, component = table["n"].to_numpy(), table["component"].to_numpy()
-        order = np.lexsort((node, block, signature))
+        signature, block = table["signature"].to_numpy(), table["block"].to_numpy()
+        node, once, at = np.unique(table["node"].to_numpy(), return_index=True, return_inverse=True)
+        own = table.take(pa.array(once))  # one sketch a node
+        sketches = Sketches(own["sketch"].to_pylist(), own["n"].to_numpy(), like)
+        component = own["component"].to_numpy()
+        order = np.lexsort((at, block, signature))
         keys = np.column_stack([signature[order], block[order]])
         heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-        raw = table["sketch"].combine_chunks()
-        pairs: set[tuple[int, int]] = set()
+        found: list[np.ndarray] = []
         live: set[int] = set()
         for a, b in zip(heads, np.append(heads[1:], len(order))):
-            at = order[a:b]
-            at = at[np.append(True, node[at[1:]] != node[at[:-1]])]
-            if len(at) > 1 and (component[at] != component[at[0]]).any():
-                sketches = raw.take(pa.array(at)).to_pylist()
-                found = open_pairs(sizes[at], sketches, component[at], like, forest)
-                if found:
-                    live.add(int(signature[at[0]]))
-                    pairs.update((int(node[at[x]]), int(node[at[y]])) for x, y in found)
-        rows = [(min(p), max(p), None) for p in pairs] + [(None, None, x) for x in live]
-        if rows:
+            members = np.unique(at[order[a:b]])
+            if (component[members] != component[members[0]]).any():
+                pairs = open_pairs(members, component, sketches, forest)
+                if len(pairs):
+                    live.add(int(signature[order[a]]))
+                    found.append(pairs)
+        if found:
+            pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            ends = np.sort(node[forests(pairs, FORESTS) if forest else pairs], axis=1)
+            rows = [*((a, b, None) for a, b in ends.tolist()), *((None, None, x) for x in live)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "signature"]
             )
@@ -434,19 +541,28 @@ def similar_documents(
         ),
         "nodes",
     )
-    members = shared.join(nodes.select("node", "n", "sketch"), "node")
-    first = staged(_candidates(members.withColumn("component", F.col("node")), like, forest=True), "open")
-    tried = staged(first.where("a is not null").select("a", "b").distinct(), "pairs")
+    listed = shared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    few = staged(_open_of_pairs(listed, nodes, like), "open-pairs")
+    grouped = shared.where("signature is not null").select("signature", "node")
+    members = grouped.join(nodes.select("node", "n", "sketch"), "node")
+    many = staged(_candidates(members.withColumn("component", F.col("node")), like, forest=True), "open-groups")
+    tried = few.where("first").select("a", "b").unionByName(many.where("a is not null").select("a", "b")).distinct()
+    tried = staged(tried, "pairs")
     component = staged(connected_components(_verified(tried, rows, nodes, like)), "components")
 
-    live = first.where("signature is not null").select("signature").distinct()
+    # What is open between components now is verified pair by pair.
+    live = many.where("signature is not null").select("signature").distinct()
     labelled = (
-        shared.join(live, "signature", "left_semi")
+        grouped.join(live, "signature", "left_semi")
         .join(component.withColumnRenamed("id", "node"), "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
         .join(nodes.select("node", "n", "sketch"), "node")
     )
-    second = _candidates(labelled, like, forest=False).where("a is not null").select("a", "b").distinct()
+    second = _candidates(labelled, like, forest=False).where("a is not null").select("a", "b")
+    of = lambda k: component.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}"))
+    apart = ~F.coalesce("c_a", "a").eqNullSafe(F.coalesce("c_b", "b"))
+    waiting = few.where("not first").join(of("a"), "a", "left").join(of("b"), "b", "left").where(apart)
+    second = second.unionByName(waiting.select("a", "b")).distinct()
     second = staged(second.join(tried, ["a", "b"], "left_anti"), "pairs")
     if second.limit(1).count():
         known = component.select(F.col("id").alias("a"), F.col("component").alias("b"))
