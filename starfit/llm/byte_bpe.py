@@ -8,7 +8,7 @@ overlap, and the right chunk's from there. Boundaries within ``MARGIN`` characte
 end are not trusted, as the rest of the text could move them. Where a whole overlap has no common
 boundary (a very long run of letters or blanks), the two chunks are joined and parted again, so
 the result is the whole text's whatever the text. The pieces are then encoded by their ranks, in
-parallel, and decoding puts the tokens' raw bytes together.
+parallel (by the boundaries found: blanks parted from what follows would be parted anew), and decoding puts the tokens' raw bytes together.
 
 Shorter texts are one chunk and need no shuffle.
 
@@ -65,12 +65,19 @@ def cuts(find: regex.Pattern, text: str) -> np.ndarray:
     return np.cumsum(np.fromiter(map(len, find.findall(text)), np.int64))
 
 
-def stitch(find: regex.Pattern, chunks: list[str], ends: list[np.ndarray], size: int, overlap: int) -> list[str]:
-    """Segments of the whole text whose edges are pre-token boundaries of the whole text.
+def stitch(
+    find: regex.Pattern, chunks: list[str], ends: list[np.ndarray], size: int
+) -> list[tuple[str, np.ndarray]]:
+    """Segments of the whole text, each with the ends of its pre-tokens.
 
-    Chunk ``i`` starts at character ``i * size`` and goes on for ``overlap`` more than ``size``.
+    Chunk ``i`` starts at character ``i * size`` and overlaps the next.
     """
-    segments: list[str] = []
+    segments: list[tuple[str, np.ndarray]] = []
+
+    def give(upto: int) -> None:
+        mine = own[(own > from_) & (own <= upto)]
+        segments.append((text[from_:upto], mine - from_))
+
     text, at, own = chunks[0], 0, ends[0]  # the open chunk, its place, its boundaries from there
     from_ = 0  # first character of the open chunk not given out yet
     for k in range(1, len(chunks)):
@@ -78,15 +85,19 @@ def stitch(find: regex.Pattern, chunks: list[str], ends: list[np.ndarray], size:
         trusted = own[(own >= start - at) & (own <= len(text) - MARGIN)] + at
         common = np.intersect1d(trusted, np.append(ends[k], 0) + start)
         if len(common):
-            segments.append(text[from_ : common[0] - at])
+            give(int(common[0]) - at)
             text, at, own, from_ = chunks[k], start, ends[k], int(common[0]) - start
         else:
             text = text[: start - at] + chunks[k]
             own = from_ + cuts(find, text[from_:])
-    segments.append(text[from_:])
+    give(len(text))
     return segments
 
 
+def parted(text: str, ends: list[int]) -> list[str]:
+    return [text[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
 def _digests(ids: bytes, tokens: list[bytes]) -> tuple[int, str, str]:
     numbers = np.frombuffer(ids, "<u4").tolist()
     return (
@@ -143,7 +154,6 @@ def encode_documents(
             table["chunk"].to_pylist(),
             [np.array(x, np.int64) for x in table["ends"].to_pylist()],
             chunk,
-            overlap,
         )
         n = len(segments)
         return pa.table(
@@ -152,14 +162,15 @@ def encode_documents(
                 "key": pa.array([table["key"][0].as_py()] * n, pa.binary()),
                 "copies": pa.array([copies] * n, pa.int64()),
                 "segment_no": pa.array(range(n), pa.int64()),
-                "segment": segments,
+                "segment": [text for text, _ in segments],
+                "ends": pa.array([e for _, e in segments], pa.list_(pa.int64())),
             }
         )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder()
         for batch in batches:
-            ids = [encoder.of(encoder.find(t)) for t in batch.column(4).to_pylist()]
+            ids = [encoder.of(parted(*x)) for x in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary())], names=[*batch.schema.names[:4], "ids"])
 
     def join(table):
@@ -186,7 +197,7 @@ def encode_documents(
     sewn = (
         chunks.mapInArrow(part, f"{KEY}, chunk_no long, chunk string, ends array<long>")
         .groupBy("doc_id", "key")
-        .applyInArrow(sew, f"{KEY}, copies long, segment_no long, segment string")
+        .applyInArrow(sew, f"{KEY}, copies long, segment_no long, segment string, ends array<long>")
     )
     encoded = sewn.mapInArrow(encode, f"{KEY}, copies long, segment_no long, ids binary")
     return rows.where(~long).mapInArrow(whole, RESULT).unionByName(
