@@ -164,7 +164,7 @@ def write_archives(
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     name, size, count = f"{uuid.uuid4().hex}.warc.zst", 0, 0
-                    out = files.open_output_stream(f"{root}/{name}")
+                    out = files.open_output_stream(f"{root}/{name}", compression=None)
                     out.write(DICTIONARY_FRAME.to_bytes(4, "little") + len(dictionary).to_bytes(4, "little") + dictionary)
                 frame = packer.compress(record(*row))
                 out.write(frame)
@@ -189,7 +189,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 files, at = pafs.FileSystem.from_uri(path)
-                with files.open_input_stream(at) as stream:
+                with files.open_input_stream(at, compression=None) as stream:
                     content = stream.read()
                 rows = []
                 for fields, block in records_of(open_archive(content)):
