@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starfit.llm import ngram_join, quality_rules, suffix_dedup, toxicity
 from starfit.llm.queries import packed
 from starfit.llm.tables import staged
+from starfit.session import with_local_folder
 
 #: Packing and scores are not SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -29,17 +30,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of similar ones."""
+    with_local_folder(spark)
     return ngram_join.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that documents with smaller ids hold, too."""
+    with_local_folder(spark)
     left = suffix_dedup.without_repeats(docs)
     return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
+    with_local_folder(spark)
     return packed(docs)
 
 
@@ -53,7 +57,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = with_local_folder(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

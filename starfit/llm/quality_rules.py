@@ -40,12 +40,12 @@ class Bands:
 
     whole: tuple[tuple[float, float, float], ...] = (
         (256, 0.7, 2.4),
-        (1024, 1.0, 2.7),
-        (4096, 1.2, 3.0),
-        (16384, 1.3, 3.3),
-        (float("inf"), 1.3, 3.6),
+        (1024, 1.1, 2.7),
+        (4096, 1.35, 3.0),
+        (16384, 1.5, 3.3),
+        (float("inf"), 1.6, 3.6),
     )
-    chunk: tuple[tuple[float, float, float], ...] = ((1024, 1.0, 2.8), (float("inf"), 1.2, 3.3))
+    chunk: tuple[tuple[float, float, float], ...] = ((1024, 1.1, 2.8), (float("inf"), 1.3, 3.3))
     #: More than this share of a document's chunks outside their bands rejects it.
     chunk_share: float = 0.5
     level: int = 3

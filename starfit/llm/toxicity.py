@@ -14,7 +14,7 @@ all documents without a shuffle.
 
 Defined cases: a null or empty text has no features and gets the model's base score; null
 labels and labels other than 0 and 1 are not learned from; without rows of both labels every
-score is the share of label 1 (0 without rows); repeated rows are scored each; other columns
+score is as good as the label there is (0 without rows); repeated rows are scored each; other columns
 are not read.
 """
 
@@ -186,8 +186,7 @@ def train(
     sums = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("_label"), F.lit(0)).alias("ones")).first()
     place = np.full(1 << BUCKET_BITS, -1, np.int64)
     if sums.ones in (0, sums.n):
-        share = min(max(sums.ones / max(sums.n, 1), 1e-9), 1 - 1e-9)
-        return Model(place, float(np.log(share / (1 - share))), np.zeros(1), np.zeros((1, 1)))
+        return Model(place, 500.0 if sums.ones else -500.0, np.zeros(1), np.zeros((1, 1)))
     a, c = F.col("ones"), F.col("zeros")
     p, q = sums.ones, sums.n - sums.ones
     skill = (a * q - c * p) * (a * q - c * p).cast("double") / ((a + c) * (F.lit(sums.n) - a - c + 1))
