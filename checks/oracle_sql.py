@@ -17,9 +17,11 @@ ratings AS (
                    CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR)) AS row_key
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 movies AS (
-  SELECT p_partkey AS movieId, p_name AS title,
-         p_type || '|' || split_part(p_name, ' ', 2) AS genres
-  FROM part WHERE NOT (p_brand = 'Brand#13' AND p_type = 'SMALL')),
+  SELECT p_partkey AS movieId,
+         CASE WHEN p_brand = 'Brand#13' AND p_type = 'SMALL' THEN NULL ELSE p_name END AS title,
+         CASE WHEN p_brand = 'Brand#13' AND p_type = 'SMALL' THEN NULL
+              ELSE p_type || '|' || split_part(p_name, ' ', 2) END AS genres
+  FROM part),
 enriched AS (
   SELECT r.userId, r.movieId, r.rating, r."timestamp", r.line_number, r.row_key, m.title, m.genres
   FROM ratings r LEFT JOIN movies m ON r.movieId IS NOT DISTINCT FROM m.movieId),
@@ -31,13 +33,13 @@ def _split(out: str, source: str, seed: str, share: str) -> str:
 {out}_q AS (
   SELECT min(rating) AS lo, quantile_cont(rating, 0.25) AS q1, quantile_cont(rating, 0.5) AS q2,
          quantile_cont(rating, 0.75) AS q3 FROM {source}),
-{out}_h AS (
+{out}_h AS MATERIALIZED (
   SELECT s.*, md5(concat_ws('|', '{seed}', row_key)) AS h,
          (CASE WHEN q1 > lo AND rating > q1 THEN 1 ELSE 0 END)
          + (CASE WHEN q2 > q1 AND rating > q2 THEN 1 ELSE 0 END)
          + (CASE WHEN q3 > q2 AND rating > q3 THEN 1 ELSE 0 END) AS stratum
   FROM {source} s, {out}_q),
-{out} AS (
+{out} AS MATERIALIZED (
   SELECT * EXCLUDE (h, rk, n), rk <= ceil(n * CAST({share} AS DOUBLE)) AS sampled
   FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h) AS rk,
                count(*) OVER (PARTITION BY stratum) AS n FROM {out}_h))"""
@@ -52,7 +54,7 @@ def _partition(source: str) -> str:
 rest AS (SELECT * EXCLUDE (stratum, sampled) FROM first_split WHERE NOT sampled),
 temp AS (SELECT * EXCLUDE (stratum, sampled) FROM first_split WHERE sampled),
 known_movies AS (SELECT * FROM temp t WHERE EXISTS (SELECT 1 FROM rest r WHERE r.movieId IS NOT DISTINCT FROM t.movieId)),
-holdout AS (SELECT * FROM known_movies t WHERE EXISTS (SELECT 1 FROM rest r WHERE r.userId IS NOT DISTINCT FROM t.userId)),
+holdout AS MATERIALIZED (SELECT * FROM known_movies t WHERE EXISTS (SELECT 1 FROM rest r WHERE r.userId IS NOT DISTINCT FROM t.userId)),
 removed AS (SELECT t.* FROM temp t ANTI JOIN holdout h ON {six}),
 development AS (SELECT * FROM rest UNION ALL SELECT * FROM removed),
 {_split("second_split", "development", "2", "0.2")},
@@ -64,19 +66,19 @@ train AS (SELECT * EXCLUDE (stratum, sampled) FROM second_split WHERE NOT sample
 GRID = """
 grid AS (SELECT i * CAST(0.25 AS DOUBLE) AS lam FROM range(41) t(i)),
 mean AS (SELECT avg(rating) AS mu FROM train),
-movie_fx AS (
+movie_fx AS MATERIALIZED (
   SELECT lam, movieId, sum(rating - mu) / (count(*) + lam) AS b_i, count(*) AS n_i
   FROM train, mean, grid GROUP BY lam, movieId),
-user_fx AS (
+user_fx AS MATERIALIZED (
   SELECT m.lam, userId, sum(rating - mu - b_i) / (count(*) + m.lam) AS b_u, count(*) AS n_u
   FROM train t JOIN movie_fx m ON t.movieId IS NOT DISTINCT FROM m.movieId, mean
   GROUP BY m.lam, userId),
-genre_fx AS (
+genre_fx AS MATERIALIZED (
   SELECT m.lam, genres, sum(rating - mu - b_i - b_u) / (count(*) + m.lam) AS b_g, count(*) AS n_g
   FROM train t JOIN movie_fx m ON t.movieId IS NOT DISTINCT FROM m.movieId
   JOIN user_fx u ON u.lam = m.lam AND t.userId IS NOT DISTINCT FROM u.userId, mean
   GROUP BY m.lam, genres),
-errors AS (
+errors AS MATERIALIZED (
   SELECT g.lam,
          sqrt(avg((rating - mu) ^ 2)) AS rmse0,
          sqrt(avg((rating - mu - coalesce(b_i, 0)) ^ 2)) AS rmse1,
@@ -156,12 +158,16 @@ def _sql() -> dict[str, str]:
     out["scan_ratings"] = RAW + """
 SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId, rating,
        CAST("timestamp" AS INTEGER) AS "timestamp" FROM ratings"""
-    out["scan_movies"] = RAW + "SELECT CAST(movieId AS INTEGER) AS movieId, title, genres FROM movies"
+    out["scan_movies"] = RAW + """
+SELECT CAST(movieId AS INTEGER) AS movieId, coalesce(title, '') AS title, coalesce(genres, '') AS genres FROM movies"""
     messy = """, messy AS (
   SELECT concat_ws('::', CAST(userId AS VARCHAR),
     CASE line_number WHEN 2 THEN movieId || '.7' WHEN 3 THEN movieId || 'e0' WHEN 4 THEN 'n' || movieId
          ELSE CAST(movieId AS VARCHAR) END,
-    CASE line_number WHEN 5 THEN '' ELSE CAST(rating AS VARCHAR) END,
+    CASE line_number WHEN 5 THEN ''
+      WHEN 1 THEN CASE movieId % 10 WHEN 0 THEN rating || 'f' WHEN 1 THEN rating || 'd' WHEN 2 THEN 'Infinity'
+        WHEN 3 THEN '1e400' ELSE CAST(rating AS VARCHAR) END
+      ELSE CAST(rating AS VARCHAR) END,
     CASE line_number WHEN 6 THEN NULL WHEN 7 THEN "timestamp" || '::x' ELSE CAST("timestamp" AS VARCHAR) END) AS line
   FROM ratings),
 fields AS (SELECT line, string_split(line, '::') AS f FROM messy),
@@ -169,7 +175,7 @@ typed AS (
   SELECT line, len(f) AS n,
          TRY_CAST(trunc(TRY_CAST(f[1] AS DOUBLE)) AS INTEGER) AS userId,
          TRY_CAST(trunc(TRY_CAST(f[2] AS DOUBLE)) AS INTEGER) AS movieId,
-         TRY_CAST(f[3] AS DOUBLE) AS rating,
+         CASE WHEN regexp_full_match(f[3], '[0-9]+[.]?[0-9]*') THEN TRY_CAST(f[3] AS DOUBLE) END AS rating,
          TRY_CAST(trunc(TRY_CAST(f[4] AS DOUBLE)) AS INTEGER) AS "timestamp" FROM fields)"""
     out["typed_ratings"] = RAW.rstrip() + messy + """
 SELECT userId, movieId, rating, "timestamp" FROM typed
@@ -347,8 +353,8 @@ FROM development GROUP BY {key}"""
     per_movie = "(SELECT movieId, count(*) AS n, avg(rating) AS mean_rating FROM development GROUP BY movieId)"
     out["eda_popularity_correlation"] = DENSE + f"""
 SELECT count(*) AS n_movies, {_r('corr(n, mean_rating)', 'corr')} FROM {per_movie}"""
-    per_sparse = f"""(SELECT *, CAST((CASE WHEN n >= 100 THEN 100 WHEN n >= 50 THEN 50 WHEN n >= 20 THEN 20
-    WHEN n >= 10 THEN 10 WHEN n >= 5 THEN 5 WHEN n >= 2 THEN 2 ELSE 1 END) AS BIGINT) AS at_least FROM {per_movie})"""
+    per_sparse = f"""(SELECT *, CAST((CASE WHEN n >= 5 * p THEN 5 WHEN n >= 2 * p THEN 2 ELSE 1 END) * p AS BIGINT) AS at_least
+  FROM (SELECT *, CAST(rpad('1', CAST(length(CAST(n AS VARCHAR)) AS INTEGER), '0') AS BIGINT) AS p FROM {per_movie}))"""
     out["eda_extremes_by_support"] = SPARSE + f"""
 SELECT at_least, count(*) AS n_movies, {_r('min(mean_rating)', 'min_mean')}, {_r('max(mean_rating)', 'max_mean')},
        {_r('avg(mean_rating)', 'avg_mean')}, {_r('stddev_samp(mean_rating)', 'sd_mean')}

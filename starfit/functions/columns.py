@@ -25,15 +25,19 @@ def lambda_grid(
     return [start + step * i for i in range(int((stop - start) / step + 1e-9) + 1)]
 
 
-def to_integer(text: Column, as_type: str = "int") -> Column:
-    """Whole number from text: fractions are cut off, unreadable text gives null."""
-    return text.try_cast("double").try_cast(as_type)
+# Digits with an optional sign, point and exponent: no type suffixes, no named values.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def to_double(text: Column) -> Column:
-    """Number from text; unreadable text, and the text NaN, gives null."""
-    number = text.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Finite number from text; anything else gives null."""
+    number = F.when(text.rlike(NUMBER), text).try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+def to_integer(text: Column, as_type: str = "int") -> Column:
+    """Whole number from text: fractions are cut off, unreadable text gives null."""
+    return to_double(text).try_cast(as_type)
 
 
 def or_zero(effect: Column) -> Column:
@@ -64,8 +68,7 @@ def box_fences(q1: Column, q3: Column) -> tuple[Column, Column]:
 
 def support_band(n: Column) -> Column:
     """Lower end of the band a rating count falls in: 1, 2, 5, 10, 20, 50, ..."""
-    steps = [m * 10**e for e in range(10) for m in (1, 2, 5)]
-    band = F.lit(steps[0])
-    for low in steps[1:]:
-        band = F.when(n >= low, F.lit(low)).otherwise(band)
-    return band.cast("bigint")
+    digits = F.length(n.cast("bigint").cast("string"))
+    power = F.rpad(F.lit("1"), digits, "0").cast("bigint")
+    step = F.when(n >= 5 * power, 5).when(n >= 2 * power, 2).otherwise(1)
+    return (step * power).cast("bigint")

@@ -1,7 +1,8 @@
 """Best unseen movies per user under an additive model.
 
 A user's own effect shifts all their predictions alike, so every user ranks the movies in
-one and the same order and only skips what they have seen. The ranking is served block by
+one and the same order and only skips what they have seen. That holds for levels keyed by the
+user alone or by the movie and its genres; models with other levels are refused. The ranking is served block by
 block until each user has enough, which makes pairing users with all movies needless.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfit.functions import or_zero
-from starfit.operators.effects import GENRE, MOVIE, USER, EffectsModel, Level
+from starfit.operators.effects import EffectsModel, Level
 from starfit.operators.keyed import KeyedTable, attach
 from starfit.sources.staging import stage
 
@@ -30,10 +31,14 @@ def recommend(
 ) -> DataFrame:
     """userId, rank, movieId and prediction of the n best movies each user has not rated.
 
-    ``seen`` has userId, movieId and genres. Scores equal to ``digits`` places tie, and the
-    smaller movie id goes first. Nearly all users are served by the first block; the few who
+    ``seen`` has userId, movieId and genres; a movie with several genres has the smallest.
+    Scores equal to ``digits`` places tie in the ranking, and the smaller movie id goes first;
+    predictions are not rounded. Nearly all users are served by the first block; the few who
     have seen too much of it wait for the next ones.
     """
+    for level in model.levels:
+        if set(level.keys) != {"userId"} and not set(level.keys) <= {"movieId", "genres"}:
+            raise ValueError(f"users rank movies differently under a level of {', '.join(level.keys)}")
     scored = _scores(seen, model, digits)
     waiting = stage(seen.select("userId").distinct().withColumn("_need", F.lit(n)), "users")
     served: list[DataFrame] = []
@@ -59,17 +64,20 @@ def recommend(
     found = served[0]
     for more in served[1:]:
         found = found.unionByName(more)
-    pred = F.lit(model.mu) + or_zero(F.col("b_u")) + F.col("_score")
-    return attach(found, [_table(model, USER)]).select(
+    own = [level for level in model.levels if level.keys == ("userId",)]
+    pred = sum((or_zero(F.col(level.effect)) for level in own), F.lit(model.mu)) + F.col("_exact")
+    return attach(found, [_table(model, level) for level in own]).select(
         "userId", "rank", "movieId", pred.alias("pred")
     )
 
 
 def _scores(seen: DataFrame, model: EffectsModel, digits: int) -> DataFrame:
-    movies = seen.select("movieId", "genres").filter("movieId IS NOT NULL").distinct()
-    effects = attach(movies, [_table(model, MOVIE), _table(model, GENRE)])
-    score = F.round(or_zero(F.col("b_i")) + or_zero(F.col("b_g")), digits)
-    return stage(effects.select("movieId", score.alias("_score")), "movie-scores")
+    movies = seen.filter("movieId IS NOT NULL").groupBy("movieId").agg(F.min("genres").alias("genres"))
+    shared = [level for level in model.levels if level.keys != ("userId",)]
+    effects = attach(movies, [_table(model, level) for level in shared])
+    exact = sum((or_zero(F.col(level.effect)) for level in shared), F.lit(0.0))
+    scored = effects.select("movieId", exact.alias("_exact"), F.round(exact, digits).alias("_score"))
+    return stage(scored, "movie-scores")
 
 
 def _head(scored: DataFrame, size: int) -> DataFrame:
@@ -97,7 +105,9 @@ def _offer(seen: DataFrame, waiting: DataFrame, block: KeyedTable, is_first: boo
     )
     hits = KeyedTable.write(hits, ["userId"], "seen-in-block")
     taken = F.coalesce("_seen", F.array().cast("array<int>"))
-    free = F.array_except(F.sequence(F.lit(1), F.lit(block.n_rows)), taken)
+    # The places needed are among the first so many: each seen one moves them on by one.
+    last = F.least(F.col("_need") + F.size(taken), F.lit(block.n_rows))
+    free = F.array_except(F.sequence(F.lit(1), last), taken)
     return attach(waiting, [hits]).select(
         "userId", "_need", F.slice(free, F.lit(1), F.col("_need")).alias("_places")
     )
@@ -107,7 +117,7 @@ def _picks(offered: DataFrame, block: KeyedTable, n: int) -> DataFrame:
     picked = offered.select("userId", "_need", F.posexplode("_places").alias("_i", "_place"))
     by_place = KeyedTable(block.frame, ("_place",), block.n_rows, block.n_bytes)
     rank = (F.lit(n) - F.col("_need") + F.col("_i") + 1).cast("bigint")
-    return attach(picked, [by_place]).select("userId", rank.alias("rank"), "movieId", "_score")
+    return attach(picked, [by_place]).select("userId", rank.alias("rank"), "movieId", "_exact")
 
 
 def _table(model: EffectsModel, level: Level) -> KeyedTable:

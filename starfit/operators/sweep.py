@@ -1,8 +1,9 @@
-"""Search for λ: validation error of every grid value in one pass."""
+"""Search for λ: validation error of the grid's values, up to 90 of them a pass."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from starfit.operators.effects import RATING, GridFit
 from starfit.operators.keyed import SMALL_BYTES, attach
 
+# Aggregates of more than 100 columns run without generated code.
+SUMS_A_PASS = 90
+
 
 def errors_at(
     rows: DataFrame,
@@ -17,22 +21,28 @@ def errors_at(
     points: Sequence[tuple[int, float]],
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Columns levels, lambda, rmse for each (number of leading levels, λ), in one pass."""
+    """Columns levels, lambda, rmse for each (number of leading levels, λ)."""
     depth = max(levels for levels, _ in points)
     columns = dict.fromkeys(key for level in fitted.levels[:depth] for key in level.keys)
     joined = attach(rows.select(*columns, RATING), fitted.tables[:depth], small_bytes)
     names = {f"_e{i}": (levels, lam) for i, (levels, lam) in enumerate(points)}
-    totals = joined.agg(
-        *[
-            F.expr(f"sqrt(avg(power({_error(fitted, levels, lam)}, 2))) AS {name}")
-            for name, (levels, lam) in names.items()
-        ]
-    )
-    rows_sql = ", ".join(
-        f"named_struct('levels', {levels}, 'lambda', {float(lam)!r}D, 'rmse', {name})"
-        for name, (levels, lam) in names.items()
-    )
-    return totals.select(F.expr(f"inline(array({rows_sql}))"))
+    # Sums and one count, since averages would take two buffer columns each.
+    found = []
+    for start in range(0, len(names), SUMS_A_PASS):
+        part = dict(list(names.items())[start : start + SUMS_A_PASS])
+        totals = joined.agg(
+            F.count(RATING).alias("_n"),
+            *[
+                F.expr(f"sum(power({_error(fitted, levels, lam)}, 2)) AS {name}")
+                for name, (levels, lam) in part.items()
+            ],
+        )
+        rows_sql = ", ".join(
+            f"named_struct('levels', {levels}, 'lambda', {float(lam)!r}D, 'rmse', sqrt(try_divide({name}, _n)))"
+            for name, (levels, lam) in part.items()
+        )
+        found.append(totals.select(F.expr(f"inline(array({rows_sql}))")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _error(fitted: GridFit, levels: int, lam: float) -> str:

@@ -77,6 +77,8 @@ def _messy_ratings(w: Workbench) -> Parsed:
     number = F.col("line_number")
     movie = F.col("movieId").cast("string")
     stamp = F.col("timestamp").cast("string")
+    rating = F.col("rating").cast("string")
+    kind = F.col("movieId") % 10
     lines = w.ratings.select(
         F.concat_ws(
             SEPARATOR,
@@ -85,7 +87,12 @@ def _messy_ratings(w: Workbench) -> Parsed:
             .when(number == 3, F.concat(movie, F.lit("e0")))
             .when(number == 4, F.concat(F.lit("n"), movie))
             .otherwise(movie),
-            F.when(number == 5, "").otherwise(F.col("rating").cast("string")),
+            F.when(number == 5, "")
+            .when((number == 1) & (kind == 0), F.concat(rating, F.lit("f")))
+            .when((number == 1) & (kind == 1), F.concat(rating, F.lit("d")))
+            .when((number == 1) & (kind == 2), "Infinity")
+            .when((number == 1) & (kind == 3), "1e400")
+            .otherwise(rating),
             F.when(number == 6, None)
             .when(number == 7, F.concat(stamp, F.lit(SEPARATOR + "x")))
             .otherwise(stamp),

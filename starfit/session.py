@@ -1,8 +1,9 @@
-"""Session for tests and benchmarks; a cluster brings its own."""
+"""Sessions for tests and benchmarks, and the staging folder of local ones; a cluster brings its own."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,4 +23,16 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return with_local_folder(spark)
+
+
+def with_local_folder(spark: SparkSession) -> SparkSession:
+    """Give a local session without ``spark.checkpoint.dir`` a temporary staging folder.
+
+    A cluster's session is left as it is: a machine's own folder is of no use to it.
+    """
+    context = spark.sparkContext
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+    if unset and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="starfit-"))
     return spark

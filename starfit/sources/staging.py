@@ -2,12 +2,12 @@
 
 A staged table cuts the lineage: it lies in the shared folder named by
 ``spark.checkpoint.dir``, so a lost executor costs no upstream work, and its readers
-get Parquet column pruning, filter pushdown and a known size.
+get Parquet column pruning, filter pushdown and a known size. There is no default folder:
+a session without the setting is refused (``starfit.session`` gives local ones theirs).
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +17,24 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="starfit-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{_shared_folder(spark)}/starfit/{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{_shared_folder(spark)}/starfit/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Remove all tables that this application has staged. Frames that read them are then dead."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNLISTED_BRAND = "Brand#13"
-UNLISTED_TYPE = "SMALL"
+BARE_BRAND = "Brand#13"
+BARE_TYPE = "SMALL"
 ENRICHED_COLUMNS = ("userId", "movieId", "rating", "timestamp", "title", "genres")
 
 
@@ -21,8 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """userId, movieId, rating, timestamp, and line_number and row_key of the source row."""
     items = _table(spark, sf_dir, "lineitem")
-    # Both sides grow with the data, so neither is broadcast.
-    orders = _table(spark, sf_dir, "orders").hint("merge")
+    orders = _table(spark, sf_dir, "orders")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     key = F.concat_ws(
         "|",
@@ -50,14 +49,14 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """movieId, title, genres. One brand's small parts are unlisted, so that some ratings,
-    which all stay, have a movie without title and genres."""
-    unlisted = (F.col("p_brand") == UNLISTED_BRAND) & (F.col("p_type") == UNLISTED_TYPE)
-    parts = _table(spark, sf_dir, "part").filter(~unlisted)
-    return parts.select(
+    """movieId, title, genres of every part. One brand's small parts have neither title nor
+    genres, so that missing values are in play."""
+    bare = (F.col("p_brand") == BARE_BRAND) & (F.col("p_type") == BARE_TYPE)
+    genres = F.concat_ws("|", "p_type", F.split_part("p_name", F.lit(" "), F.lit(2)))
+    return _table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("movieId"),
-        F.col("p_name").alias("title"),
-        F.concat_ws("|", "p_type", F.split_part("p_name", F.lit(" "), F.lit(2))).alias("genres"),
+        F.when(~bare, F.col("p_name")).alias("title"),
+        F.when(~bare, genres).alias("genres"),
     )
 
 
