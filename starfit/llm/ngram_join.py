@@ -56,6 +56,9 @@ FORESTS = 3
 MANY_HERE = 16
 #: Members of one signature whose pairs are listed.
 FEW = 8
+#: Members of one signature up to which all pairs of many signatures are compared at once.
+BATCHED = 64
+PAIRS_AT_ONCE = 500_000
 #: Members of one signature compared in one task; larger groups are compared by pairs of blocks.
 GROUP = 4_096
 
@@ -352,29 +355,39 @@ class Sketches:
 def open_pairs(members: np.ndarray, component: np.ndarray, sketches: Sketches, forest: bool) -> np.ndarray:
     """Open pairs of one signature's members in different components.
 
-    With ``forest`` only so many of them as connect what all of them connect.
+    With ``forest`` only so many of them as connect what all of them connect: one member's
+    partners need no comparison among themselves, all other pairs are compared.
     """
-    pairs: list[np.ndarray] = []
-    waiting = members
-
-    def partners(x: int, among: np.ndarray) -> np.ndarray:
-        among = among[component[among] != component[x]]
-        near = among[sketches.open(np.full(len(among), x), among)]
-        if len(near):
-            pairs.append(np.column_stack([np.full(len(near), x), near]))
-        return near
-
+    found: list[np.ndarray] = []
+    left, others = members, members
     if forest:
-        while len(waiting) > 1:
-            front, waiting = [waiting[0]], waiting[1:]
-            while front and len(waiting):
-                near = partners(front.pop(), waiting)
-                front += near.tolist()
-                waiting = np.setdiff1d(waiting, near, assume_unique=True)
-    else:
-        for k, x in enumerate(members[:-1]):
-            partners(x, members[k + 1 :])
-    return np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+        x, rest = members[0], members[1:]
+        rest = rest[component[rest] != component[x]]
+        near = sketches.open(np.full(len(rest), x), rest)
+        found.append(np.column_stack([np.full(near.sum(), x), rest[near]]))
+        left, others = np.setdiff1d(members[1:], rest[near], assume_unique=True), members[1:]
+    for block in np.array_split(left, -(-len(left) * len(others) // PAIRS_AT_ONCE) or 1):
+        x, y = np.repeat(block, len(others)), np.tile(others, len(block))
+        # Of two members left, one order is enough.
+        once = (component[x] != component[y]) & ((x < y) | ~np.isin(y, left, assume_unique=False))
+        x, y = x[once], y[once]
+        open_ = sketches.open(x, y)
+        found.append(np.column_stack([x[open_], y[open_]]))
+    return np.concatenate(found)
+
+
+def open_pairs_of_equal(groups: np.ndarray, component: np.ndarray, sketches: Sketches) -> tuple[np.ndarray, np.ndarray]:
+    """All open pairs of many signatures with equally many members (a row each), and their rows."""
+    x, y = np.triu_indices(groups.shape[1], 1)
+    pairs, rows = [], []
+    for at in np.array_split(np.arange(len(groups)), -(-len(groups) * len(x) // PAIRS_AT_ONCE) or 1):
+        a, b, row = groups[at][:, x].ravel(), groups[at][:, y].ravel(), np.repeat(at, len(x))
+        apart = component[a] != component[b]
+        a, b, row = a[apart], b[apart], row[apart]
+        open_ = sketches.open(a, b)
+        pairs.append(np.column_stack([a[open_], b[open_]]))
+        rows.append(row[open_])
+    return np.concatenate(pairs), np.concatenate(rows)
 
 
 def forests(pairs: np.ndarray, count: int) -> np.ndarray:
@@ -449,15 +462,30 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
         order = np.lexsort((at, block, signature))
         keys = np.column_stack([signature[order], block[order]])
         heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+        # A hot signature's members may be listed twice: once for their block, once in their bucket.
+        new = np.append(True, at[order[1:]] != at[order[:-1]])
+        new[heads] = True
+        group = np.cumsum(np.isin(np.arange(len(order)), heads))[new] - 1
+        order = order[new]
+        heads = np.flatnonzero(np.append(True, np.diff(group) != 0))
+        sizes = np.diff(np.append(heads, len(order)))
         found: list[np.ndarray] = []
         live: set[int] = set()
-        for a, b in zip(heads, np.append(heads[1:], len(order))):
-            members = np.unique(at[order[a:b]])
-            if (component[members] != component[members[0]]).any():
-                pairs = open_pairs(members, component, sketches, forest)
-                if len(pairs):
-                    live.add(int(signature[order[a]]))
-                    found.append(pairs)
+        for size in np.unique(sizes[sizes > 1]):
+            starts = heads[sizes == size]
+            if size <= BATCHED:
+                pairs, rows = open_pairs_of_equal(at[order[starts[:, None] + np.arange(size)]], component, sketches)
+                live.update(signature[order[starts[np.unique(rows)]]].tolist())
+                found.append(pairs)
+                continue
+            for start in starts:
+                members = at[order[start : start + size]]
+                if (component[members] != component[members[0]]).any():
+                    pairs = open_pairs(members, component, sketches, forest)
+                    if len(pairs):
+                        live.add(int(signature[order[start]]))
+                        found.append(pairs)
+        found = [x for x in found if len(x)]
         if found:
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             ends = np.sort(node[forests(pairs, FORESTS) if forest else pairs], axis=1)

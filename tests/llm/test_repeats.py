@@ -118,9 +118,12 @@ def test_sketches_never_rule_out_a_similar_pair():
             assert ngram_join.open_pairs(np.arange(2), np.arange(2), table, forest).tolist() == [[0, 1]]
 
 
-def test_split_groups_lose_no_pair(docs, texts, monkeypatch):
+@pytest.mark.parametrize("batched", [1, 64])
+def test_split_groups_lose_no_pair(docs, texts, monkeypatch, batched):
     monkeypatch.setattr(ngram_join, "FEW", 2)
     monkeypatch.setattr(ngram_join, "FORESTS", 1)
+    monkeypatch.setattr(ngram_join, "BATCHED", batched)
+    monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", 3)
     monkeypatch.setattr(ngram_join, "GROUP", 2)
     monkeypatch.setattr(ngram_join, "MANY_HERE", 1)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_documents(docs).collect()}
