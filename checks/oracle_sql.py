@@ -276,6 +276,8 @@ FROM comparison, (SELECT rmse AS naive FROM comparison WHERE step = 1) WHERE ste
     quoted = [
         ("Overall mean rating:", "(SELECT mu FROM mean)", 4),
         ("RMSE for baseline model:", at(1), 4),
+        ("Movie Effects RMSE:", at(2), 12),
+        ("User Effects RMSE:", at(3), 12),
         ("Movie effects gain:", f"{at(1)} - {at(2)}", 4),
         ("Movie effects gain in percent:", f"({at(1)} - {at(2)}) / {at(1)} * 100", 1),
         ("User effects gain:", f"{at(1)} - {at(3)}", 4),

@@ -17,6 +17,7 @@ from starfit.functions import or_zero
 from starfit.operators.keyed import (
     ARRAY_BYTES,
     SMALL_BYTES,
+    HotKeys,
     KeyedTable,
     attach,
     grouped_sums,
@@ -58,17 +59,19 @@ class EffectsModel:
             raise ValueError("later levels are fitted on earlier ones: keep leading levels only")
         return EffectsModel(self.mu, self.levels[: len(levels)], self.tables[: len(levels)])
 
-    def predict(self, rows: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    def predict(
+        self, rows: DataFrame, small_bytes: int = SMALL_BYTES, hot: HotKeys | None = None
+    ) -> DataFrame:
         """Input rows with one effect column per level and the prediction.
 
         Columns of an earlier scoring are replaced. Keys unseen in training have effect 0.
-        Predictions are not clipped to the scale.
+        Predictions are not clipped to the scale. ``hot`` spares counting the rows' keys again.
         """
         tables = [
             t.with_values(level.effect) for t, level in zip(self.tables, self.levels)
         ]
         names = [level.effect for level in self.levels]
-        joined = attach(rows.drop(*names, PREDICTION), tables, small_bytes).withColumns(
+        joined = attach(rows.drop(*names, PREDICTION), tables, small_bytes, hot).withColumns(
             {name: or_zero(F.col(name)) for name in names}
         )
         return joined.withColumn(PREDICTION, sum((F.col(n) for n in names), F.lit(self.mu)))
@@ -166,8 +169,12 @@ def fit_grid(
     levels: Sequence[Level],
     grid: Sequence[float],
     small_bytes: int = SMALL_BYTES,
+    hot: HotKeys | None = None,
 ) -> GridFit:
-    """Fit all levels for all λ with one aggregation per level."""
+    """Fit all levels for all λ with one aggregation per level.
+
+    ``hot`` takes up the hot keys of the training rows, for lookups in the same rows later.
+    """
     columns = dict.fromkeys(key for level in levels for key in level.keys)
     base = train.select(*columns, RATING)
     facts = base.agg(
@@ -188,14 +195,15 @@ def fit_grid(
     if math.isnan(facts.mu):
         raise ValueError("a training row's rating is not a number")
     mu = facts.mu
+    hot = hot or HotKeys(base, facts.n)
     fitted = GridFit(mu, tuple(levels), tuple(float(v) for v in grid), ())
     for i, level in enumerate(levels):
         width = 1 if i == 0 else len(grid)
-        rows = attach(base, fitted.tables, small_bytes)
+        rows = attach(base, fitted.tables, small_bytes, hot)
         sums = {f"_s{k}": fitted.residual(i, k) for k in range(width)}
         group_bytes = facts[f"groups_{i}"] * (8 * width + 40)
         summed = grouped_sums(
-            rows, level.keys, {level.count: "1", **sums}, group_bytes, small_bytes, key_rows=base
+            rows, level.keys, {level.count: "1", **sums}, group_bytes, small_bytes, hot
         )
         left_over = ", ".join(f"{name} - {mu!r}D * {level.count}" for name in sums)
         table = summed.select(

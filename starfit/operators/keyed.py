@@ -89,7 +89,7 @@ def _shuffle_partitions(frame: DataFrame) -> int:
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def hot_keys(rows: DataFrame, keys: Sequence[str], total: int | None = None) -> DataFrame:
     """Keys that alone outweigh an average shuffle partition, with the parts to cut each into.
 
     There are fewer of them than shuffle partitions, whatever the data, so the result is
@@ -97,12 +97,28 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     partitions = _shuffle_partitions(rows)
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = rows.count()
+    total = rows.count() if total is None else total
     hot = counts.filter(F.col("_n") * partitions > total)
     parts = F.ceil(F.col("_n") * partitions / F.lit(max(total, 1))).cast("int")
     return stage(hot.select(*keys, parts.alias("_parts")), "hot-keys")
 
 
+class HotKeys:
+    """Hot keys of one input, counted once per key and only if a lookup asks for them."""
+
+    def __init__(self, rows: DataFrame, total: int | None = None):
+        self.rows = rows
+        self.total = total
+        self.found: dict[tuple[str, ...], DataFrame] = {}
+
+    def of(self, keys: Sequence[str]) -> DataFrame:
+        if tuple(keys) not in self.found:
+            if self.total is None:
+                self.total = self.rows.count()
+            self.found[tuple(keys)] = hot_keys(self.rows, keys, self.total)
+        return self.found[tuple(keys)]
+
+
 def _spread(parts: Column) -> Column:
     """Part of a hot key's rows. Depends only on the input partition, so a retry agrees."""
     return F.pmod(F.spark_partition_id(), parts)
@@ -153,19 +169,23 @@ def _attach_large(rows: DataFrame, table: KeyedTable, hot: DataFrame) -> DataFra
 
 
 def attach(
-    rows: DataFrame, tables: Sequence[KeyedTable], small_bytes: int = SMALL_BYTES
+    rows: DataFrame,
+    tables: Sequence[KeyedTable],
+    small_bytes: int = SMALL_BYTES,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to each table on its keys; unmatched rows get null values.
 
     Tables within ``small_bytes`` are broadcast. Larger ones are shuffled with hot keys
-    handled apart.
+    handled apart; hand on ``hot`` where the same rows are looked up again.
     """
     out = rows
+    hot = hot or HotKeys(rows)
     for table in tables:
         if table.fits(small_bytes):
             out = _attach_small(out, table)
         else:
-            out = _attach_large(out, table, hot_keys(rows, table.keys))
+            out = _attach_large(out, table, hot.of(table.keys))
     return out
 
 
@@ -175,7 +195,7 @@ def grouped_sums(
     sums: dict[str, str],
     group_bytes: int,
     small_bytes: int = SMALL_BYTES,
-    key_rows: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Sum SQL expressions per key; ``sums`` maps result names to them.
 
@@ -186,9 +206,9 @@ def grouped_sums(
     aggregates = [F.expr(f"sum({sql}) AS {name}") for name, sql in sums.items()]
     if len(sums) <= 2 or group_bytes <= small_bytes:
         return rows.groupBy(*keys).agg(*aggregates)
-    hot, names = _renamed(hot_keys(rows if key_rows is None else key_rows, keys), keys)
+    known, names = _renamed((hot or HotKeys(rows)).of(keys), keys)
     marked = rows.join(
-        F.broadcast(hot), same_key([rows[k] for k in keys], [hot[n] for n in names]), "left"
+        F.broadcast(known), same_key([rows[k] for k in keys], [known[n] for n in names]), "left"
     ).drop(*names)
     part = F.when(F.col("_parts").isNull(), 0).otherwise(_spread(F.col("_parts")))
     parted = marked.withColumn(_SALT, part).drop("_parts").repartition(*keys, _SALT)

@@ -24,6 +24,7 @@ VALIDATION_SEED = "2"
 PART = "part"
 TRAIN = "train"
 VALIDATION = "validation"
+HOLDOUT = "holdout"
 
 
 def enrich(ratings: DataFrame, movies: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
@@ -67,20 +68,25 @@ def repair_holdout(
 ) -> Repaired:
     """Keep a sampled row in the holdout if all its keys also occur in unsampled rows.
 
-    The other sampled rows go back to the rest. Only sampled rows are looked up and
-    written; the rest stays a filter over the input.
+    The other sampled rows go back to the rest. Nothing is written but the keys that occur in
+    sampled rows only: the parts are filters over the input.
     """
     columns = [c for c in rows.columns if c not in (SAMPLED, STRATUM)]
+    unseen = [unseen_keys(rows, key) for key in keys]
+    flags = [f"_unseen_{key}" for key in keys]
+    if all(table.fits(small_bytes) for table in unseen):
+        checked = attach(rows, unseen, small_bytes)
+    else:  # only sampled rows can have such a key, and only they are shuffled
+        looked_up = attach(rows.filter(SAMPLED), unseen, small_bytes)
+        checked = rows.filter(~F.col(SAMPLED)).unionByName(looked_up, allowMissingColumns=True)
     known = F.lit(True)
-    for key in keys:
-        known = known & F.col(f"known_{key}")
-    checked = known_to_rest(rows, keys, small_bytes).select(*columns, known.alias("_known"))
-    checked = stage(checked, "checked-sample", partition_by="_known")
-    removed = checked.filter(~F.col("_known")).select(*columns)
+    for flag in flags:
+        known = known & F.col(flag).isNull()
+    is_sampled = F.col(SAMPLED)
     return Repaired(
-        holdout=checked.filter("_known").select(*columns),
-        removed=removed,
-        development=rows.filter(~F.col(SAMPLED)).select(*columns).unionByName(removed),
+        holdout=checked.filter(is_sampled & known).select(*columns),
+        removed=checked.filter(is_sampled & ~known).select(*columns),
+        development=checked.filter(~(is_sampled & known)).select(*columns),
     )
 
 
@@ -95,13 +101,9 @@ class ThreeWay:
 
 
 def sample_holdout(enriched: DataFrame, key_columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows flagged for the holdout, before the repair.
-
-    Written by flag: the steps that follow scan it several times and mostly want one side
-    and a column or two, which is much less than hashing every row again.
-    """
-    flagged = stratified_sample(enriched, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=key_columns)
-    return stage(flagged, "flagged", partition_by=SAMPLED)
+    """Rows flagged for the holdout, before the repair. The flag compares a row's hash with
+    literals, so it costs no pass of its own."""
+    return stratified_sample(enriched, HOLDOUT_SHARE, HOLDOUT_SEED, key_columns=key_columns)
 
 
 def partition_three_way(
@@ -117,17 +119,22 @@ def partition_three_way(
 
 
 def split_rest(repaired: Repaired, key_columns: Sequence[str] | None = None) -> ThreeWay:
-    """Training and validation out of the rows that are not in the holdout."""
+    """Training and validation out of the rows that are not in the holdout.
+
+    The cutoffs of either split come from scans of a few columns; the rows are written once,
+    by part.
+    """
     second = stratified_sample(
         repaired.development, VALIDATION_SHARE, VALIDATION_SEED, key_columns=key_columns
     )
     part = F.when(F.col(SAMPLED), VALIDATION).otherwise(TRAIN)
-    development = stage(
-        second.withColumn(PART, part).drop(SAMPLED, STRATUM), "development", partition_by=PART
+    parts = second.withColumn(PART, part).drop(SAMPLED, STRATUM)
+    parts = stage(
+        parts.unionByName(repaired.holdout.withColumn(PART, F.lit(HOLDOUT))), "parts", partition_by=PART
     )
     return ThreeWay(
-        train=development.filter(F.col(PART) == TRAIN).drop(PART),
-        validation=development.filter(F.col(PART) == VALIDATION).drop(PART),
-        holdout=repaired.holdout,
-        development=development.drop(PART),
+        train=parts.filter(F.col(PART) == TRAIN).drop(PART),
+        validation=parts.filter(F.col(PART) == VALIDATION).drop(PART),
+        holdout=parts.filter(F.col(PART) == HOLDOUT).drop(PART),
+        development=parts.filter(F.col(PART) != HOLDOUT).drop(PART),
     )

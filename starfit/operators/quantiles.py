@@ -44,23 +44,37 @@ def group_quantiles(
     without a value are left out.
     """
     keys = list(keys)
-    rows = rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    rows = _valued(rows, keys, value)
     copies = rows.groupBy(*keys).agg(
         F.count("*").alias("n"), F.approx_count_distinct("_v").alias("d")
     )
     largest = copies.agg(F.max("n").alias("n"), F.max("d").alias("d")).first()
     if largest["n"] is None or min(largest["n"], largest["d"]) <= small_group:
-        # The built-in aggregate holds one entry per distinct value of a group.
-        counts = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_copies"))
-        found = counts.groupBy(*keys).agg(
-            F.sum("_copies").alias("n"),
-            F.percentile("_v", list(probs), F.col("_copies")).alias("_p"),
-        )
-        return found.select(
-            *keys, "n", *[F.get("_p", F.lit(i)).alias(f"p{i}") for i in range(len(probs))]
-        )
-    accuracy = min(max(4 * largest["n"] // ORDERED_ROWS, MIN_ACCURACY), MAX_ACCURACY)
-    return _ranged_quantiles(rows, keys, probs, accuracy)
+        return _counted_quantiles(_counts(rows, keys), keys, probs)
+    return _ranged_quantiles(rows, keys, probs, _accuracy(largest["n"]))
+
+
+def _valued(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+
+
+def _counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys, "_v").agg(F.count("*").alias("_copies"))
+
+
+def _accuracy(largest: int) -> int:
+    return min(max(4 * largest // ORDERED_ROWS, MIN_ACCURACY), MAX_ACCURACY)
+
+
+def _counted_quantiles(counts: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles by the built-in aggregate, which holds one entry per distinct value of a group."""
+    found = counts.groupBy(*keys).agg(
+        F.sum("_copies").alias("n"),
+        F.percentile("_v", list(probs), F.col("_copies")).alias("_p"),
+    )
+    return found.select(
+        *keys, "n", *[F.get("_p", F.lit(i)).alias(f"p{i}") for i in range(len(probs))]
+    )
 
 
 def _ranged_quantiles(
@@ -154,23 +168,33 @@ def group_medians(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     return group_quantiles(rows, keys, value, [0.5]).select(*keys, "n", F.col("p0").alias("median"))
 
 
-def box_statistics(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def box_statistics(
+    rows: DataFrame, keys: Sequence[str], value: str, small_group: int = SMALL_GROUP
+) -> DataFrame:
     """What a box plot shows per group: keys, n, q1, median, q3, whiskers, outlier count.
 
-    A whisker ends at the farthest value within 1.5 interquartile ranges of the box.
+    A whisker ends at the farthest value within 1.5 interquartile ranges of the box. The rows
+    are read once, into a table of how often each group has each value.
     """
     keys = list(keys)
-    boxes = group_quantiles(rows, keys, value, [0.25, 0.5, 0.75]).select(
+    counts = stage(_counts(_valued(rows, keys, value), keys), "value-counts")
+    distinct = counts.groupBy(*keys).agg(F.count("*").alias("d"), F.sum("_copies").alias("n"))
+    largest = distinct.agg(F.max("d").alias("d"), F.max("n").alias("n")).first()
+    probs = [0.25, 0.5, 0.75]
+    if (largest["d"] or 0) <= small_group:
+        found = _counted_quantiles(counts, keys, probs)
+    else:
+        found = _ranged_quantiles(_valued(rows, keys, value), keys, probs, _accuracy(largest["n"]))
+    boxes = found.select(
         *keys, "n", F.col("p0").alias("q1"), F.col("p1").alias("median"), F.col("p2").alias("q3")
     )
     boxes = KeyedTable.write(boxes, keys, "boxes")
     low, high = box_fences(F.col("q1"), F.col("q3"))
-    valued = rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
     inside = F.col("_v").between(low, high)
-    ends = attach(valued, [boxes]).groupBy(*keys).agg(
+    ends = attach(counts, [boxes]).groupBy(*keys).agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_copies"))), F.lit(0)).alias("n_outliers"),
     )
     ends = KeyedTable.write(ends, keys, "whiskers")
     return attach(boxes.frame, [ends])

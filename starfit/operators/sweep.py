@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfit.operators.effects import RATING, GridFit
-from starfit.operators.keyed import SMALL_BYTES, attach
+from starfit.operators.keyed import SMALL_BYTES, HotKeys, attach
 
 # Aggregates of more than 100 columns run without generated code.
 SUMS_A_PASS = 90
@@ -20,11 +20,12 @@ def errors_at(
     fitted: GridFit,
     points: Sequence[tuple[int, float]],
     small_bytes: int = SMALL_BYTES,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Columns levels, lambda, rmse for each (number of leading levels, λ)."""
     depth = max(levels for levels, _ in points)
     columns = dict.fromkeys(key for level in fitted.levels[:depth] for key in level.keys)
-    joined = attach(rows.select(*columns, RATING), fitted.tables[:depth], small_bytes)
+    joined = attach(rows.select(*columns, RATING), fitted.tables[:depth], small_bytes, hot)
     names = {f"_e{i}": (levels, lam) for i, (levels, lam) in enumerate(points)}
     # Sums and one count, since averages would take two buffer columns each.
     found = []

@@ -35,6 +35,15 @@ REGULARIZED_MODEL = "Regularized Model"
 GENRE_MODEL = "Optimized Regularized Model with Genre Effects"
 HOLDOUT_MODEL = "Final Model on Holdout"
 
+# Labels of quoted numbers.
+MEAN_LINE = "Overall mean rating:"
+BASELINE_LINE = "RMSE for baseline model:"
+MOVIE_LINE = "Movie Effects RMSE:"
+USER_LINE = "User Effects RMSE:"
+
+#: Places of numbers quoted as they are; sums over rows agree between runs to about so many.
+NOT_ROUNDED = 12
+
 
 @dataclass(frozen=True)
 class Ladder:
@@ -47,6 +56,7 @@ class Ladder:
     train: DataFrame
     validation: DataFrame
     grid: tuple[float, ...] = tuple(lambda_grid())
+    holdout: DataFrame | None = None
 
     @cached_property
     def fitted(self) -> GridFit:
@@ -115,39 +125,46 @@ class Ladder:
         ]
         return _append(steps)
 
-    def comparison(self, holdout: DataFrame) -> DataFrame:
-        """Columns step, method, rmse: the seven lines of the report."""
-        scored = self.final.predict(holdout)
-        last = _append([(HOLDOUT_MODEL, rmse_of(scored))], first_step=7)
-        return self.validation_errors().unionByName(last, allowMissingColumns=True)
+    @cached_property
+    def scored_holdout(self) -> DataFrame:
+        """Holdout rows with effects and prediction of the final model. Written: every
+        diagnostic reads it."""
+        if self.holdout is None:
+            raise ValueError("this ladder has no holdout rows")
+        return stage(self.final.predict(self.holdout), "scored-holdout")
+
+    @cached_property
+    def comparison(self) -> DataFrame:
+        """Columns step, method, rmse: the seven lines of the report, written."""
+        last = _append([(HOLDOUT_MODEL, rmse_of(self.scored_holdout))], first_step=7)
+        return stage(self.validation_errors().unionByName(last), "comparison")
 
     def improvements(self) -> DataFrame:
         """Error saved over the baseline by each model on validation rows."""
-        table = stage(self.validation_errors(), "validation-errors")
-        baseline = table.filter(F.col("method") == BASELINE).select("rmse").scalar()
+        baseline = self.comparison.filter(F.col("method") == BASELINE).select("rmse").scalar()
         saved, percent = gain_over(baseline, F.col("rmse"))
-        return table.filter(F.col("method") != BASELINE).select(
+        return self.comparison.filter(~F.col("method").isin(BASELINE, HOLDOUT_MODEL)).select(
             "step", "method", saved.alias("improvement"), percent.alias("improvement_pct")
         )
 
-    def metrics(self, holdout: DataFrame) -> DataFrame:
+    def metrics(self) -> DataFrame:
         """Columns metric, value: the numbers quoted in the report's text, rounded as there."""
-        table = stage(self.comparison(holdout), "comparison")
-        at = {
-            name: table.filter(F.col("method") == name).select("rmse").scalar()
-            for name in (BASELINE, MOVIE_MODEL, USER_MODEL, COMBINED_MODEL, GENRE_MODEL, HOLDOUT_MODEL)
-        }
+        # Seven numbers and two λ, each read once.
+        at = {row.method: F.lit(row.rmse) for row in self.comparison.collect()}
+        best = {levels: self.best(levels).first()["lambda"] for levels in (2, 3)}
         movie_gain, movie_percent = gain_over(at[BASELINE], at[MOVIE_MODEL])
         user_gain, _ = gain_over(at[BASELINE], at[USER_MODEL])
         quoted: list[tuple[str, Column, int]] = [
-            ("Overall mean rating:", F.lit(self.fitted.mu), 4),
-            ("RMSE for baseline model:", at[BASELINE], 4),
+            (MEAN_LINE, F.lit(self.fitted.mu), 4),
+            (BASELINE_LINE, at[BASELINE], 4),
+            (MOVIE_LINE, at[MOVIE_MODEL], NOT_ROUNDED),
             ("Movie effects gain:", movie_gain, 4),
             ("Movie effects gain in percent:", movie_percent, 1),
+            (USER_LINE, at[USER_MODEL], NOT_ROUNDED),
             ("User effects gain:", user_gain, 4),
             ("Combined effects RMSE:", at[COMBINED_MODEL], 4),
-            ("Optimal lambda, movie and user:", self.best(2).select("lambda").scalar(), 2),
-            ("Optimal lambda, all effects:", self.best(3).select("lambda").scalar(), 2),
+            ("Optimal lambda, movie and user:", F.lit(best[2]), 2),
+            ("Optimal lambda, all effects:", F.lit(best[3]), 2),
             ("Final RMSE on validation:", at[GENRE_MODEL], 4),
             ("Final RMSE on holdout:", at[HOLDOUT_MODEL], 4),
         ]

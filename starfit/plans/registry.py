@@ -386,7 +386,7 @@ def best_lambda(w: Workbench) -> DataFrame:
 
 @query
 def model_comparison(w: Workbench) -> DataFrame:
-    return _tidy(w.ladder.comparison(w.dense.holdout), digits=4)
+    return _tidy(w.ladder.comparison, digits=4)
 
 
 @query
@@ -396,34 +396,30 @@ def improvement_over_baseline(w: Workbench) -> DataFrame:
 
 @query
 def run_metrics(w: Workbench) -> DataFrame:
-    return w.ladder.metrics(w.dense.holdout)
+    return w.ladder.metrics()
 
 
 # ---- Diagnostics
 
 
-def _scored_holdout(w: Workbench) -> DataFrame:
-    return w.ladder.final.predict(w.dense.holdout)
-
-
 @query
 def box_pred_by_rating(w: Workbench) -> DataFrame:
-    return _tidy(diagnostics.box_by_rating(_scored_holdout(w)))
+    return _tidy(diagnostics.box_by_rating(w.ladder.scored_holdout))
 
 
 @query
 def bias_by_rating(w: Workbench) -> DataFrame:
-    return _tidy(diagnostics.bias_by_rating(_scored_holdout(w)))
+    return _tidy(diagnostics.bias_by_rating(w.ladder.scored_holdout))
 
 
 @query
 def pred_vs_actual_hist(w: Workbench) -> DataFrame:
-    return diagnostics.histogram(_scored_holdout(w))
+    return diagnostics.histogram(w.ladder.scored_holdout)
 
 
 @query
 def pred_vs_actual_points(w: Workbench) -> DataFrame:
-    return _tidy(_scored_holdout(w).select("rating", "pred"))
+    return _tidy(w.ladder.scored_holdout.select("rating", "pred"))
 
 
 @query
@@ -437,7 +433,7 @@ def genre_effect_ranking(w: Workbench) -> DataFrame:
 
 
 def _extremes(w: Workbench, worst: bool) -> DataFrame:
-    found = diagnostics.extreme_errors(_scored_holdout(w), 10, ["row_key"], worst)
+    found = diagnostics.extreme_errors(w.ladder.scored_holdout, 10, ["row_key"], worst)
     return _tidy(found.select("userId", "movieId", "rating", "pred", "abs_error"))
 
 

@@ -12,7 +12,7 @@ from starfit.functions import lambda_grid
 from starfit.operators import diagnostics, explore
 from starfit.operators.effects import GENRE
 from starfit.operators.partition import ThreeWay, enrich, partition_three_way
-from starfit.plans.ladder import LEVELS, Ladder
+from starfit.plans.ladder import Ladder
 from starfit.sources.delimited import MOVIE_FIELDS, RATING_FIELDS, SEPARATOR, read_delimited
 from starfit.sources.staging import stage
 
@@ -23,7 +23,7 @@ COUNTED_RATINGS = (0, 3)
 
 @dataclass(frozen=True)
 class Report:
-    """Lazily computed tables over one partition of enriched ratings."""
+    """Lazily computed tables over one partition of enriched ratings, and the final model."""
 
     parts: ThreeWay
     rejects: DataFrame
@@ -32,11 +32,7 @@ class Report:
 
     @cached_property
     def ladder(self) -> Ladder:
-        return Ladder(self.parts.train, self.parts.validation, self.grid)
-
-    @cached_property
-    def scored_holdout(self) -> DataFrame:
-        return self.ladder.final.predict(self.parts.holdout)
+        return Ladder(self.parts.train, self.parts.validation, self.grid, self.parts.holdout)
 
     def tables(self) -> dict[str, DataFrame]:
         """Every table of the report by name."""
@@ -52,15 +48,15 @@ class Report:
             "top5_ratings": explore.top_ratings(known, 5),
             "lambda_curve_2level": ladder.curve(2),
             "lambda_curve_3level": ladder.curve(3),
-            **{f"final_{level.effect}": ladder.final.effects(level) for level in LEVELS},
             "genre_effect_ranking": diagnostics.effect_ranking(ladder.final, GENRE),
             "box_genre_effects": diagnostics.effect_boxes(ladder.final, GENRE),
-            "model_comparison": ladder.comparison(self.parts.holdout),
+            "model_comparison": ladder.comparison,
             "improvement_over_baseline": ladder.improvements(),
-            "run_metrics": ladder.metrics(self.parts.holdout),
-            "box_pred_by_rating": diagnostics.box_by_rating(self.scored_holdout),
-            "bias_by_rating": diagnostics.bias_by_rating(self.scored_holdout),
-            "pred_vs_actual_hist": diagnostics.histogram(self.scored_holdout),
+            "run_metrics": ladder.metrics(),
+            "box_pred_by_rating": diagnostics.box_by_rating(ladder.scored_holdout),
+            "bias_by_rating": diagnostics.bias_by_rating(ladder.scored_holdout),
+            "pred_vs_actual_hist": diagnostics.histogram(ladder.scored_holdout),
+            "scored_holdout": ladder.scored_holdout,
             "rejected_lines": self.rejects,
         }
 

@@ -15,6 +15,7 @@ from starfit.operators.partition import (
     sample_holdout,
     split_rest,
 )
+from starfit.operators.split import SAMPLED
 from starfit.plans.ladder import Ladder
 from starfit.sources import testtables
 from starfit.sources.staging import stage
@@ -47,7 +48,9 @@ class Workbench:
 
     @cached_property
     def sparse_sample(self) -> DataFrame:
-        return sample_holdout(testtables.sparse_ids(self.enriched), KEY)
+        # Written: half a dozen queries read it.
+        sampled = sample_holdout(testtables.sparse_ids(self.enriched), KEY)
+        return stage(sampled, "sparse-sample", partition_by=SAMPLED)
 
     @cached_property
     def sparse_repaired(self) -> Repaired:
@@ -59,14 +62,20 @@ class Workbench:
 
     @cached_property
     def ladder(self) -> Ladder:
-        return Ladder(self.dense.train, self.dense.validation)
+        return Ladder(self.dense.train, self.dense.validation, holdout=self.dense.holdout)
 
 
-_benches: dict[tuple[str, str], Workbench] = {}
+# The benches of the last application alone: an ended one's tables cannot be read any more.
+_benches: dict[str, Workbench] = {}
+_application = ""
 
 
 def workbench(spark: SparkSession, sf_dir: str) -> Workbench:
-    key = (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
-    if key not in _benches:
-        _benches[key] = Workbench(spark, key[1])
-    return _benches[key]
+    global _application
+    if spark.sparkContext.applicationId != _application:
+        _benches.clear()
+        _application = spark.sparkContext.applicationId
+    folder = str(sf_dir).rstrip("/")
+    if folder not in _benches:
+        _benches[folder] = Workbench(spark, folder)
+    return _benches[folder]

@@ -9,6 +9,9 @@ a session without the setting is refused (``starfit.session`` gives local ones t
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +25,11 @@ def _shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="kept")
+
+
 def _own_folder(spark: SparkSession) -> str:
-    return f"{_shared_folder(spark)}/starfit/{spark.sparkContext.applicationId}"
+    return f"{_shared_folder(spark)}/starfit/{spark.sparkContext.applicationId}/{_scope.get()}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -31,10 +37,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def remove_staged(spark: SparkSession) -> None:
-    """Remove all tables that this application has staged. Frames that read them are then dead."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end; frames that read them are then dead."""
+    token = _scope.set(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _scope.reset(token)
 
 
 def stage(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from starfit.functions import lambda_grid, rmse
+from starfit.operators import keyed
 from starfit.operators.diagnostics import rmse_of
 from starfit.operators.effects import GENRE, MOVIE, USER, EffectsModel, fit_effects, fit_grid
 from starfit.operators.sweep import best_lambda, errors_at, lambda_curve, mark_best
@@ -152,3 +155,28 @@ def test_narrowed_tables_know_their_size(mini_train):
     lazy, written = fitted.at(1.0), fitted.at(1.0).written()
     assert [t.n_bytes for t in lazy.tables] == [t.n_bytes for t in written.tables]
     assert all(t.n_bytes < 200 * t.n_rows for t in written.tables)
+
+
+@pytest.mark.parametrize("points", [82, 101])
+def test_sweep_keeps_generated_code(mini_train, mini_validation, points):
+    """Every aggregate of the sweep has a stage of generated code, for wide grids too."""
+    grid = [0.1 * k for k in range(points)]
+    fitted = fit_grid(mini_train, [MOVIE, USER], grid)
+    curve = lambda_curve(mini_validation, fitted)
+    curve.collect()
+    lines = curve._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    aggregates = [x for x in lines if "HashAggregate" in x]
+    assert aggregates and all(re.search(r"\*\(\d+\)", x) for x in aggregates)
+    assert curve.count() == points
+
+
+def test_hot_keys_are_counted_once_per_key(mini_train, monkeypatch, no_auto_broadcast):
+    counted = []
+    monkeypatch.setattr(
+        keyed, "hot_keys", lambda rows, keys, total=None, own=keyed.hot_keys: (counted.append(tuple(keys)), own(rows, keys, total))[1]
+    )
+    hot = keyed.HotKeys(mini_train)
+    fitted = fit_grid(mini_train, [MOVIE, USER, GENRE], [0.0, 1.0, 2.0], small_bytes=0, hot=hot)
+    assert sorted(counted) == [("genres",), ("movieId",), ("userId",)]
+    fitted.at(1.0).predict(mini_train, small_bytes=0, hot=hot).collect()
+    assert len(counted) == 3

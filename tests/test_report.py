@@ -1,11 +1,17 @@
 """The analysis from text files agrees with the same operators on tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from starfit.__main__ import main
+from starfit.operators.effects import EffectsModel
+from starfit.plans.ladder import LEVELS
 from starfit.plans.workbench import workbench
+from starfit.sources import stage, staging_path
 from starfit.sources.delimited import write_delimited
+from starfit.sources.staging import staging_scope
 
 
 @pytest.fixture(scope="module")
@@ -46,4 +52,24 @@ def test_exploration(written, spark, sf_dir):
 
 def test_quoted_numbers(written):
     lines = [r.line for r in written("run_metrics").collect()]
-    assert len(lines) == 10 and lines[0].startswith("Overall mean rating: ")
+    assert len(lines) == 12 and lines[0].startswith("Overall mean rating: ")
+
+
+def test_saved_model_scores(written, spark, sf_dir):
+    """The written model predicts the written holdout; nothing staged on the way is left."""
+    scored = written("scored_holdout")
+    path = scored.inputFiles()[0].removeprefix("file:").rsplit("/", 2)[0]
+    model = EffectsModel.load(spark, f"{path}/model", LEVELS)
+    again = model.predict(scored.drop("pred")).select("userId", "movieId", "timestamp", F.round("pred", 9).alias("p"))
+    assert sorted(again.collect()) == sorted(
+        scored.select("userId", "movieId", "timestamp", F.round("pred", 9).alias("p")).collect()
+    )
+
+
+def test_staged_tables_of_a_scope_go(spark):
+    with staging_scope(spark):
+        inside = staging_path(spark, "gone").rsplit("/", 1)[0]
+        assert stage(spark.range(3), "gone").count() == 3
+        assert os.path.isdir(inside.removeprefix("file://"))
+    assert not os.path.exists(inside.removeprefix("file://"))
+    assert stage(spark.range(3), "kept").count() == 3

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfit.functions import lambda_grid, support_band
-from starfit.operators import diagnostics, explore
-from starfit.operators.effects import GENRE, MOVIE, USER, fit_effects
+from starfit.operators import diagnostics, explore, quantiles
+from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, fit_effects
 from starfit.operators.recommend import recommend
 
 
@@ -40,9 +40,9 @@ def test_profile(mini_train):
 
 
 def test_support_bands(spark):
-    rows = spark.createDataFrame([(n,) for n in (1, 2, 4, 5, 9, 10, 99, 100, 12345)], "n long")
+    rows = spark.createDataFrame([(n,) for n in (1, 2, 4, 5, 9, 10, 99, 100, 12345, 7 * 10**12)], "n long")
     bands = [r.b for r in rows.select(support_band(F.col("n")).alias("b")).collect()]
-    assert bands == [1, 2, 2, 5, 5, 10, 50, 100, 10000]
+    assert bands == [1, 2, 2, 5, 5, 10, 50, 100, 10000, 5 * 10**12]
 
 
 def test_bias_and_histogram(mini_validation, model):
@@ -103,3 +103,25 @@ def test_histogram_bands_hold_their_predictions(mini_validation, model):
         assert diagnostics.histogram(scored).filter(
             (F.col("rating") == r.rating) & (F.col("pred_from") == low)
         ).count() == 1
+
+
+def test_levels_of_user_and_movie_are_refused(mini_train, model):
+    with pytest.raises(ValueError, match="userId, genres"):
+        recommend(mini_train, model.plus(mini_train, USER_GENRE, 1.0), 2)
+
+
+def test_a_movie_with_two_genres_is_offered_once(spark):
+    rows = [(1, 10, 5.0, "b"), (2, 10, 5.0, "a"), (1, 20, 1.0, "c"), (3, 20, 2.0, "c"), (3, 30, 3.0, "c"), (2, 30, 3.0, "c")]
+    seen = spark.createDataFrame(rows, "userId int, movieId int, rating double, genres string")
+    own = fit_effects(seen, [MOVIE, USER, GENRE], 1.0)
+    found = {(r.userId, r["rank"]): r for r in recommend(seen, own, 3, digits=1).collect()}
+    assert found[3, 1].movieId == 10 and (3, 2) not in found
+    asked = spark.createDataFrame([(3, 10, "a")], "userId int, movieId int, genres string")
+    assert found[3, 1].pred == pytest.approx(own.predict(asked).first().pred, abs=1e-12)
+
+
+@pytest.mark.parametrize("small_group", [200_000, 2])
+def test_boxes_on_both_ways(spark, small_group):
+    rows = spark.createDataFrame([(k % 2, float(k * k % 97)) for k in range(60)], "g int, v double")
+    found = {tuple(r) for r in quantiles.box_statistics(rows, ["g"], "v", small_group).collect()}
+    assert found == {tuple(r) for r in quantiles.box_statistics(rows, ["g"], "v").collect()}

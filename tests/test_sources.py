@@ -1,7 +1,9 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from starfit.functions import to_double
 from starfit.sources import MOVIE_FIELDS, RATING_FIELDS, read_delimited, stage, staging_path
 from starfit.sources.delimited import write_delimited
 
@@ -85,11 +87,18 @@ class FakeSession:
         )
 
 
+def test_numbers_are_digits(spark):
+    """No type suffixes, named values or numbers past the range of doubles."""
+    texts = ["5", " 5.5 ", "+.5", "5.", "1e3", "5f", "5d", "5D", "NaN", "Infinity", "-inf", "1e400", "0x10", "", "."]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", to_double(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in rows.collect() if r.n is not None} == {"5": 5, " 5.5 ": 5.5, "+.5": 0.5, "5.": 5, "1e3": 1000}
+
+
 def test_staging_follows_the_session():
     named = FakeSession("spark://host:7077", {"spark.checkpoint.dir": "hdfs://shared/dir/"})
-    assert staging_path(named, "x").startswith("hdfs://shared/dir/starfit/app-1/x-")
+    assert staging_path(named, "x").startswith("hdfs://shared/dir/starfit/app-1/kept/x-")
     set_later = FakeSession("yarn", checkpoint_dir="hdfs://shared/later")
-    assert staging_path(set_later, "x").startswith("hdfs://shared/later/starfit/app-1/x-")
+    assert staging_path(set_later, "x").startswith("hdfs://shared/later/starfit/app-1/kept/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging_path(FakeSession("yarn"), "x")
 
