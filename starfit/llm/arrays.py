@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 #: Bytes that part words: space and 0x09 to 0x0D.
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True

@@ -45,6 +45,8 @@ from starfit.llm.arrays import Words, flat, mix, seeded, slices
 from starfit.llm.components import connected_components
 from starfit.llm.tables import partitions, scanned, staged
 
+#: Bytes of text whose signatures are packed together.
+BLOCK_BYTES = 4 << 20
 #: First-level parts by the number that differences can spoil.
 SPARE = 1.25
 #: Up to so many ids of documents to verify are broadcast (8 MB); beyond, the texts are shuffled.
@@ -257,7 +259,7 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
 
     def sign(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = flat(batch.column(1))
-        for i, j in slices(offsets, 1 << 23):
+        for i, j in slices(offsets, BLOCK_BYTES):
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for a, b in slices(offsets[i : j + 1]):
                 a, b = a + i, b + i

@@ -43,7 +43,7 @@ from starfit.llm.tables import partitions, scanned, staged
 
 LENGTH = 50
 TRIGGER = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: A span of bytes in one number: start * SPAN + size, sizes being under SPAN.
 SPAN = 256
 FOUND = "doc_id long, alt int, open boolean, span long"
