@@ -1,4 +1,4 @@
-"""Registered queries of the corpus operators, each over its whole table, and their SQL."""
+"""Registered queries of the corpus operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfit.llm import byte_bpe, ngram_join, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity, vector_dedup, warc
+from starfit.llm.oracle_sql import ORACLE_SQL
 from starfit.llm.tables import staged
 
 
@@ -83,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_ngram_jaccard_join,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "QUERIES", "packed"]
