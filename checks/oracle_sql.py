@@ -377,16 +377,17 @@ SELECT {_r('sqrt(avg((rating - pred - coalesce(b_ug, 0)) ^ 2))', 'rmse')}
 FROM scored_validation v LEFT JOIN final_user_genre x
   ON x.userId IS NOT DISTINCT FROM v.userId AND x.genres IS NOT DISTINCT FROM v.genres"""
     out["recommend_topn"] = FINALS.rstrip() + f""",
-candidates AS (SELECT DISTINCT movieId, genres FROM development),
+candidates AS (SELECT movieId, min(genres) AS genres FROM development GROUP BY movieId),
 movie_scores AS (
-  SELECT c.movieId, round(coalesce(b_i, 0) + coalesce(b_g, 0), 9) AS score FROM candidates c
+  SELECT c.movieId, coalesce(b_i, 0) + coalesce(b_g, 0) AS exact, round(coalesce(b_i, 0) + coalesce(b_g, 0), 9) AS score
+  FROM candidates c
   LEFT JOIN final_movie m ON m.movieId IS NOT DISTINCT FROM c.movieId
   LEFT JOIN final_genre x ON x.genres IS NOT DISTINCT FROM c.genres),
 pairs AS (
-  SELECT u.userId, s.movieId, s.score FROM (SELECT DISTINCT userId FROM development) u CROSS JOIN movie_scores s
+  SELECT u.userId, s.movieId, s.score, s.exact FROM (SELECT DISTINCT userId FROM development) u CROSS JOIN movie_scores s
   ANTI JOIN development e ON e.userId = u.userId AND e.movieId = s.movieId),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rank FROM pairs)
-SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + score', 'pred')}
+SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + exact', 'pred', 7)}
 FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHERE rank <= 5"""
     return {name: sql.strip() for name, sql in out.items()}
 

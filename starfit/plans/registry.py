@@ -548,4 +548,4 @@ def rmse_user_genre(w: Workbench) -> DataFrame:
 @query
 def recommend_topn(w: Workbench) -> DataFrame:
     seen = w.dense.development.select("userId", "movieId", "genres")
-    return _tidy(recommend(seen, w.ladder.final, 5))
+    return _tidy(recommend(seen, w.ladder.final, 5), digits=7)
