@@ -9,7 +9,7 @@ Bin completion takes the longest piece left and enumerates the undominated filli
 fullest first: fillings that nothing left can extend, and in which no two pieces could be swapped
 for one longer piece that is there. Branches whose waste exceeds what a packing better than the
 incumbent may waste are cut. The incumbent starts as best-fit decreasing; the search ends when
-the lower bound is met or the step limit is spent, and the incumbent is returned.
+the lower bound is met or ``MOST_FILLINGS`` fillings were tried, and the incumbent is returned.
 
 Every piece then gets a number within its length, without ordering a length in one task, and the
 number says which sequence and offset it has.
@@ -21,6 +21,7 @@ each; null ids are allowed; other columns are not read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,94 +33,106 @@ from starfit.llm.pieces import PieceIds
 from starfit.llm.tables import numbered, scanned, staged
 
 CAPACITY = 2048
+#: Fillings that the search tries at most.
+MOST_FILLINGS = 5_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: (lengths in order of place, how many sequences are filled so)
 Filling = tuple[tuple[int, ...], int]
 
 
 class _Stock:
-    """Counts by length, with the longest length present that is at most a given one."""
+    """Counts by length, and the lengths present in order."""
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts.tolist()
+        self.present = np.flatnonzero(counts).tolist()
 
     def longest(self, most: int) -> int:
-        counts = self.counts
-        while most > 0 and counts[most] == 0:
-            most -= 1
-        return most
+        """The longest length present of at most ``most``, or 0."""
+        at = bisect_right(self.present, most)
+        return self.present[at - 1] if at else 0
+
+    def add(self, length: int, times: int) -> None:
+        before = self.counts[length]
+        self.counts[length] = before + times
+        if before == 0 and times:
+            insort(self.present, length)
+        elif before + times == 0 and times:
+            del self.present[bisect_right(self.present, length) - 1]
 
     def times(self, filling: tuple[int, ...]) -> int:
         return min(self.counts[x] // filling.count(x) for x in set(filling))
 
     def take(self, filling: tuple[int, ...], times: int) -> None:
-        for x in filling:
-            self.counts[x] -= times
+        for x in set(filling):
+            self.add(x, -times * filling.count(x))
+
+
+def _fill(stock: _Stock, filling: list[int], room: int) -> int:
+    """Add the longest piece that fits until none does; returns the room left. Takes the pieces."""
+    while at := stock.longest(room):
+        filling.append(at)
+        stock.add(at, -1)
+        room -= at
+    return room
 
 
 def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[Filling]:
     """Longest first, each sequence filled by the longest piece that still fits."""
-    stock, out, longest = _Stock(counts), [], capacity
-    while longest := stock.longest(longest):
-        filling, room = [], capacity
-        while at := stock.longest(room):
-            filling.append(at)
-            stock.counts[at] -= 1
-            room -= at
+    stock, out = _Stock(counts), []
+    while stock.present:
+        filling: list[int] = []
+        _fill(stock, filling, capacity)
         more = stock.times(tuple(filling))
         stock.take(tuple(filling), more)
         out.append((tuple(filling), more + 1))
     return out
 
 
-def completions(stock: _Stock, longest: int, capacity: int, most: int = 4, steps: int = 400) -> list[tuple[int, ...]]:
-    """Undominated fillings around one piece of length ``longest``, fullest first."""
-    found: list[tuple[int, tuple[int, ...]]] = []
-    left = steps
-    counts = stock.counts
+def completions(
+    stock: _Stock, longest: int, capacity: int, most: int = 4, steps: int = 200
+) -> list[tuple[int, ...]]:
+    """Undominated fillings around one piece of length ``longest``, fullest first.
 
-    def extend(filling: tuple[int, ...], room: int, top: int) -> bool:
-        nonlocal left
+    ``steps`` bounds the pieces tried; the filling by the longest that fits is always among them.
+    """
+    first = [longest]
+    stock.add(longest, -1)
+    room = _fill(stock, first, capacity - longest)
+    for x in first[1:]:
+        stock.add(x, 1)
+    found: dict[tuple[int, ...], int] = {tuple(first): room}
+    left, full = steps, int(room == 0)
+
+    def extend(filling: tuple[int, ...], room: int, top: int) -> None:
+        nonlocal left, full
+        if stock.longest(room) == 0:
+            full += found.setdefault(filling, room) == 0
+            return
         at = stock.longest(min(room, top))
-        if at == 0 and stock.longest(room) == 0:
-            found.append((room, filling))
-            return room == 0 and sum(r == 0 for r, _ in found) >= most
-        while at and left > 0:
+        while at and left > 0 and full < most:
             left -= 1
-            counts[at] -= 1
-            done = extend((*filling, at), room - at, at)
-            counts[at] += 1
-            if done:
-                return True
+            stock.add(at, -1)
+            extend((*filling, at), room - at, at)
+            stock.add(at, 1)
             at = stock.longest(at - 1)
-        return False
 
-    counts[longest] -= 1
     extend((longest,), capacity - longest, longest)
-    if not found:  # the limit was met before any filling was whole
-        filling, room = [longest], capacity - longest
-        while at := stock.longest(room):
-            counts[at] -= 1
-            filling.append(at)
-            room -= at
-        for x in filling[1:]:
-            counts[x] += 1
-        found.append((room, tuple(filling)))
-    counts[longest] += 1
-    found.sort(key=lambda x: x[0])
-    out = [f for room, f in found if not _dominated(stock, f, room)] or [found[0][1]]
-    return out[:most]
+    stock.add(longest, 1)
+    ranked = sorted(found, key=found.get)
+    out = [f for f in ranked if found[f] == 0 or not _dominated(stock, f, found[f])]
+    return (out or ranked[:1])[:most]
 
 
 def _dominated(stock: _Stock, filling: tuple[int, ...], room: int) -> bool:
-    """Whether two of the added pieces could give way to one longer piece not in the filling."""
-    rest = filling[1:]
-    for i in range(len(rest)):
-        for j in range(i + 1, len(rest)):
-            both = rest[i] + rest[j]
-            at = stock.longest(min(both + room, len(stock.counts) - 1))
-            if at >= both and at not in filling:
-                return True
+    """Whether two of the added pieces could give way to one at least as long not in the filling."""
+    rest = sorted(set(filling[1:]), reverse=True)
+    for i, x in enumerate(rest):
+        for y in rest[i:]:
+            if x != y or filling.count(x) > 1:
+                at = stock.longest(min(x + y + room, len(stock.counts) - 1))
+                if at >= x + y and at not in filling:
+                    return True
     return False
 
 
@@ -129,7 +142,7 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return max(-(-int((counts * lengths).sum()) // capacity), int(counts[capacity // 2 + 1 :].sum()))
 
 
-def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 30_000) -> list[Filling]:
+def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = MOST_FILLINGS) -> list[Filling]:
     """Fillings that use every length ``counts[length]`` times, in few sequences.
 
     ``counts`` has ``capacity + 1`` entries. ``nodes`` bounds the fillings tried.
@@ -220,7 +233,7 @@ def token_pieces(
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column).mapInArrow(cut, PIECES)
 
 
-def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = 30_000) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = MOST_FILLINGS) -> DataFrame:
     """``pieces`` with sequence_id and offset: which sequence holds a piece, and where."""
     found = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``capacity`` rows
     counts = np.zeros(capacity + 1, np.int64)
