@@ -247,14 +247,10 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
     those that up to ``FEW`` nodes share."""
     buckets = 4 * partitions(docs.sparkSession)
 
-    def packed_rows(bucket, signed: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+    def packed_rows(bucket, *columns: list[np.ndarray]) -> pa.RecordBatch:
+        packed = [pa.array([x.tobytes() for x in c], pa.binary()) for c in columns]
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket, pa.int64()),
-                pa.array([x.tobytes() for x in signed], pa.binary()),
-                pa.array([x.tobytes() for x in nodes], pa.binary()),
-            ],
-            names=["bucket", "signatures", "nodes"],
+            [pa.array(bucket, pa.int64()), *packed], names=["bucket", "signatures", "nodes", "sure"]
         )
 
     def sign(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -273,41 +269,46 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
             bucket = ((signed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             signed = bucket << 32 | (signed & np.uint64(0xFFFFFFFF)).astype(np.int64)
             order = np.lexsort((nodes, signed))
-            signed, nodes, bucket = signed[order], nodes[order], bucket[order]
+            signed, nodes = signed[order], nodes[order]
             new = np.ones(len(signed), bool)  # copies in one block are one node
             new[1:] = (signed[1:] != signed[:-1]) | (nodes[1:] != nodes[:-1])
-            signed, nodes, bucket = signed[new], nodes[new], bucket[new]
-            # A signature with many members here is shared for certain: they need not meet the
-            # others in its bucket, but one of them must, as the only other may be elsewhere.
+            signed, nodes = signed[new], nodes[new]
+            # A signature with many members here is shared for certain: they need not go to its
+            # bucket. It is named there, so that its members from elsewhere are listed, too.
             at = np.flatnonzero(np.append(True, signed[1:] != signed[:-1])) if len(signed) else np.zeros(0, np.int64)
             members = np.diff(np.append(at, len(signed)))
             sure = np.repeat(members > MANY_HERE, members)
+            none = np.zeros(0, np.int64)
             if sure.any():
-                yield packed_rows([buckets + int(signed[0] % buckets)], [signed[sure]], [nodes[sure]])
-                sure[at] = False
-                signed, nodes, bucket = signed[~sure], nodes[~sure], bucket[~sure]
-            heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-            bounds = np.append(heads, len(bucket))
+                yield packed_rows([buckets + int(signed[0] % buckets)], [signed[sure]], [nodes[sure]], [none])
+            named = signed[at][members > MANY_HERE]
+            signed, nodes = signed[~sure], nodes[~sure]
+            numbers = np.unique(np.concatenate([signed, named]) >> 32)
+            ends = [np.searchsorted(x, np.append(numbers, buckets) << 32) for x in (signed, named)]
             yield packed_rows(
-                bucket[heads],
-                [signed[x:y].astype(np.uint32) for x, y in zip(bounds[:-1], bounds[1:])],
-                [nodes[x:y] for x, y in zip(bounds[:-1], bounds[1:])],
+                numbers,
+                [signed[a:b].astype(np.uint32) for a, b in zip(ends[0][:-1], ends[0][1:])],
+                [nodes[a:b] for a, b in zip(ends[0][:-1], ends[0][1:])],
+                [named[a:b].astype(np.uint32) for a, b in zip(ends[1][:-1], ends[1][1:])],
             )
 
     def compare(key, table):
         bucket = key[0].as_py()
-        signed, nodes = b"".join(table["signatures"].to_pylist()), np.frombuffer(b"".join(table["nodes"].to_pylist()), np.int64)
+        signed, nodes, sure = (b"".join(table[c].to_pylist()) for c in ("signatures", "nodes", "sure"))
+        nodes = np.frombuffer(nodes, np.int64)
         if bucket >= buckets:  # shared for certain
             return _shared(np.frombuffer(signed, np.int64), nodes, np.zeros(len(nodes), np.int64), len(nodes))
         signed = np.frombuffer(signed, np.uint32)
         order = np.lexsort((nodes, signed))
         signed, nodes = signed[order], nodes[order]
-        new = np.append(True, (signed[1:] != signed[:-1]) | (nodes[1:] != nodes[:-1]))
-        signed, nodes = signed[new], nodes[new]
-        heads = np.flatnonzero(np.append(True, signed[1:] != signed[:-1]))
+        new = np.append(len(signed) > 0, (signed[1:] != signed[:-1]) | (nodes[1:] != nodes[:-1]))
+        signed, nodes = signed[new[: len(signed)]], nodes[new[: len(signed)]]
+        heads = np.flatnonzero(np.append(len(signed) > 0, signed[1:] != signed[:-1])[: len(signed)])
         members = np.diff(np.append(heads, len(signed)))
-        pairs = np.unique(np.concatenate([group_pairs(nodes, heads[members == m], m) for m in range(2, FEW + 1)]), axis=0)
-        many = np.repeat(members > FEW, members)
+        listed = (members > FEW) | np.isin(signed[heads], np.frombuffer(sure, np.uint32))
+        few = [group_pairs(nodes, heads[(members == m) & ~listed], m) for m in range(2, FEW + 1)]
+        pairs = np.unique(np.concatenate(few), axis=0)
+        many = np.repeat(listed, members)
         return _shared(
             np.append(bucket << 32 | signed[many].astype(np.int64), np.zeros(len(pairs), np.int64)),
             np.append(nodes[many], pairs[:, 0]),
@@ -315,7 +316,7 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
             many.sum(),
         )
 
-    packed = scanned(docs, sign, "bucket long, signatures binary, nodes binary")
+    packed = scanned(docs, sign, "bucket long, signatures binary, nodes binary, sure binary")
     return packed.groupBy("bucket").applyInArrow(compare, "signature long, node long, other long")
 
 

@@ -142,3 +142,31 @@ def test_text_bytes_of_sliced_arrays():
 
     data, offsets = flat(pa.array(["ab", None, "cde", ""]).slice(1, 2))
     assert data.tobytes() == b"cde" and offsets.tolist() == [0, 0, 3]
+
+
+@pytest.mark.parametrize(("here", "few"), [(16, 8), (1, 2), (2, 4), (1, 8)])
+def test_all_pairs_that_share_a_signature_are_listed(docs, texts, monkeypatch, here, few):
+    """Whether they meet in a block, in a bucket, or one side in either."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "MANY_HERE", here)
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    like = ngram_join.Likeness()
+    data, offsets = flat(pa.array(list(texts.values())))
+    with np.errstate(over="ignore"):
+        rows, hashes = ngram_join.shingle_sets(data, offsets, 5)
+        own, signed = ngram_join.signatures(rows, hashes, np.bincount(rows, minlength=len(texts)), like)
+        nodes = ngram_join.fingerprints(rows, hashes, len(texts))[own]
+    groups: dict[int, set[int]] = {}
+    for s, n in zip(signed.tolist(), nodes.tolist()):
+        groups.setdefault(s, set()).add(n)
+    pairs = lambda sets: {(a, b) for g in sets for a in g for b in g if a < b}
+    members: dict[int, set[int]] = {}
+    listed = set()
+    shared = ngram_join._shared_signatures(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), like)
+    for r in shared.collect():
+        if r.other is None:
+            members.setdefault(r.signature, set()).add(r.node)
+        else:
+            listed.add((r.node, r.other))
+    assert pairs(groups.values()) == listed | pairs(members.values())
