@@ -8,7 +8,8 @@ overlap, and the right chunk's from there. Boundaries within ``MARGIN`` characte
 end are not trusted, as the rest of the text could move them. Where a whole overlap has no common
 boundary (a very long run of letters or blanks), the two chunks are joined and parted again, so
 the result is the whole text's whatever the text. The pieces are then encoded by their ranks, in
-parallel (by the boundaries found: blanks parted from what follows would be parted anew), and decoding puts the tokens' raw bytes together.
+parallel (by the boundaries found: blanks parted from what follows would be parted anew), and
+decoding puts the tokens' raw bytes together.
 
 Shorter texts are one chunk and need no shuffle.
 
@@ -110,7 +111,12 @@ def _digests(ids: bytes, tokens: list[bytes]) -> tuple[int, str, str]:
 def _result(doc_ids: list, rows: list[tuple[int, str, str]]) -> pa.RecordBatch:
     n, ids, decoded = zip(*rows) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc_ids, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+        [
+            pa.array(doc_ids, pa.int64()),
+            pa.array(n, pa.int64()),
+            pa.array(ids, pa.string()),
+            pa.array(decoded, pa.string()),
+        ],
         names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     )
 
@@ -140,7 +146,9 @@ def encode_documents(
         find = regex.compile(pattern)
         for batch in batches:
             ends = [cuts(find, t).tolist() for t in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends, pa.list_(pa.int64()))], names=[*batch.schema.names, "ends"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ends, pa.list_(pa.int64()))], names=[*batch.schema.names, "ends"]
+            )
 
     def sew(table):
         # Rows that repeat bring each chunk as often; one of each is enough.
@@ -171,7 +179,9 @@ def encode_documents(
         encoder = vocabulary.encoder()
         for batch in batches:
             ids = [encoder.of(parted(*x)) for x in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary())], names=[*batch.schema.names[:4], "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(ids, pa.binary())], names=[*batch.schema.names[:4], "ids"]
+            )
 
     def join(table):
         table = table.sort_by("segment_no")

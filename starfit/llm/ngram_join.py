@@ -260,7 +260,8 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
             for a, b in slices(offsets[i : j + 1]):
                 a, b = a + i, b + i
                 with np.errstate(over="ignore"):
-                    rows, hashes = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], like.words)
+                    part, own_offsets = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                    rows, hashes = shingle_sets(part, own_offsets, like.words)
                     sizes = np.bincount(rows, minlength=b - a)
                     own, signed = signatures(rows, hashes, sizes, like)
                     found.append((signed, fingerprints(rows, hashes, b - a)[own]))
@@ -444,7 +445,8 @@ def _open_of_pairs(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFr
         F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"sketch_{k}")
     )
     sketched = pairs.join(side("a"), "a").join(side("b"), "b")
-    return sketched.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(hold, "a long, b long, first boolean")
+    columns = ["a", "b", "n_a", "n_b", "sketch_a", "sketch_b"]
+    return sketched.select(*columns).mapInArrow(hold, "a long, b long, first boolean")
 
 
 def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:

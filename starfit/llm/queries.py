@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfit.llm import byte_bpe, ngram_join, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity, vector_dedup, warc
+from starfit.llm import (
+    byte_bpe,
+    ngram_join,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    vector_dedup,
+    warc,
+)
 from starfit.llm.oracle_sql import ORACLE_SQL
 from starfit.llm.tables import staged
 

@@ -88,7 +88,8 @@ def shard_documents(
     step = max(1, whole.bytes // MAX_CLASSES**2)
     wide = F.col("group_size") > whole.bytes // MAX_CLASSES
     stepped = F.floor(F.col("group_size") / step) * step
-    groups = staged(groups.withColumn("class", F.when(wide, F.col("group_size")).otherwise(stepped).cast("long")), "groups")
+    size_class = F.when(wide, F.col("group_size")).otherwise(stepped).cast("long")
+    groups = staged(groups.withColumn("class", size_class), "groups")
     classes = (
         groups.groupBy("class").agg(F.count("*").alias("n"), F.avg("group_size").alias("mean")).toArrow()
     )  # at most 2 * MAX_CLASSES rows

@@ -118,8 +118,11 @@ def first_docs(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np
     return order, np.cumsum(head) - 1, docs[order[head]]
 
 
-def pack(bucket: np.ndarray, columns: list[np.ndarray], passing: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row per bucket. ``passing`` (docs, alts, spans) are settled: they go to buckets from ``buckets`` on."""
+def pack(
+    bucket: np.ndarray, columns: list[np.ndarray], passing: list[np.ndarray], buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """One row per bucket. ``passing`` (docs, alts, spans) is settled and goes to buckets from
+    ``buckets`` on."""
     order = np.argsort(bucket, kind="stable")
     ends = np.flatnonzero(np.append(np.diff(bucket[order]) != 0, True)) + 1 if len(order) else np.zeros(0, np.int64)
     names: list[int] = []
@@ -170,7 +173,8 @@ def _parsed(docs: DataFrame, buckets: int) -> DataFrame:
             late[order] = doc[order] > first[group]
             go = ~late
             bucket = ((trigger[go] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            columns = [trigger[go].astype(np.uint32), content[go], sides[go].copy().view(np.uint32).ravel(), doc[go], alt[go], span[go]]
+            own_sides = sides[go].copy().view(np.uint32).ravel()
+            columns = [trigger[go].astype(np.uint32), content[go], own_sides, doc[go], alt[go], span[go]]
             yield from pack(bucket, columns, [doc[late], alt[late], span[late]], buckets)
 
     return scanned(docs.select("doc_id", "alt", "text"), parse, PACKED)
@@ -228,7 +232,8 @@ def _windows_parsed(docs: DataFrame, buckets: int) -> DataFrame:
             late[order] = doc[order] > first[group]
             go = ~late
             bucket = ((content[go] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            columns = [content[go], np.zeros(go.sum(), np.uint8), np.zeros(go.sum(), np.uint8), doc[go], alt[go], span[go]]
+            none = np.zeros(go.sum(), np.uint8)
+            columns = [content[go], none, none, doc[go], alt[go], span[go]]
             yield from pack(bucket, columns, [doc[late], alt[late], span[late]], buckets)
 
     return scanned(docs.select("doc_id", "alt", "text", "spans"), cut, PACKED)
@@ -288,7 +293,8 @@ def remove_repeats(
 
     found = staged(_phrase_matches(_parsed(known, buckets), buckets), "phrases")
     open_ = _spans(found.where("open"))
-    narrowed = staged(_window_matches(_windows_parsed(known.join(open_, ["doc_id", "alt"]), buckets), buckets), "windows")
+    windows = _windows_parsed(known.join(open_, ["doc_id", "alt"]), buckets)
+    narrowed = staged(_window_matches(windows, buckets), "windows")
     removed = _spans(found.where("not open").unionByName(narrowed))
 
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -338,7 +344,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     A character that lost some of its bytes goes. Null texts stay null.
     """
     rest = [c for c in docs.columns if c != text_column]
-    found = remove_repeats(docs.withColumn("_null", F.col(text_column).isNull()), id_column, text_column, [*rest, "_null"])
+    marked = docs.withColumn("_null", F.col(text_column).isNull())
+    found = remove_repeats(marked, id_column, text_column, [*rest, "_null"])
 
     def decode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = [x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()]

@@ -156,7 +156,8 @@ def _fit(x: np.ndarray, y: np.ndarray, factors: int, steps: int, decay: float) -
         b, t = x[rows].astype(np.float32), y[rows]
         v = theta[1 + d :].reshape(d, factors)
         total = b @ v.astype(np.float32)
-        z = theta[0] + b @ theta[1 : 1 + d].astype(np.float32) + ((total**2).sum(1) - b @ (v**2).sum(1).astype(np.float32)) / 2
+        pairs = ((total**2).sum(1) - b @ (v**2).sum(1).astype(np.float32)) / 2
+        z = theta[0] + b @ theta[1 : 1 + d].astype(np.float32) + pairs
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - t).astype(np.float32) / len(rows)
         eb = b * error[:, None]
         g = np.concatenate(

@@ -238,7 +238,12 @@ def near_duplicates(
     points = staged(
         rows.where("point is not null")
         .groupBy("point")
-        .agg(F.first("group").alias("group"), F.first("unit").alias("unit"), F.count("*").alias("copies"), F.min("vec_id").alias("least_id")),
+        .agg(
+            F.first("group").alias("group"),
+            F.first("unit").alias("unit"),
+            F.count("*").alias("copies"),
+            F.min("vec_id").alias("least_id"),
+        ),
         "points",
     )
     dealt = staged(_deal(points, points.count()), "dealt")
@@ -352,7 +357,9 @@ def audit(
                 ids = np.array([i for i, _ in mine])
                 out_id += ids.tolist()
                 out_n += (close & (names[at][None, :] != ids[:, None])).sum(1).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out_n, pa.int64())], names=["vec_id", "n"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(out_id, pa.int64()), pa.array(out_n, pa.int64())], names=["vec_id", "n"]
+        )
 
     true = scanned(rows, count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("links"))
     joined = true.join(result.select(F.col("vec_id"), "n_links"), "vec_id")
