@@ -5,7 +5,8 @@ number of copies, so groups of exact copies are never expanded. The points of ea
 dealt to cluster shards: centres come from a bounded sample, and each point joins its nearest
 centre's shard as a member and the next nearest ones' (``OVERLAP``) as a guest. Every shard
 builds a flat graph: a point keeps the near neighbours that no kept neighbour is closer to by the
-factor ``ALPHA`` (robust pruning), so that edges also lead far. The adjacency lists a point got in
+factor ``ALPHA`` (robust pruning), so that edges also lead far, and its ``BACK`` nearest ones keep
+it in return, so that it can be reached. The adjacency lists a point got in
 its shards are united. Each shard then searches the united graph among its points, from its
 medoid and a few points spread over it, greedily with a list of ``BEAM`` best points; where the
 list's matches fill it, the search goes on through matches until their neighbours hold no more.
@@ -40,7 +41,7 @@ THRESHOLD = 0.98
 CLUSTER, ROOM = 500, 2_000
 #: Shards a point joins.
 OVERLAP = 3
-DEGREE, NEAR, ALPHA = 24, 64, 1.2
+DEGREE, NEAR, ALPHA, BACK = 24, 64, 1.2, 4
 BEAM, ENTRIES, STRIDE = 32, 8, 4
 #: Sampled points for the centres, and the most centres (16 MB of 64 floats): beyond it clusters grow.
 MAX_SAMPLE, MAX_CENTRES = 100_000, 65_536
@@ -130,7 +131,11 @@ def robust_prune(x: np.ndarray) -> list[np.ndarray]:
                 alive &= ALPHA**2 * between[k] > distance
                 alive[k] = False
             out.append(np.array(kept, np.int64))
-    return out
+    back: list[list[int]] = [[] for _ in out]
+    for k, kept in enumerate(out):
+        for near in kept[:BACK]:
+            back[near].append(k)
+    return [np.union1d(kept, more).astype(np.int64) for kept, more in zip(out, back)]
 
 
 def range_search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, entries: np.ndarray, least: float):
