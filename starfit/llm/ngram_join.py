@@ -53,7 +53,7 @@ SPARE = 1.25
 MANY_IDS = 1_000_000
 #: Spanning forests of a task's open pairs that are verified first: what one false pair parts,
 #: another joins.
-FORESTS = 3
+FORESTS = 2
 #: Members of one signature within a block of texts that make it shared for certain.
 MANY_HERE = 16
 #: Members of one signature whose pairs are listed.
@@ -511,9 +511,10 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
         )
     else:
         members = members.withColumn("block", F.lit(0).cast("long"))
-    dealt = members.select("signature", "block", "node", "n", "sketch", "component").repartition(
-        2 * partitions(members.sparkSession), "signature", "block"
-    )
+    # A task hands out forests over its nodes, so fewer tasks with more signatures hand out less.
+    tasks = max(1, partitions(members.sparkSession) // 4)
+    dealt = members.withColumn("deal", F.pmod(F.xxhash64("signature", "block"), F.lit(tasks)))
+    dealt = dealt.repartition(tasks, "deal").select("signature", "block", "node", "n", "sketch", "component")
     return dealt.mapInArrow(choose, "a long, b long, signature long")
 
 
