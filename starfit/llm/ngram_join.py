@@ -456,9 +456,10 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
     """
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        if table.num_rows == 0:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
+        table = pa.Table.from_batches(batches)
         signature, block = table["signature"].to_numpy(), table["block"].to_numpy()
         node, once, at = np.unique(table["node"].to_numpy(), return_index=True, return_inverse=True)
         own = table.take(pa.array(once))  # one sketch a node
