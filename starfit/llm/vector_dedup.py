@@ -5,10 +5,11 @@ number of copies, so groups of exact copies are never expanded. The points of ea
 dealt to cluster shards: centres come from a bounded sample, and each point joins its nearest
 centre's shard as a member and the next nearest ones' (``OVERLAP``) as a guest. Every shard
 builds a flat graph: a point keeps the near neighbours that no kept neighbour is closer to by the
-factor ``ALPHA`` (robust pruning), so that edges also lead far, and its ``BACK`` nearest ones keep
+factor ``ALPHA`` (robust pruning), and so many of ``DRAWN`` points drawn from the shard, so that
+edges also lead out of a group of near copies; its ``BACK`` nearest ones keep
 it in return, so that it can be reached. The adjacency lists a point got in
-its shards are united. Each shard then searches the united graph among its points, from its
-medoid and a few points spread over it, greedily with a list of ``BEAM`` best points; where the
+its shards are united. Each shard then searches the united graph among its points, from the asking
+point itself, the medoid and a few points spread over the shard, greedily with a list of ``BEAM`` best points; where the
 list's matches fill it, the search goes on through matches until their neighbours hold no more.
 Matches are verified in double precision, and a match counts in the shard it is a member of, once.
 
@@ -42,6 +43,8 @@ CLUSTER, ROOM = 500, 2_000
 #: Shards a point joins.
 OVERLAP = 3
 DEGREE, NEAR, ALPHA, BACK = 24, 64, 1.2, 4
+#: Points of the shard drawn as far candidates, and the most of them kept.
+DRAWN, FAR = 64, 8
 BEAM, ENTRIES, STRIDE = 32, 8, 4
 #: Sampled points for the centres, and the most centres (16 MB of 64 floats): beyond it clusters grow.
 MAX_SAMPLE, MAX_CENTRES = 100_000, 65_536
@@ -107,52 +110,68 @@ def centres(x: np.ndarray, count: int, rounds: int = 6) -> np.ndarray:
     return found
 
 
+def _prune(x: np.ndarray, near: np.ndarray, candidates: np.ndarray, most: int) -> list[int]:
+    """At most ``most`` candidates, the nearest first, without those a kept one is ``ALPHA`` closer to."""
+    candidates = candidates[np.argsort(-near[candidates], kind="stable")]
+    kept: list[int] = []
+    # Squared distance of unit vectors is 2 - 2 cos.
+    distance = np.maximum(1 - near[candidates], 0)
+    between = 1 - x[candidates] @ x[candidates].T
+    alive = np.ones(len(candidates), bool)
+    while alive.any() and len(kept) < most:
+        k = int(alive.argmax())
+        kept.append(int(candidates[k]))
+        alive &= ALPHA**2 * between[k] > distance
+        alive[k] = False
+    return kept
+
+
 def robust_prune(x: np.ndarray) -> list[np.ndarray]:
-    """Neighbours of every row: the nearest first, dropping those a kept one is ``ALPHA`` closer to."""
-    out = []
+    """Neighbours of every row: pruned from its nearest rows and, apart, from rows drawn anywhere.
+
+    In a group of more than ``NEAR`` near copies the nearest rows all lie in the group; the drawn
+    ones lead out of it, and between parts of it.
+    """
+    out, far = [], []
     width = min(NEAR, len(x) - 1)
+    draw = np.random.default_rng(len(x))  # a retried task draws the same
     for a in range(0, len(x), 512):
         near = x[a : a + 512] @ x.T
         near[np.arange(len(near)), np.arange(a, a + len(near))] = -2
         if width < len(x) - 1:
             best = np.argpartition(-near, width, axis=1)[:, :width]
+            drawn = draw.integers(0, len(x), (len(near), DRAWN))
         else:
             best = np.argsort(-near, axis=1)[:, :width]
-        for row, candidates in zip(near, best):
-            candidates = candidates[np.argsort(-row[candidates], kind="stable")]
-            kept: list[int] = []
-            # Squared distance of unit vectors is 2 - 2 cos.
-            distance = np.maximum(1 - row[candidates], 0)
-            between = 1 - x[candidates] @ x[candidates].T
-            alive = np.ones(len(candidates), bool)
-            while alive.any() and len(kept) < DEGREE:
-                k = int(alive.argmax())
-                kept.append(int(candidates[k]))
-                alive &= ALPHA**2 * between[k] > distance
-                alive[k] = False
-            out.append(np.array(kept, np.int64))
+            drawn = np.zeros((len(near), 0), np.int64)
+        for k, (row, candidates, others) in enumerate(zip(near, best, drawn), a):
+            out.append(np.array(_prune(x, row, candidates, DEGREE), np.int64))
+            others = np.setdiff1d(others, candidates)
+            far.append(np.array(_prune(x, row, others[others != k], FAR), np.int64))
     back: list[list[int]] = [[] for _ in out]
     for k, kept in enumerate(out):
         for near in kept[:BACK]:
             back[near].append(k)
-    return [np.union1d(kept, more).astype(np.int64) for kept, more in zip(out, back)]
+    return [np.unique(np.concatenate([kept, more, other])).astype(np.int64) for kept, more, other in zip(out, back, far)]
 
 
-def range_search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, entries: np.ndarray, least: float):
-    """For every query, the rows of ``x`` with a dot product of ``least`` or more that a search meets.
+def range_search(x: np.ndarray, graph: list[np.ndarray], asking: np.ndarray, entries: np.ndarray, least: float):
+    """For every asking row, the rows of ``x`` with a dot product of ``least`` or more that a search meets.
 
-    Queries advance together: each expands its ``STRIDE`` best points not yet expanded, as far as
+    A search starts from the asking row itself and from ``entries``. Queries advance together: each expands its ``STRIDE`` best points not yet expanded, as far as
     they are among its ``BEAM`` best or are matches.
     """
     width = max((len(g) for g in graph), default=0)
     table = np.full((len(x), max(1, width)), -1, np.int64)
     for k, g in enumerate(graph):
         table[k, : len(g)] = g
-    n = len(queries)
+    queries, n = x[asking], len(asking)
     score = np.full((n, len(x)), -2.0)
     open_ = np.zeros((n, len(x)), bool)
     score[:, entries] = queries @ x[entries].T
     open_[:, entries] = True
+    score[np.arange(n), asking] = np.einsum("ij,ij->i", queries, queries)
+    open_[np.arange(n), asking] = True
     busy = np.arange(n)
     while len(busy):
         own = np.where(open_[busy], score[busy], -3.0)
@@ -301,7 +320,7 @@ def near_duplicates(
 
         for a in range(0, len(asking), 256):
             ask = asking[a : a + 256]
-            for k, met in zip(ask, range_search(x, graph, x[ask], entries, least)):
+            for k, met in zip(ask, range_search(x, graph, ask, entries, least)):
                 met = met[met != k]
                 met = met[(x[met] * x[k]).sum(1) >= least]  # in double precision, one by one
                 links[k] = copies[met[member[met]]].sum()

@@ -117,6 +117,35 @@ def test_links_equal_brute_force(spark, monkeypatch, cluster, room):
     assert audited.recall >= 0.9 and audited.links > 0
 
 
+def _groups(sizes, dim=64, noise=0.05, seed=5):
+    """Near copies around one random vector a group, none equal to another."""
+    draw = np.random.default_rng(seed)
+    x = np.concatenate([draw.normal(size=dim) + noise * draw.normal(size=(n, dim)) for n in sizes])
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+@pytest.mark.parametrize("sizes", [[75] * 20, [70] * 40, [70, 1000, 90, 150, 300, 70, 500]])
+def test_searches_leave_groups_of_near_copies(sizes):
+    x = _groups(sizes)
+    graph, entries = vector_dedup.robust_prune(x), vector_dedup.medoid_and_spread(x)
+    found = vector_dedup.range_search(x, graph, np.arange(len(x)), entries, 0.98)
+    true = (x @ x.T >= 0.98).sum(1)
+    assert sum(map(len, found)) >= 0.99 * true.sum()
+
+
+def test_many_groups_of_near_copies_within_a_label(spark):
+    x = _groups([70] * 12 + [75] * 12 + [120] * 5 + [300, 1000])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    result = vector_dedup.near_duplicates(vectors)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in result.collect()}
+    close = x @ x.T >= 0.98
+    true, first = close.sum(1) - 1, close.argmax(1)
+    assert sum(n for n, _ in found.values()) >= 0.99 * true.sum()
+    assert all(n <= true[i] for i, (n, _) in found.items())
+    assert [found[i][1] for i in range(len(x))] == first.tolist()
+
+
 def test_vectors_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
