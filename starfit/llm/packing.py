@@ -21,7 +21,7 @@ each; null ids are allowed; other columns are not read.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +34,7 @@ from starfit.llm.tables import numbered, scanned, staged
 
 CAPACITY = 2048
 #: Fillings that the search tries at most.
-MOST_FILLINGS = 5_000
+MOST_FILLINGS = 30_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: (lengths in order of place, how many sequences are filled so)
 Filling = tuple[tuple[int, ...], int]
@@ -78,19 +78,41 @@ def _fill(stock: _Stock, filling: list[int], room: int) -> int:
 
 
 def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[Filling]:
-    """Longest first, each sequence filled by the longest piece that still fits."""
-    stock, out = _Stock(counts), []
-    while stock.present:
-        filling: list[int] = []
-        _fill(stock, filling, capacity)
-        more = stock.times(tuple(filling))
-        stock.take(tuple(filling), more)
-        out.append((tuple(filling), more + 1))
-    return out
+    """Longest first, each piece to the open sequence with the least room that holds it."""
+    open_: dict[int, list[Filling]] = {}  # by room
+    rooms: list[int] = []  # those of ``open_``, in order
+
+    def put(room: int, filling: Filling) -> None:
+        if room not in open_:
+            insort(rooms, room)
+        open_.setdefault(room, []).append(filling)
+
+    for x in np.flatnonzero(counts)[::-1].tolist():
+        left, at = int(counts[x]), bisect_left(rooms, x)
+        grown: list[tuple[int, Filling]] = []
+        while left and at < len(rooms):
+            # A sequence that takes a piece has the least room then, so it goes on until full.
+            room = rooms[at]
+            filling, times = open_[room].pop()
+            each = min(room // x, left)
+            whole = min(times, left // each)
+            if whole < times:
+                open_[room].append((filling, times - whole))
+            grown.append((room - each * x, (filling + (x,) * each, whole)))
+            left -= each * whole
+            if not open_[room]:
+                del open_[room], rooms[at]
+        while left:
+            each = min(capacity // x, left)
+            grown.append((capacity - each * x, ((x,) * each, left // each)))
+            left %= each
+        for room, filling in grown:
+            put(room, filling)
+    return [filling for fillings in open_.values() for filling in fillings]
 
 
 def completions(
-    stock: _Stock, longest: int, capacity: int, most: int = 4, steps: int = 200
+    stock: _Stock, longest: int, capacity: int, most: int = 4, steps: int = 400
 ) -> list[tuple[int, ...]]:
     """Undominated fillings around one piece of length ``longest``, fullest first.
 

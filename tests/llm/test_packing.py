@@ -109,6 +109,24 @@ def test_bin_completion_beats_best_fit(seed):
     assert sum(n for _, n in found) >= packing.lower_bound(counts, 100)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_incumbent_is_best_fit_decreasing(seed):
+    """The same rooms as giving every piece, longest first, to the sequence with the least room for it."""
+    draw = np.random.default_rng(seed)
+    lengths = np.sort(draw.integers(1, 60, 300))[::-1]
+    rooms: list[int] = []
+    for x in lengths.tolist():
+        k = min((k for k, room in enumerate(rooms) if room >= x), key=rooms.__getitem__, default=None)
+        if k is None:
+            rooms.append(100 - x)
+        else:
+            rooms[k] -= x
+    fillings = packing.best_fit_decreasing(np.bincount(lengths, minlength=101), 100)
+    assert sorted(r for f, n in fillings for r in [100 - sum(f)] * n) == sorted(rooms)
+    used = sorted((x for f, n in fillings for x in f * n), reverse=True)
+    assert used == lengths.tolist()
+
+
 def test_bin_completion_finds_the_optimum():
     """Triples that fill 100 exactly, where taking the longest that fits goes wrong."""
     counts = np.zeros(101, int)
