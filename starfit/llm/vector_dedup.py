@@ -12,6 +12,8 @@ its shards are united. Each shard then searches the united graph among its point
 point itself, the medoid and a few points spread over the shard, greedily with a list of ``BEAM`` best points; where the
 list's matches fill it, the search goes on through matches until their neighbours hold no more.
 Matches are verified in double precision, and a match counts in the shard it is a member of, once.
+A member that is not asked about in its match's home cluster counts the match there in return, and
+two members that ask in one shard count a pair that either of them finds.
 
 Clusters of more than ``ROOM`` members are split into blocks, and every point of the cluster is
 searched in each block; the points to search come in chunks, each to a shard of its own. So a very
@@ -208,7 +210,7 @@ def medoid_and_spread(x: np.ndarray) -> np.ndarray:
 
 
 def _deal(points: DataFrame, n_points: int) -> DataFrame:
-    """Points with their shards: group, cluster, block, home (member or guest)."""
+    """Points with their clusters: group, cluster, home (member or guest), clusters (the home first)."""
     share = min(1.0, MAX_SAMPLE / max(n_points, 1))
     size = max(CLUSTER, -(-n_points // MAX_CENTRES))
     sample = points.where(F.pmod(F.xxhash64("point"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
@@ -234,18 +236,25 @@ def _deal(points: DataFrame, n_points: int) -> DataFrame:
             c = known.value.get(g)
             x = matrix(batch.column(2).take(pa.array(at)))
             near = np.argsort(-(x @ c.T), axis=1)[:, :OVERLAP] if c is not None else np.zeros((len(at), 1), int)
-            picked += [(int(p), int(k), rank == 0) for p, row in zip(at, near) for rank, k in enumerate(row)]
-        rows, cluster, home = (np.array(c) for c in zip(*picked)) if picked else (np.zeros(0, int),) * 3
-        table = batch.take(pa.array(rows))
+            picked += [
+                (int(p), int(k), rank == 0, row.tolist()) for p, row in zip(at, near) for rank, k in enumerate(row)
+            ]
+        rows, cluster, home, clusters = zip(*picked) if picked else ((),) * 4
+        table = batch.take(pa.array(rows, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [*table.columns, pa.array(cluster.astype(np.int64)), pa.array(home.astype(bool))],
-            names=[*batch.schema.names, "cluster", "home"],
+            [
+                *table.columns,
+                pa.array(cluster, pa.int64()),
+                pa.array(home, pa.bool_()),
+                pa.array(clusters, pa.list_(pa.int64())),
+            ],
+            names=[*batch.schema.names, "cluster", "home", "clusters"],
         )
 
     return scanned(
         points.select("point", "group", "unit", "copies"),
         assign,
-        "point long, group string, unit binary, copies long, cluster long, home boolean",
+        "point long, group string, unit binary, copies long, cluster long, home boolean, clusters array<long>",
     )
 
 
@@ -287,7 +296,7 @@ def near_duplicates(
         .withColumn("asks", F.col("own") == F.col("chunk"))
         .withColumn("shard", F.xxhash64("group", "cluster", "block", "chunk"))
     )
-    shards = staged(placed.select("shard", "point", "unit", "copies", "member", "asks"), "shards")
+    shards = staged(placed.select("shard", "point", "unit", "copies", "member", "asks", "clusters"), "shards")
 
     def build(table):
         table = table.sort_by("point")
@@ -303,7 +312,12 @@ def near_duplicates(
     def search(table):
         table = table.sort_by("point")
         x, names, member = matrix(table["unit"]), table["point"].to_numpy(), table["member"].to_numpy()
-        copies, asking = table["copies"].to_numpy(), np.flatnonzero(table["asks"].to_numpy())
+        copies, asks = table["copies"].to_numpy(), table["asks"].to_numpy()
+        asking, clusters = np.flatnonzero(asks), table["clusters"].to_pylist()
+        home = np.array([c[0] for c in clusters])
+        joins = np.array([c + c[:1] * (OVERLAP - len(c)) for c in clusters])
+        both = member & asks
+        found = np.zeros((len(x), len(x)), bool)  # a shard has some 3 * ROOM points
         graph = []
         for near in table["near"].to_pylist():
             near = np.array(near or [], np.int64)
@@ -323,9 +337,14 @@ def near_duplicates(
             for k, met in zip(ask, range_search(x, graph, ask, entries, least)):
                 met = met[met != k]
                 met = met[(x[met] * x[k]).sum(1) >= least]  # in double precision, one by one
-                links[k] = copies[met[member[met]]].sum()
+                met_members = met[member[met]]
+                found[k, met_members] = True
+                # Those that do not ask where ``k`` is a member would never count it.
+                links[met_members[(joins[met_members] != home[k]).all(1)]] += copies[k]
                 for m in met:
                     root[find(m)] = find(k)
+        for k in asking:
+            links[k] += copies[found[k] | (both & both[k] & found[:, k])].sum()
         top = np.array([find(k) for k in range(len(x))])
         return pa.table({"point": names, "links": links, "root": names[top]})
 

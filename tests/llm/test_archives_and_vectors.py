@@ -146,6 +146,28 @@ def test_many_groups_of_near_copies_within_a_label(spark):
     assert [found[i][1] for i in range(len(x))] == first.tolist()
 
 
+def test_pairs_found_from_one_end_count_for_both(spark, monkeypatch):
+    """Each point joins one cluster but for one group's, so that pairs are met from one side only."""
+    x = _groups([40, 40], dim=8, noise=0.1)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    deal = vector_dedup._deal
+
+    def lopsided(points, n_points):
+        few = F.pmod(F.xxhash64("point"), F.lit(2)) == 0
+        home = F.when(few, 0).otherwise(1).cast("long")
+        clusters = F.when(few, F.array(home, F.lit(1).cast("long"))).otherwise(F.array(home))
+        names = [c for c in deal(points, n_points).columns if c not in ("cluster", "home", "clusters")]
+        dealt = points.select(*names, clusters.alias("clusters"), home.alias("own"))
+        dealt = dealt.withColumn("cluster", F.explode("clusters")).withColumn("home", F.col("cluster") == F.col("own"))
+        return dealt.drop("own")
+
+    monkeypatch.setattr(vector_dedup, "_deal", lopsided)
+    found = {r.vec_id: r.n_links for r in vector_dedup.near_duplicates(vectors, 0.9).collect()}
+    true = (x @ x.T >= 0.9).sum(1) - 1
+    assert [found[i] for i in range(len(x))] == true.tolist()
+
+
 def test_vectors_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
