@@ -2,14 +2,13 @@
 
 A byte is removed if some ``LENGTH`` bytes around it also start in a document with a smaller id.
 Sorting all suffixes of a corpus would find these, but it moves every position of every text.
-Prefix-free parsing sorts phrases instead: a rolling hash picks trigger positions that depend on
-the bytes alone, triggers part each text into overlapping phrases, and suffixes are compared
-inside a dictionary of phrases and through the order of phrases in the texts.
+Here, as in prefix-free parsing, a hash picks trigger positions that depend on the bytes alone, and
+triggers part each text into overlapping phrases. No suffix array, dictionary order or parse order is
+made: the result only asks which windows are equal, so phrases and windows are grouped by hash.
 
 Triggers are the smallest hashes among the ``TRIGGER``-byte strings of a window of ``LENGTH``
 bytes, so every window holds a trigger, its first smallest, and belongs to that trigger's phrase
-alone: a phrase is a run of windows with one trigger. Two steps then place all windows in corpus
-order.
+alone: a phrase is a run of windows with one trigger. Two steps then compare all windows.
 
 *Parse.* Phrases are packed by a hash of their trigger. A phrase that occurs as a whole in a
 smaller document is removed there. Within a block of texts this is settled at once, and only a
@@ -17,8 +16,8 @@ phrase's first document goes on, so that no number of copies meets in one task.
 
 *Dictionary.* What is left are phrases that differ and yet may share some windows: their trigger
 and the bytes on one side of it must agree, for a shared window reaches at least half of what is
-not trigger to one side. Only these phrases' windows are sorted by content, as the suffixes of
-the dictionary, and each window's smallest document decides.
+not trigger to one side. Only these phrases' windows are grouped by the hash of their content, and each
+window's smallest document decides.
 
 Strings are compared by 64-bit hashes (the parse by trigger and phrase together). Everything is
 judged on the input texts; matches never cross documents.
