@@ -5,7 +5,7 @@ heap. The rule only looks at sizes, so it runs over the distinct group sizes and
 have each: a run of equal sizes deals out to the shards in one step, as the heap would one by one.
 What reaches the driver is bounded: groups above ``total / MAX_CLASSES`` bytes are at most
 ``MAX_CLASSES``, and smaller sizes are classed by steps of ``total / MAX_CLASSES**2`` bytes (one
-byte, so exact sizes, up to 10 GB a shard count of any size; a class then counts with its mean).
+byte, so exact sizes, below 20 GB for any number of shards; a class then counts with its mean).
 Groups are numbered within their size without ordering a size in one task, and the number picks
 the shard.
 
