@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfit.llm.pieces import PieceIds, rank_encoder, read_ranks
+from starfit.llm.pieces import PieceIds, RankEncoder, read_ranks
 from starfit.llm.tables import scanned
 
 CHUNK = 32_768
@@ -50,9 +50,12 @@ class Vocabulary:
     def read(path: str, pattern: str) -> Vocabulary:
         return Vocabulary(read_ranks(path), pattern)
 
-    def encoder(self) -> PieceIds:
-        coder = rank_encoder(self.ranks, self.pattern)
-        return PieceIds(lambda pieces: [coder.encode_ordinary(p) for p in pieces], self.pattern)
+    def encoder(self) -> RankEncoder:
+        return RankEncoder(self.ranks, self.pattern)
+
+    def piece_encoder(self) -> PieceIds:
+        coder = self.encoder()
+        return PieceIds(lambda pieces: [coder.piece(p) for p in pieces], self.pattern)
 
     def tokens(self) -> list[bytes]:
         out = [b""] * (max(self.ranks.values(), default=-1) + 1)
@@ -71,7 +74,8 @@ def stitch(
 ) -> list[tuple[str, np.ndarray]]:
     """Segments of the whole text, each with the ends of its pre-tokens.
 
-    Chunk ``i`` starts at character ``i * size`` and overlaps the next.
+    Chunk ``i`` starts at character ``i * size`` and overlaps the next. Neighbours without a
+    common boundary are joined, as many as follow each other, and parted again at once.
     """
     segments: list[tuple[str, np.ndarray]] = []
 
@@ -79,18 +83,27 @@ def stitch(
         mine = own[(own > from_) & (own <= upto)]
         segments.append((text[from_:upto], mine - from_))
 
+    def common(k: int, text: str, at: int, own: np.ndarray) -> np.ndarray:
+        """Boundaries that chunk ``k`` has in common with a text before it, by place in the whole."""
+        trusted = own[(own >= k * size - at) & (own <= len(text) - MARGIN)] + at
+        return np.intersect1d(trusted, np.append(ends[k], 0) + k * size)
+
     text, at, own = chunks[0], 0, ends[0]  # the open chunk, its place, its boundaries from there
     from_ = 0  # first character of the open chunk not given out yet
-    for k in range(1, len(chunks)):
-        start = k * size
-        trusted = own[(own >= start - at) & (own <= len(text) - MARGIN)] + at
-        common = np.intersect1d(trusted, np.append(ends[k], 0) + start)
-        if len(common):
-            give(int(common[0]) - at)
-            text, at, own, from_ = chunks[k], start, ends[k], int(common[0]) - start
-        else:
-            text = text[: start - at] + chunks[k]
-            own = from_ + cuts(find, text[from_:])
+    k = 1
+    while k < len(chunks):
+        shared = common(k, text, at, own)
+        if len(shared):
+            give(int(shared[0]) - at)
+            text, at, own, from_ = chunks[k], k * size, ends[k], int(shared[0]) - k * size
+            k += 1
+            continue
+        last = k
+        while last + 1 < len(chunks) and not len(common(last + 1, chunks[last], last * size, ends[last])):
+            last += 1
+        text = "".join([text[: k * size - at], *(c[:size] for c in chunks[k:last]), chunks[last]])
+        own = from_ + cuts(find, text[from_:])
+        k = last + 1
     give(len(text))
     return segments
 
@@ -139,7 +152,7 @@ def encode_documents(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, by_id = vocabulary.encoder(), vocabulary.tokens()
         for batch in batches:
-            found = [_digests(encoder.of(encoder.find(t)), by_id) for t in batch.column(1).to_pylist()]
+            found = [_digests(encoder.text(t), by_id) for t in batch.column(1).to_pylist()]
             yield _result(batch.column(0).to_pylist(), found)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +189,7 @@ def encode_documents(
         )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary.encoder()
+        encoder = vocabulary.piece_encoder()
         for batch in batches:
             ids = [encoder.of(parted(*x)) for x in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
             yield pa.RecordBatch.from_arrays(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfit.llm.pieces import PieceIds
+from starfit.llm.pieces import PieceIds, RankEncoder, plain_ranks
 from starfit.llm.tables import numbered, scanned, staged
 
 CAPACITY = 2048
@@ -224,23 +224,32 @@ def token_pieces(
 ) -> DataFrame:
     """Every document's ids and end marker, cut where longer than ``capacity``: one row a piece.
 
-    ``tokenizer_json`` is the vocabulary file's content; its pre-tokens are those of ``pattern``,
-    so that a piece of text met before need not be encoded again.
+    ``tokenizer_json`` is the vocabulary file's content and ``pattern`` parts text as the file
+    does. Where the file's ids are the order of its merges, whole texts are encoded by rank;
+    else through the file's library, each distinct pre-token of a task once.
     """
+    ranks = plain_ranks(tokenizer_json)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_file():
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_str(tokenizer_json)
         model.encode_special_tokens = True
-        encoder = PieceIds(
-            lambda pieces: [x.ids for x in model.encode_batch_fast(pieces, add_special_tokens=False)], pattern
-        )
+
+        def ids(pieces: list[str]) -> list[bytes]:
+            found = model.encode_batch_fast(pieces, add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+        encoder = PieceIds(ids, pattern)
+        return lambda text: encoder.of(encoder.find(text))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = RankEncoder(ranks, pattern).text if ranks else by_file()
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.of(encoder.find(text or "")) + end
+                ids = encode(text or "") + end
                 n = len(ids) // 4
                 first = n if n <= capacity else n % capacity or capacity
                 for k, start in enumerate([0, *range(first, n, capacity)]):

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 import regex
 
 from starfit.llm import byte_bpe, packing, sharding
+from starfit.llm.pieces import RankEncoder, plain_ranks
 from starfit.llm.queries import packed
 
 
@@ -197,3 +199,47 @@ def test_ranks_file_is_read():
     with open(public.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         token, rank = next(lines).split()
     assert ranks[base64.b64decode(token)] == int(rank)
+
+
+def test_plain_rank_order_is_told_from_other_files():
+    with open(public.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        content = file.read()
+    ranks = plain_ranks(content)
+    assert len(ranks) == len(set(ranks.values())) and set(range(256)) <= {t[0] for t in ranks if len(t) == 1}
+    model = json.loads(content)
+    model["model"]["merges"] = model["model"]["merges"][:3]
+    model["model"]["merges"].reverse()
+    assert plain_ranks(json.dumps(model)) is None
+    assert plain_ranks(json.dumps(json.loads(content) | {"normalizer": {"type": "Lowercase"}})) is None
+
+
+def test_rank_ids_equal_the_files_library(spark):
+    from tokenizers import Tokenizer
+
+    with open(public.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        content = file.read()
+    library = Tokenizer.from_str(content)
+    library.encode_special_tokens = True
+    encoder = RankEncoder(plain_ranks(content), public.PATTERN)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    texts = [r.text or "" for r in rows] + ["<|endoftext|> x", "a" * 300_000, " " * 300_000 + "b"]
+    found = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [encoder.text(t) for t in texts] == [np.array(x.ids, "<u4").tobytes() for x in found]
+
+
+def test_stitching_a_long_run_searches_it_once():
+    calls: list[int] = []
+    find = regex.compile(public.PATTERN)
+
+    class Counted:
+        def findall(self, text):
+            calls.append(len(text))
+            return find.findall(text)
+
+    text = "some words " * 40 + "a" * 60_000 + " and more" * 40
+    size, overlap = 1_000, 100
+    chunks = [text[i : i + size + overlap] for i in range(0, len(text), size)]
+    segments = byte_bpe.stitch(Counted(), chunks, [byte_bpe.cuts(find, c) for c in chunks], size)
+    pieces = [p for part, ends in segments for p in byte_bpe.parted(part, ends.tolist())]
+    assert pieces == find.findall(text)
+    assert sum(calls) < 2 * len(text)
