@@ -45,8 +45,36 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
        least(doc_id, coalesce((SELECT min(y) FROM reach WHERE x = doc_id), doc_id)) AS component_id
 FROM sets"""
 
+OP11 = r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+corpus AS (SELECT count(*) AS n_docs, sum(len(terms)) AS n_terms FROM cut WHERE len(terms) > 0),
+norms AS (
+  SELECT doc_id, 100 - 90 + (90 * CAST(len(terms) AS BIGINT) * n_docs) // CAST(n_terms AS BIGINT) AS m
+  FROM cut, corpus WHERE len(terms) > 0),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM cut)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, corpus GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN norms USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+         doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10"""
+
 ORACLE_SQL = {
     "op3_embedding_near_dedup": OP3,
     "op8_warc": OP8,
     "op10_ngram_jaccard_join": OP10,
+    "op11_lexical_search": OP11,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starfit.llm import (
     byte_bpe,
+    lexical,
     ngram_join,
     packing,
     quality_model,
@@ -80,6 +81,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_byte_bpe,
         op10_ngram_jaccard_join,
+        op11_lexical_search,
     )
 }
 

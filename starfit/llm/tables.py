@@ -12,26 +12,32 @@ from pyspark.sql.types import StructType
 
 from starfit.sources.staging import stage
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written, finished shuffles' files are removed at once, not when they are
+#: collected, and Python workers get batches of a few megabytes: idle workers keep what they took.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Inside, a finished write's shuffle files are removed at once, not when they are collected."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _writing(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in _WRITING}
+    for key, value in _WRITING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and return a reader: lineage ends there."""
-    with _shuffles_removed(frame.sparkSession):
+    with _writing(frame.sparkSession):
         return stage(frame, name)
 
 
