@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starfit.llm import (
     byte_bpe,
+    chat_format,
     lexical,
     ngram_join,
     packing,
@@ -85,6 +86,13 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(planted)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_byte_bpe,
         op10_ngram_jaccard_join,
         op11_lexical_search,
+        op12_chat_format,
     )
 }
 
