@@ -16,6 +16,7 @@ from starfit.llm import (
     packing,
     quality_model,
     quality_rules,
+    repair,
     sharding,
     suffix_dedup,
     toxicity,
@@ -93,6 +94,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(turns.unionByName(planted)))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_ngram_jaccard_join,
         op11_lexical_search,
         op12_chat_format,
+        op13_conversation_repair,
     )
 }
 
