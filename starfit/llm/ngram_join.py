@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from starfit.llm.arrays import Words, flat, mix, seeded, slices
 from starfit.llm.components import connected_components
-from starfit.llm.tables import partitions, scanned, staged
+from starfit.llm.tables import grouped, partitions, scanned, staged
 
 #: Bytes of text whose signatures are packed together.
 BLOCK_BYTES = 4 << 20
@@ -63,6 +63,10 @@ BATCHED = 64
 PAIRS_AT_ONCE = 500_000
 #: Members of one signature compared in one task; larger groups are compared by pairs of blocks.
 GROUP = 4_096
+#: Bytes that meet in one group: of packed signatures, and of members with their sketches.
+GROUP_BYTES = 16 << 20
+#: Bytes of packed signatures by shingle of a set, both bands together, at most.
+SIGNATURE_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -242,10 +246,10 @@ def _shared(signature: np.ndarray, node: np.ndarray, other: np.ndarray, members:
     )
 
 
-def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
+def _shared_signatures(docs: DataFrame, like: Likeness, n_shingles: int) -> DataFrame:
     """Members (signature, node) of signatures that many nodes share, and pairs (node, other) of
-    those that up to ``FEW`` nodes share."""
-    buckets = 4 * partitions(docs.sparkSession)
+    those that up to ``FEW`` nodes share. ``n_shingles`` are all sets' shingles together."""
+    buckets = max(partitions(docs.sparkSession), -(-n_shingles * SIGNATURE_BYTES // GROUP_BYTES))
 
     def packed_rows(bucket, *columns: list[np.ndarray]) -> pa.RecordBatch:
         packed = [pa.array([x.tobytes() for x in c], pa.binary()) for c in columns]
@@ -318,7 +322,7 @@ def _shared_signatures(docs: DataFrame, like: Likeness) -> DataFrame:
         )
 
     packed = scanned(docs, sign, "bucket long, signatures binary, nodes binary, sure binary")
-    return packed.groupBy("bucket").applyInArrow(compare, "signature long, node long, other long")
+    return grouped(packed, ["bucket"], compare, "signature long, node long, other long")
 
 
 class Sketches:
@@ -455,11 +459,8 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
     ``members``: signature, node, n, sketch, component. A row holds a pair or a signature.
     """
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        table = pa.Table.from_batches(batches)
+    def choose(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         signature, block = table["signature"].to_numpy(), table["block"].to_numpy()
         node, once, at = np.unique(table["node"].to_numpy(), return_index=True, return_inverse=True)
         own = table.take(pa.array(once))  # one sketch a node
@@ -492,13 +493,13 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
                         live.add(int(signature[order[start]]))
                         found.append(pairs)
         found = [x for x in found if len(x)]
+        rows: list[tuple] = []
         if found:
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             ends = np.sort(node[forests(pairs, FORESTS) if forest else pairs], axis=1)
             rows = [*((a, b, None) for a, b in ends.tolist()), *((None, None, x) for x in live)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "signature"]
-            )
+        columns = zip(*rows) if rows else [()] * 3
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "signature"])
 
     # A signature with very many members is split: every two blocks of its members meet somewhere.
     large = staged(members.groupBy("signature").agg(F.count("*").alias("m")).where(F.col("m") > GROUP), "large")
@@ -512,11 +513,14 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
         )
     else:
         members = members.withColumn("block", F.lit(0).cast("long"))
-    # A task hands out forests over its nodes, so fewer tasks with more signatures hand out less.
-    tasks = max(1, partitions(members.sparkSession) // 4)
-    dealt = members.withColumn("deal", F.pmod(F.xxhash64("signature", "block"), F.lit(tasks)))
-    dealt = dealt.repartition(tasks, "deal").select("signature", "block", "node", "n", "sketch", "component")
-    return dealt.mapInArrow(choose, "a long, b long, signature long")
+    # A cell hands out forests over its nodes, so fewer cells with more signatures hand out less:
+    # as many as keep a cell's bytes bounded.
+    sketch_bytes = F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2("n")) - 2))  # as ``sketch_bits``
+    n_bytes = members.agg(F.sum(sketch_bytes + 48)).first()[0] or 0
+    cells = -(-int(n_bytes) // GROUP_BYTES) or 1
+    dealt = members.withColumn("cell", F.pmod(F.xxhash64("signature", "block"), F.lit(cells)))
+    dealt = dealt.select("cell", "signature", "block", "node", "n", "sketch", "component")
+    return grouped(dealt, ["cell"], choose, "a long, b long, signature long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
@@ -564,7 +568,8 @@ def similar_documents(
         F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
     described = staged(_describe(rows, like), "described")
-    shared = staged(_shared_signatures(rows, like), "shared")
+    n_shingles = described.agg(F.sum("n")).first()[0] or 0
+    shared = staged(_shared_signatures(rows, like, n_shingles), "shared")
     nodes = staged(
         described.where("n > 0")
         .groupBy("node")
@@ -578,8 +583,8 @@ def similar_documents(
     )
     listed = shared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
     few = staged(_open_of_pairs(listed, nodes, like), "open-pairs")
-    grouped = shared.where("signature is not null").select("signature", "node")
-    members = grouped.join(nodes.select("node", "n", "sketch"), "node")
+    belongs = shared.where("signature is not null").select("signature", "node")
+    members = belongs.join(nodes.select("node", "n", "sketch"), "node")
     many = staged(_candidates(members.withColumn("component", F.col("node")), like, forest=True), "open-groups")
     tried = few.where("first").select("a", "b").unionByName(many.where("a is not null").select("a", "b")).distinct()
     tried = staged(tried, "pairs")
@@ -588,7 +593,7 @@ def similar_documents(
     # What is open between components now is verified pair by pair.
     live = many.where("signature is not null").select("signature").distinct()
     labelled = (
-        grouped.join(live, "signature", "left_semi")
+        belongs.join(live, "signature", "left_semi")
         .join(component.withColumnRenamed("id", "node"), "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
         .join(nodes.select("node", "n", "sketch"), "node")
@@ -620,11 +625,12 @@ def similar_documents(
 def one_of_each(
     docs: DataFrame, like: Likeness | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that name their component, with all their columns; repeated rows once.
+    """The rows of ``docs`` that name their component, with all their columns; rows that repeat in
+    every column once.
 
     Rows with a null id stay only if nothing they are linked with has an id.
     """
     found = similar_documents(docs, like, id_column, text_column)
     names = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().alias("names")
     same = docs[id_column].cast("long").eqNullSafe(F.col("names.doc_id"))
-    return docs.join(names, same, "left_semi").dropDuplicates([id_column, text_column])
+    return docs.join(names, same, "left_semi").dropDuplicates()

@@ -343,8 +343,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     A character that lost some of its bytes goes. Null texts stay null.
     """
     rest = [c for c in docs.columns if c != text_column]
-    marked = docs.withColumn("_null", F.col(text_column).isNull())
-    found = remove_repeats(marked, id_column, text_column, [*rest, "_null"])
+    null = "_null" + "_" * max(map(len, docs.columns), default=0)  # no column's name
+    found = remove_repeats(docs.withColumn(null, F.col(text_column).isNull()), id_column, text_column, [*rest, null])
 
     def decode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = [x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()]
@@ -352,5 +352,5 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     kind = found.schema["carried"].dataType.simpleString()
     texts = scanned(found.select("carried", "kept"), decode, f"carried {kind}, text string")
-    text = F.when(~F.col("carried._null"), F.col("text")).alias(text_column)
+    text = F.when(~F.col(f"carried.{null}"), F.col("text")).alias(text_column)
     return texts.select(*(text if c == text_column else F.col(f"carried.`{c}`").alias(c) for c in docs.columns))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -50,16 +51,40 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def hand_back_memory() -> None:
+    """Give freed memory back to the machine: an idle Python worker keeps what it once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def scanned(frame: DataFrame, function, schema: str | StructType) -> DataFrame:
     """Apply ``function(batch) -> iterable of pyarrow record batches`` to every Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = None
         for batch in batches:
             yield from function(batch)
+        del batch
+        hand_back_memory()
 
     return frame.mapInArrow(run, schema)
 
 
+def grouped(frame: DataFrame, keys: list[str], function: Callable, schema: str | StructType) -> DataFrame:
+    """Apply ``function([key,] table) -> table`` to every group; groups must be of bounded bytes."""
+    with_key = function.__code__.co_argcount == 2
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        out = function(key, table) if with_key else function(table)
+        del table
+        hand_back_memory()
+        return out
+
+    return frame.groupBy(*keys).applyInArrow(run, schema)
+
+
 def numbered(frame: DataFrame, by: list[str], order: list[str], name: str, rows: int, room: int = 2000) -> DataFrame:
     """Number the rows of each group from 0 without gaps, as column ``name``.
 
