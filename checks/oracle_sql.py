@@ -389,6 +389,36 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rank FROM pairs)
 SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + exact', 'pred', 7)}
 FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHERE rank <= 5"""
+    out["recommend_user_genre"] = FINALS.rstrip() + user_genre + f""",
+candidates AS (SELECT movieId, min(genres) AS genres FROM development GROUP BY movieId),
+movie_scores AS (
+  SELECT c.movieId, c.genres, coalesce(b_i, 0) + coalesce(b_g, 0) AS exact,
+         CAST(round((coalesce(b_i, 0) + coalesce(b_g, 0)) * 1e9) AS BIGINT) AS units
+  FROM candidates c
+  LEFT JOIN final_movie m ON m.movieId IS NOT DISTINCT FROM c.movieId
+  LEFT JOIN final_genre x ON x.genres IS NOT DISTINCT FROM c.genres),
+pairs AS (
+  SELECT u.userId, s.movieId, s.exact + coalesce(x.b_ug, 0) AS exact,
+         s.units + CAST(round(coalesce(x.b_ug, 0) * 1e9) AS BIGINT) AS units
+  FROM (SELECT DISTINCT userId FROM development) u CROSS JOIN movie_scores s
+  LEFT JOIN final_user_genre x ON x.userId = u.userId AND x.genres IS NOT DISTINCT FROM s.genres
+  ANTI JOIN development e ON e.userId = u.userId AND e.movieId = s.movieId),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY units DESC, movieId) AS rank FROM pairs)
+SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + exact', 'pred', 7)}
+FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHERE rank <= 5"""
+
+    # Time.
+    features = ", ".join(
+        f"""count(*) OVER {p} AS {p}_ratings, round(avg(rating) OVER {p}, 6) + 0.0 AS {p}_mean,
+       CAST("timestamp" - max("timestamp") OVER {p} AS DOUBLE) AS {p}_idle"""
+        for p in ("movie", "user", "genre")
+    )
+    frames = ", ".join(
+        f'{p} AS (PARTITION BY {k} ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)'
+        for p, k in (("movie", "movieId"), ("user", "userId"), ("genre", "genres"))
+    )
+    out["activity_features"] = RAW + f"""
+SELECT userId, movieId, genres, "timestamp", rating, {features} FROM enriched WINDOW {frames}"""
     return {name: sql.strip() for name, sql in out.items()}
 
 

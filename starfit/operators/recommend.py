@@ -2,8 +2,9 @@
 
 A user's own effect shifts all their predictions alike, so every user ranks the movies in
 one and the same order and only skips what they have seen. That holds for levels keyed by the
-user alone or by the movie and its genres; models with other levels are refused. The ranking is served block by
-block until each user has enough, which makes pairing users with all movies needless.
+user alone or by the movie and its genres. The ranking is served block by block until each user
+has enough, which makes pairing users with all movies needless. Under a level of user and genres
+each user merges shifted lists instead (``ranked_lists``); models with other levels are refused.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from starfit.functions import or_zero
 from starfit.operators.effects import EffectsModel, Level
 from starfit.operators.keyed import KeyedTable, attach
+from starfit.operators.ranked_lists import LIST, recommend_from_lists
 from starfit.sources.staging import stage
 
 # A block is the most that is sorted by one task or held per user at a time.
@@ -37,8 +39,10 @@ def recommend(
     have seen too much of it wait for the next ones.
     """
     for level in model.levels:
-        if set(level.keys) != {"userId"} and not set(level.keys) <= {"movieId", "genres"}:
+        if set(level.keys) not in ({"userId"}, set(LIST)) and not set(level.keys) <= {"movieId", "genres"}:
             raise ValueError(f"users rank movies differently under a level of {', '.join(level.keys)}")
+    if any(set(level.keys) == set(LIST) for level in model.levels):
+        return recommend_from_lists(seen, model, n, digits)
     scored = _scores(seen, model, digits)
     waiting = stage(seen.select("userId").distinct().withColumn("_need", F.lit(n)), "users")
     served: list[DataFrame] = []

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfit.operators import diagnostics, effects, explore
+from starfit.operators.activity import GENRE_ACTIVITY, MOVIE_ACTIVITY, USER_ACTIVITY, point_in_time
 from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, EffectsModel
 from starfit.operators.partition import known_to_rest
 from starfit.operators.recommend import recommend
@@ -549,3 +550,20 @@ def rmse_user_genre(w: Workbench) -> DataFrame:
 def recommend_topn(w: Workbench) -> DataFrame:
     seen = w.dense.development.select("userId", "movieId", "genres")
     return _tidy(recommend(seen, w.ladder.final, 5), digits=7)
+
+
+@query
+def recommend_user_genre(w: Workbench) -> DataFrame:
+    seen = w.dense.development.select("userId", "movieId", "genres")
+    return _tidy(recommend(seen, w.ladder.with_user_genre, 5), digits=7)
+
+
+# ---- Time
+
+
+@query
+def activity_features(w: Workbench) -> DataFrame:
+    ratings = w.enriched.select("userId", "movieId", "genres", "timestamp", "rating")
+    found = point_in_time(ratings, (MOVIE_ACTIVITY, USER_ACTIVITY, GENRE_ACTIVITY))
+    seconds = [c for c in found.columns if c.endswith("_idle")]
+    return _tidy(found.withColumns({c: F.col(c).cast("double") for c in seconds}))
