@@ -419,6 +419,57 @@ FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHER
     )
     out["activity_features"] = RAW + f"""
 SELECT userId, movieId, genres, "timestamp", rating, {features} FROM enriched WINDOW {frames}"""
+    timed = """,
+left_over AS MATERIALIZED (
+  SELECT t.*, rating - mu - b_i - b_u - b_g AS r, CAST(floor("timestamp" / (91 * 86400)) AS BIGINT) AS bin
+  FROM train t JOIN final_movie m ON t.movieId IS NOT DISTINCT FROM m.movieId
+  JOIN final_user u ON t.userId IS NOT DISTINCT FROM u.userId
+  JOIN final_genre x ON t.genres IS NOT DISTINCT FROM x.genres, mean),
+cells AS MATERIALIZED (SELECT movieId, bin, count(*) AS n, sum(r) AS s FROM left_over GROUP BY movieId, bin),
+pulls AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY movieId ORDER BY bin) AS k, count(*) OVER (PARTITION BY movieId) AS m,
+         coalesce(20.0 / (bin - lag(bin) OVER (PARTITION BY movieId ORDER BY bin)), 0) AS l,
+         coalesce(20.0 / (lead(bin) OVER (PARTITION BY movieId ORDER BY bin) - bin), 0) AS g FROM cells),
+forward(movieId, k, m, bin, n, c, d) AS (
+  SELECT movieId, k, m, bin, n, CAST(-g / (n + g) AS DOUBLE), CAST(s / (n + g) AS DOUBLE) FROM pulls WHERE k = 1
+  UNION ALL SELECT p.movieId, p.k, p.m, p.bin, p.n, -p.g / (p.n + p.l + p.g + p.l * f.c),
+                   (p.s + p.l * f.d) / (p.n + p.l + p.g + p.l * f.c)
+  FROM forward f JOIN pulls p ON p.movieId IS NOT DISTINCT FROM f.movieId AND p.k = f.k + 1),
+reduced AS MATERIALIZED (SELECT * FROM forward),
+backward(movieId, k, bin, n, b) AS (
+  SELECT movieId, k, bin, n, d FROM reduced WHERE k = m
+  UNION ALL SELECT f.movieId, f.k, f.bin, f.n, f.d - f.c * b.b
+  FROM backward b JOIN reduced f ON f.movieId IS NOT DISTINCT FROM b.movieId AND f.k = b.k - 1),
+smooth AS MATERIALIZED (SELECT movieId, bin, n, b FROM backward),
+origin AS (SELECT avg("timestamp") AS t0 FROM train),
+sums AS (
+  SELECT userId, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(r) AS sr, sum(x * r) AS sxr
+  FROM (SELECT *, ("timestamp" - t0) / (365.25 * 86400) AS x FROM left_over, origin) GROUP BY userId),
+drift AS MATERIALIZED (
+  SELECT userId, n, ((sxx + 10) * sr - sx * sxr) / ((n + 10) * (sxx + 10) - sx * sx) AS a,
+         ((n + 10) * sxr - sx * sr) / ((n + 10) * (sxx + 10) - sx * sx) AS d FROM sums)"""
+    fitted = FINALS.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + timed
+    out["movie_bins_plain"] = fitted + f"\nSELECT movieId, bin, n AS n_it, {_r('s / n', 'b_it')} FROM cells"
+    out["movie_bins_smooth"] = fitted + f"\nSELECT movieId, bin, n AS n_it, {_r('b', 'b_it')} FROM smooth"
+    out["user_drift"] = fitted + f"\nSELECT userId, {_r('a', 'a_u')}, {_r('d', 'd_u')}, n AS n_u FROM drift"
+    out["richer_models"] = fitted + user_genre + f""",
+asked AS (SELECT *, CAST(floor("timestamp" / (91 * 86400)) AS BIGINT) AS own_bin FROM scored_validation),
+sides AS (
+  SELECT v.row_key, max_by(struct_pack(bin := s.bin, b := s.b), s.bin) FILTER (WHERE s.bin <= v.own_bin) AS lo,
+         min_by(struct_pack(bin := s.bin, b := s.b), s.bin) FILTER (WHERE s.bin > v.own_bin) AS hi
+  FROM asked v JOIN smooth s ON s.movieId IS NOT DISTINCT FROM v.movieId GROUP BY v.row_key),
+binned AS (
+  SELECT rating, pred + CASE WHEN lo IS NULL AND hi IS NULL THEN 0 WHEN lo IS NULL THEN hi.b WHEN lo.bin = own_bin OR hi IS NULL THEN lo.b
+    ELSE lo.b + (hi.b - lo.b) * (own_bin - lo.bin) / (hi.bin - lo.bin) END AS pred
+  FROM asked v LEFT JOIN sides s ON s.row_key = v.row_key)
+SELECT CAST(1 AS BIGINT) AS step, 'Optimized Regularized Model with Genre Effects' AS method, {_r('rmse', 'rmse')} FROM best3
+UNION ALL SELECT 2, 'User and Genre Effects Model', {_r('sqrt(avg((rating - pred - coalesce(b_ug, 0)) ^ 2))', 'rmse')}
+FROM scored_validation v LEFT JOIN final_user_genre x
+  ON x.userId IS NOT DISTINCT FROM v.userId AND x.genres IS NOT DISTINCT FROM v.genres
+UNION ALL SELECT 3, 'Time-Binned Movie Effects Model', {_r('sqrt(avg((rating - pred) ^ 2))', 'rmse')} FROM binned
+UNION ALL SELECT 4, 'User Drift Model',
+  {_r('sqrt(avg((rating - pred - coalesce(a + d * ("timestamp" - t0) / (365.25 * 86400), 0)) ^ 2))', 'rmse')}
+FROM scored_validation v CROSS JOIN origin LEFT JOIN drift x ON x.userId IS NOT DISTINCT FROM v.userId"""
     return {name: sql.strip() for name, sql in out.items()}
 
 

@@ -12,7 +12,8 @@ from starfit.operators.activity import GENRE_ACTIVITY, MOVIE_ACTIVITY, USER_ACTI
 from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, EffectsModel
 from starfit.operators.partition import known_to_rest
 from starfit.operators.recommend import recommend
-from starfit.plans.ladder import LEVELS
+from starfit.operators.timed import MovieBins
+from starfit.plans.ladder import BIN_WIDTH, LEVELS
 from starfit.plans.workbench import Workbench, workbench
 from starfit.sources import staging_path
 from starfit.sources.delimited import (
@@ -567,3 +568,23 @@ def activity_features(w: Workbench) -> DataFrame:
     found = point_in_time(ratings, (MOVIE_ACTIVITY, USER_ACTIVITY, GENRE_ACTIVITY))
     seconds = [c for c in found.columns if c.endswith("_idle")]
     return _tidy(found.withColumns({c: F.col(c).cast("double") for c in seconds}))
+
+
+@query
+def movie_bins_plain(w: Workbench) -> DataFrame:
+    return _tidy(MovieBins.fit(w.dense.train, w.ladder.final, BIN_WIDTH, 0.0).effects)
+
+
+@query
+def movie_bins_smooth(w: Workbench) -> DataFrame:
+    return _tidy(w.ladder.movie_bins.effects)
+
+
+@query
+def user_drift(w: Workbench) -> DataFrame:
+    return _tidy(w.ladder.user_drift.table.frame)
+
+
+@query
+def richer_models(w: Workbench) -> DataFrame:
+    return _tidy(w.ladder.richer())
