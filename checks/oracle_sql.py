@@ -470,6 +470,47 @@ UNION ALL SELECT 3, 'Time-Binned Movie Effects Model', {_r('sqrt(avg((rating - p
 UNION ALL SELECT 4, 'User Drift Model',
   {_r('sqrt(avg((rating - pred - coalesce(a + d * ("timestamp" - t0) / (365.25 * 86400), 0)) ^ 2))', 'rmse')}
 FROM scored_validation v CROSS JOIN origin LEFT JOIN drift x ON x.userId IS NOT DISTINCT FROM v.userId"""
+
+    # Latent factors: two iterations of rank two, a solve of two equations per key and step.
+    def first(k: int) -> str:
+        return f"CAST('0x' || substr(md5(CAST(movieId AS VARCHAR) || '|{k}'), 1, 6) AS BIGINT) / CAST(16777216 AS DOUBLE) - 0.5"
+
+    def step(name: str, key: str, other: str, source: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT {key}, (c * x - b * y) / (a * c - b * b) AS f0, (a * y - b * x) / (a * c - b * b) AS f1 FROM (
+    SELECT l.{key}, sum(f0 * f0) + 5 AS a, sum(f0 * f1) AS b, sum(f1 * f1) + 5 AS c, sum(r * f0) AS x, sum(r * f1) AS y
+    FROM left_over l JOIN {source} s ON s.{other} = l.{other} GROUP BY l.{key}))"""
+
+    factors = fitted + f""",
+m0 AS MATERIALIZED (SELECT movieId, {first(0)} AS f0, {first(1)} AS f1 FROM (SELECT DISTINCT movieId FROM left_over)),
+{step('u1', 'userId', 'movieId', 'm0')},
+{step('m1', 'movieId', 'userId', 'u1')},
+{step('u2', 'userId', 'movieId', 'm1')},
+{step('m2', 'movieId', 'userId', 'u2')}"""
+    out["movie_factors"] = factors + f"\nSELECT movieId, {_r('f0', 'q0')}, {_r('f1', 'q1')} FROM m2"
+    out["user_factors"] = factors + f"\nSELECT userId, {_r('f0', 'p0')}, {_r('f1', 'p1')} FROM u2"
+    out["richer_models"] = (
+        factors + out["richer_models"][len(fitted) :] + f"""
+UNION ALL SELECT 5, 'Latent Factor Model',
+  {_r('sqrt(avg((rating - pred - coalesce(u.f0 * m.f0 + u.f1 * m.f1, 0)) ^ 2))', 'rmse')}
+FROM scored_validation v LEFT JOIN u2 u ON u.userId = v.userId LEFT JOIN m2 m ON m.movieId = v.movieId"""
+    )
+    out["recommend_factors"] = factors + f""",
+candidates AS (SELECT movieId, min(genres) AS genres FROM development GROUP BY movieId),
+movie_scores AS (
+  SELECT c.movieId, coalesce(b_i, 0) + coalesce(b_g, 0) AS shared, coalesce(f0, 0) AS q0, coalesce(f1, 0) AS q1
+  FROM candidates c
+  LEFT JOIN final_movie m ON m.movieId IS NOT DISTINCT FROM c.movieId
+  LEFT JOIN final_genre x ON x.genres IS NOT DISTINCT FROM c.genres
+  LEFT JOIN m2 ON m2.movieId = c.movieId),
+pairs AS (
+  SELECT u.userId, s.movieId, round(shared + coalesce(u2.f0, 0) * q0 + coalesce(u2.f1, 0) * q1, 9) AS score
+  FROM (SELECT DISTINCT userId FROM development) u CROSS JOIN movie_scores s LEFT JOIN u2 ON u2.userId = u.userId
+  ANTI JOIN development e ON e.userId = u.userId AND e.movieId = s.movieId),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rank FROM pairs)
+SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + score', 'pred', 7)}
+FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHERE rank <= 5"""
     return {name: sql.strip() for name, sql in out.items()}
 
 

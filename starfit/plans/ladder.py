@@ -21,6 +21,7 @@ from starfit.operators.effects import (
     fit_effects,
     fit_grid,
 )
+from starfit.operators.factors import FactorModel, fit_factors
 from starfit.operators.sweep import best_lambda, errors_at, mark_best
 from starfit.operators.timed import DAY, MovieBins, UserDrift
 from starfit.sources.staging import stage
@@ -50,6 +51,8 @@ DRIFT_MODEL = "User Drift Model"
 BIN_WIDTH = 91 * DAY
 SMOOTH = 20.0
 DRIFT_LAMBDA = 10.0
+FACTOR_MODEL = "Latent Factor Model"
+FACTORS, FACTOR_LAMBDA, FACTOR_ITERATIONS = 2, 5.0, 2
 
 #: Places of numbers quoted as they are; sums over rows agree between runs to about so many.
 NOT_ROUNDED = 12
@@ -120,6 +123,11 @@ class Ladder:
         """The final model with a level and a slope per user on top."""
         return UserDrift.fit(self.train, self.final, DRIFT_LAMBDA)
 
+    @cached_property
+    def factors(self) -> FactorModel:
+        """The final model with latent factors on top."""
+        return fit_factors(self.train, self.final, FACTORS, FACTOR_LAMBDA, FACTOR_ITERATIONS)
+
     @cached_property
     def regularized(self) -> EffectsModel:
         """The two-level model at its best λ."""
@@ -166,6 +174,7 @@ class Ladder:
             (USER_GENRE_MODEL, rmse_of(self.with_user_genre.predict(self.validation))),
             (BINS_MODEL, rmse_of(self.movie_bins.predict(self.validation))),
             (DRIFT_MODEL, rmse_of(self.user_drift.predict(self.validation))),
+            (FACTOR_MODEL, rmse_of(self.factors.predict(self.validation))),
         ]
         return _append(steps)
 

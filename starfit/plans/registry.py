@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starfit.operators import diagnostics, effects, explore
 from starfit.operators.activity import GENRE_ACTIVITY, MOVIE_ACTIVITY, USER_ACTIVITY, point_in_time
 from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, EffectsModel
+from starfit.operators.inner_product import recommend_by_factors
 from starfit.operators.partition import known_to_rest
 from starfit.operators.recommend import recommend
 from starfit.operators.timed import MovieBins
@@ -588,3 +589,25 @@ def user_drift(w: Workbench) -> DataFrame:
 @query
 def richer_models(w: Workbench) -> DataFrame:
     return _tidy(w.ladder.richer())
+
+
+# ---- Latent factors
+
+
+@query
+def movie_factors(w: Workbench) -> DataFrame:
+    parts = [F.get("_q", F.lit(k)).alias(f"q{k}") for k in range(w.ladder.factors.rank)]
+    return _tidy(w.ladder.factors.movies.frame.select("movieId", *parts))
+
+
+@query
+def user_factors(w: Workbench) -> DataFrame:
+    parts = [F.get("_p", F.lit(k)).alias(f"p{k}") for k in range(w.ladder.factors.rank)]
+    return _tidy(w.ladder.factors.users.frame.select("userId", *parts))
+
+
+@query
+def recommend_factors(w: Workbench) -> DataFrame:
+    seen = w.dense.development.select("userId", "movieId", "genres")
+    found = recommend_by_factors(seen, w.ladder.factors, 5)
+    return _tidy(found.drop("blocks"), digits=7)

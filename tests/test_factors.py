@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfit.operators import factors
-from starfit.operators.effects import MOVIE, USER, fit_effects
+from starfit.operators.effects import GENRE, MOVIE, USER, fit_effects
+from starfit.operators.inner_product import recommend_by_factors
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,34 @@ def test_loss_never_rises(rated):
 def test_a_penalty_is_needed(rated):
     with pytest.raises(ValueError, match="positive"):
         factors.fit_factors(rated, fit_effects(rated, [MOVIE]), 2, 0.0, 1)
+
+
+@pytest.mark.parametrize(("block", "chunk_bytes"), [(1024, 1 << 20), (2, 8 * 7 * 6)])
+def test_best_movies_equal_ranking_all_pairs(rated, block, chunk_bytes):
+    genres = F.when(F.col("movieId") % 4 == 0, None).otherwise((F.col("movieId") % 3).cast("string"))
+    seen = rated.withColumn("genres", genres).where("userId IS NOT NULL")
+    train = seen.where("movieId IS NOT NULL AND movieId % 5 <> 0 AND userId <> 7")
+    base = fit_effects(train, [MOVIE, USER, GENRE], 1.0)
+    model = factors.fit_factors(train, base, 3, 0.2, 2)
+    found = recommend_by_factors(seen, model, 4, block=block, chunk_bytes=chunk_bytes).collect()
+    users = {r.userId: np.array(r["_p"]) for r in model.users.frame.collect()}
+    movies = {r.movieId: np.array(r["_q"]) for r in model.movies.frame.collect()}
+
+    def effects(level):
+        return {r[level.keys[0]]: r[level.effect] for r in base.effects(level).collect()}
+
+    own, by_movie, by_genre = effects(USER), effects(MOVIE), effects(GENRE)
+    pairs = [(r.userId, r.movieId, r.genres) for r in seen.collect()]
+    expected = {}
+    for u in {p[0] for p in pairs}:
+        scored = []
+        for m, g in {(m, g) for _, m, g in pairs if m is not None}:
+            if m not in {x for v, x, _ in pairs if v == u}:
+                score = by_movie.get(m, 0) + by_genre.get(g, 0)
+                score += users[u] @ movies[m] if u in users and m in movies else 0
+                scored.append((-round(score, 9), m))
+        expected |= {(u, k): (m, base.mu + own.get(u, 0) - s) for k, (s, m) in enumerate(sorted(scored)[:4], 1)}
+    assert {(r.userId, r["rank"]): (r.movieId, pytest.approx(r.pred, abs=1e-8)) for r in found} == expected
+    if block == 2:
+        n_blocks = -(-len({m for _, m, _ in pairs if m is not None}) // 2)
+        assert min(r.blocks for r in found) < n_blocks  # the bound ends searches early
