@@ -94,9 +94,16 @@ best3 AS (SELECT lam, rmse3 AS rmse FROM errors ORDER BY rmse3, lam LIMIT 1)"""
 
 # The model at one λ, and rows scored with it.
 FINAL = """
-final_movie AS (SELECT movieId, b_i, n_i FROM movie_fx WHERE lam = (SELECT lam FROM best3)),
-final_user AS (SELECT userId, b_u, n_u FROM user_fx WHERE lam = (SELECT lam FROM best3)),
-final_genre AS (SELECT genres, b_g, n_g FROM genre_fx WHERE lam = (SELECT lam FROM best3)),
+final_movie AS MATERIALIZED (
+  SELECT movieId, sum(rating - mu) / (count(*) + lam) AS b_i, count(*) AS n_i
+  FROM train, mean, best3 GROUP BY movieId, lam),
+final_user AS MATERIALIZED (
+  SELECT userId, sum(rating - mu - b_i) / (count(*) + lam) AS b_u, count(*) AS n_u
+  FROM train t JOIN final_movie m ON t.movieId IS NOT DISTINCT FROM m.movieId, mean, best3 GROUP BY userId, lam),
+final_genre AS MATERIALIZED (
+  SELECT genres, sum(rating - mu - b_i - b_u) / (count(*) + lam) AS b_g, count(*) AS n_g
+  FROM train t JOIN final_movie m ON t.movieId IS NOT DISTINCT FROM m.movieId
+  JOIN final_user u ON t.userId IS NOT DISTINCT FROM u.userId, mean, best3 GROUP BY genres, lam),
 scored_validation AS (
   SELECT v.*, coalesce(b_i, 0) AS b_i, coalesce(b_u, 0) AS b_u, coalesce(b_g, 0) AS b_g,
          mu + coalesce(b_i, 0) + coalesce(b_u, 0) + coalesce(b_g, 0) AS pred
