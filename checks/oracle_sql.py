@@ -518,6 +518,81 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS rank FROM pairs)
 SELECT r.userId, rank, movieId, {_r('mu + coalesce(b_u, 0) + score', 'pred', 7)}
 FROM ranked r CROSS JOIN mean LEFT JOIN final_user u ON u.userId = r.userId WHERE rank <= 5"""
+
+    # Genre words: normal equations of all words, solved by elimination.
+    def words(source: str) -> str:
+        """Weights by word from ``source``: genres, n, s."""
+        return f"""
+worded AS MATERIALIZED (
+  SELECT genres, n, s, CASE WHEN genres IS NULL THEN CAST([NULL] AS VARCHAR[]) ELSE list_distinct(string_split(genres, '|')) END AS words
+  FROM {source}),
+names AS MATERIALIZED (
+  SELECT word, row_number() OVER (ORDER BY word NULLS FIRST) AS k, n, s
+  FROM (SELECT word, sum(n) AS n, sum(s) AS s FROM (SELECT unnest(words) AS word, n, s FROM worded) GROUP BY word)),
+places AS MATERIALIZED (
+  SELECT genres, x.n, k FROM (SELECT genres, n, unnest(words) AS word FROM worded) x JOIN names y ON x.word IS NOT DISTINCT FROM y.word),
+gram AS MATERIALIZED (
+  SELECT a.k AS i, b.k AS j, sum(a.n) AS v FROM places a JOIN places b ON a.genres IS NOT DISTINCT FROM b.genres GROUP BY a.k, b.k),
+lines AS MATERIALIZED (
+  SELECT a.k, list_append(list(CAST(coalesce(v, 0) + CASE WHEN a.k = b.k THEN 5 ELSE 0 END AS DOUBLE) ORDER BY b.k), CAST(any_value(a.s) AS DOUBLE)) AS line
+  FROM names a CROSS JOIN names b LEFT JOIN gram g ON g.i = a.k AND g.j = b.k GROUP BY a.k),
+elimination(step, m) AS (
+  SELECT CAST(0 AS BIGINT), list(line ORDER BY k) FROM lines
+  UNION ALL SELECT step + 1, list_transform(m, lambda line, i: CASE WHEN i = step + 1
+      THEN list_transform(line, lambda v: v / m[step + 1][step + 1])
+      ELSE list_transform(line, lambda v, j: v - line[step + 1] / m[step + 1][step + 1] * m[step + 1][j]) END)
+  FROM elimination WHERE step < (SELECT count(*) FROM names)),
+solution AS MATERIALIZED (SELECT m FROM elimination WHERE step = (SELECT count(*) FROM names)),
+weights AS MATERIALIZED (SELECT word, n, m[k][len(m) + 1] AS weight FROM names, solution),
+said AS MATERIALIZED (
+  SELECT x.genres, sum(weight) AS said FROM (SELECT genres, unnest(words) AS word FROM worded) x
+  JOIN weights y ON x.word IS NOT DISTINCT FROM y.word GROUP BY x.genres)"""
+
+    def prior() -> str:
+        """Movie effects by the blend of means and words, from ``train`` and ``mean``."""
+        return f"""
+strings AS (SELECT genres, count(*) AS n, sum(rating - mu) AS s FROM train, mean GROUP BY genres),{words('strings')},
+means AS MATERIALIZED (
+  SELECT movieId, count(*) AS n, avg(rating - mu) AS y, var_pop(rating - mu) AS v, min(genres) AS genres FROM train, mean GROUP BY movieId),
+spread AS MATERIALIZED (
+  SELECT sum(n * v) / (sum(n) - count(*)) AS within,
+         greatest(0, (sum(n * (y - said) ^ 2) - count(*) * sum(n * v) / (sum(n) - count(*))) / sum(n)) AS between_
+  FROM means m JOIN said x ON x.genres IS NOT DISTINCT FROM m.genres),
+blended AS MATERIALIZED (
+  SELECT movieId, n, said + between_ * n / (between_ * n + within) * (y - said) AS b
+  FROM means m JOIN said x ON x.genres IS NOT DISTINCT FROM m.genres, spread)"""
+
+    recursive = lambda text: text.replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
+    two_levels = recursive(MODELS) + f""",
+best_movie AS MATERIALIZED (
+  SELECT movieId, sum(rating - mu) / (count(*) + lam) AS b_i FROM train, mean, best2 GROUP BY movieId, lam),
+best_user AS MATERIALIZED (
+  SELECT userId, sum(rating - mu - b_i) / (count(*) + lam) AS b_u
+  FROM train t JOIN best_movie m ON t.movieId IS NOT DISTINCT FROM m.movieId, mean, best2 GROUP BY userId, lam),
+strings AS MATERIALIZED (
+  SELECT genres, count(*) AS n, sum(rating - mu - b_i - b_u) AS s
+  FROM train t JOIN best_movie m ON t.movieId IS NOT DISTINCT FROM m.movieId
+  JOIN best_user u ON t.userId IS NOT DISTINCT FROM u.userId, mean GROUP BY genres),{words('strings')}"""
+    out["genre_word_weights"] = two_levels + f"\nSELECT word, {_r('weight', 'weight')}, CAST(n AS BIGINT) AS n FROM weights"
+    out["movie_prior"] = recursive(DENSE) + f""",
+mean AS (SELECT avg(rating) AS mu FROM train),{prior()}
+SELECT movieId, n AS n_i, {_r('b', 'b_i')} FROM blended"""
+    out["cold_start_errors"] = recursive(SPARSE) + f""",
+mean AS (SELECT avg(rating) AS mu FROM train),{prior()},
+told AS (
+  SELECT rating, coalesce(b.n, 0) AS n, mu + coalesce(m.y, 0) AS plain, mu + coalesce(b, said, 0) AS pred
+  FROM validation v CROSS JOIN mean LEFT JOIN blended b ON b.movieId IS NOT DISTINCT FROM v.movieId
+  LEFT JOIN means m ON m.movieId IS NOT DISTINCT FROM v.movieId LEFT JOIN said x ON x.genres IS NOT DISTINCT FROM v.genres)
+SELECT CASE WHEN n = 0 THEN 'unseen' WHEN n <= 5 THEN 'few' ELSE 'many' END AS support, count(*) AS n,
+       {_r('sqrt(avg((rating - plain) ^ 2))', 'rmse_plain')}, {_r('sqrt(avg((rating - pred) ^ 2))', 'rmse_prior')}
+FROM told GROUP BY 1"""
+    words_rmse = f"""
+WITH RECURSIVE {two_levels.split('WITH RECURSIVE', 1)[1]}
+SELECT sqrt(avg((rating - mu - coalesce(b_i, 0) - coalesce(b_u, 0) - coalesce(said, 0)) ^ 2)) FROM validation v CROSS JOIN mean
+LEFT JOIN best_movie m ON m.movieId IS NOT DISTINCT FROM v.movieId LEFT JOIN best_user u ON u.userId IS NOT DISTINCT FROM v.userId
+LEFT JOIN said x ON x.genres IS NOT DISTINCT FROM v.genres"""
+    out["richer_models"] += f"""
+UNION ALL SELECT 6, 'Genre Words Model', round(({words_rmse}), 6) + 0.0"""
     return {name: sql.strip() for name, sql in out.items()}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starfit.functions import lambda_grid
+from starfit.operators.content import GenreWords, MoviePrior
 from starfit.operators.diagnostics import effect_spread, gain_over, rmse_of
 from starfit.operators.effects import (
     GENRE,
@@ -52,6 +53,8 @@ BIN_WIDTH = 91 * DAY
 SMOOTH = 20.0
 DRIFT_LAMBDA = 10.0
 FACTOR_MODEL = "Latent Factor Model"
+WORDS_MODEL = "Genre Words Model"
+WORDS_LAMBDA = 5.0
 FACTORS, FACTOR_LAMBDA, FACTOR_ITERATIONS = 2, 5.0, 2
 
 #: Places of numbers quoted as they are; sums over rows agree between runs to about so many.
@@ -128,6 +131,16 @@ class Ladder:
         """The final model with latent factors on top."""
         return fit_factors(self.train, self.final, FACTORS, FACTOR_LAMBDA, FACTOR_ITERATIONS)
 
+    @cached_property
+    def genre_words(self) -> GenreWords:
+        """The two-level model at its best λ with weights of genre words on top."""
+        return GenreWords.fit(self.train, self.regularized, WORDS_LAMBDA)
+
+    @cached_property
+    def prior(self) -> MoviePrior:
+        """Movie effects alone, drawn towards what genre words say."""
+        return MoviePrior.fit(self.train, WORDS_LAMBDA)
+
     @cached_property
     def regularized(self) -> EffectsModel:
         """The two-level model at its best λ."""
@@ -175,6 +188,7 @@ class Ladder:
             (BINS_MODEL, rmse_of(self.movie_bins.predict(self.validation))),
             (DRIFT_MODEL, rmse_of(self.user_drift.predict(self.validation))),
             (FACTOR_MODEL, rmse_of(self.factors.predict(self.validation))),
+            (WORDS_MODEL, rmse_of(self.genre_words.predict(self.validation))),
         ]
         return _append(steps)
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from starfit.operators import diagnostics, effects, explore
 from starfit.operators.activity import GENRE_ACTIVITY, MOVIE_ACTIVITY, USER_ACTIVITY, point_in_time
+from starfit.operators.content import MoviePrior, errors_by_support
 from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, EffectsModel
 from starfit.operators.inner_product import recommend_by_factors
 from starfit.operators.partition import known_to_rest
 from starfit.operators.recommend import recommend
 from starfit.operators.timed import MovieBins
-from starfit.plans.ladder import BIN_WIDTH, LEVELS
+from starfit.plans.ladder import BIN_WIDTH, LEVELS, WORDS_LAMBDA
 from starfit.plans.workbench import Workbench, workbench
 from starfit.sources import staging_path
 from starfit.sources.delimited import (
@@ -611,3 +612,24 @@ def recommend_factors(w: Workbench) -> DataFrame:
     seen = w.dense.development.select("userId", "movieId", "genres")
     found = recommend_by_factors(seen, w.ladder.factors, 5)
     return _tidy(found.drop("blocks"), digits=7)
+
+
+# ---- Genre words and movies with few ratings
+
+
+@query
+def genre_word_weights(w: Workbench) -> DataFrame:
+    return _tidy(w.ladder.genre_words.weights)
+
+
+@query
+def movie_prior(w: Workbench) -> DataFrame:
+    return _tidy(w.ladder.prior.movies.frame)
+
+
+@query
+def cold_start_errors(w: Workbench) -> DataFrame:
+    prior = MoviePrior.fit(w.sparse.train, WORDS_LAMBDA)
+    plain = effects.fit_effects(w.sparse.train, [MOVIE]).predict(w.sparse.validation)
+    rows = plain.withColumnRenamed("pred", "plain").drop("b_i")
+    return _tidy(errors_by_support(prior.predict(rows), 5))
