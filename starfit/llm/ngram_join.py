@@ -246,7 +246,7 @@ def _shared(signature: np.ndarray, node: np.ndarray, other: np.ndarray, members:
     )
 
 
-def _shared_signatures(docs: DataFrame, like: Likeness, n_shingles: int) -> DataFrame:
+def _shared_signatures(docs: DataFrame, like: Likeness, n_shingles: int = 0) -> DataFrame:
     """Members (signature, node) of signatures that many nodes share, and pairs (node, other) of
     those that up to ``FEW`` nodes share. ``n_shingles`` are all sets' shingles together."""
     buckets = max(partitions(docs.sparkSession), -(-n_shingles * SIGNATURE_BYTES // GROUP_BYTES))

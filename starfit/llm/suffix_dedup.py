@@ -19,6 +19,7 @@ and the bytes on one side of it must agree, for a shared window reaches at least
 not trigger to one side. Only these phrases' windows are grouped by the hash of their content, and each
 window's smallest document decides.
 
+Neighbouring phrases of one content, which a periodic text is made of, are one entry with a count.
 Strings are compared by 64-bit hashes (the parse by trigger and phrase together). Everything is
 judged on the input texts; matches never cross documents.
 
@@ -38,15 +39,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfit.llm.arrays import Prefix, flat, mix, slices
-from starfit.llm.tables import partitions, scanned, staged
+from starfit.llm.tables import grouped, partitions, scanned, staged
 
 LENGTH = 50
 TRIGGER = 20
 BLOCK_BYTES = 4 << 20
-#: A span of bytes in one number: start * SPAN + size, sizes being under SPAN.
+#: A span of bytes in one number: start * SPAN + size, sizes being under SPAN. A span that comes
+#: several times, at even distances, has ``again``: times * SPAN + distance; 0 for one time.
 SPAN = 256
-FOUND = "doc_id long, alt int, open boolean, span long"
-PACKED = "bucket long, first binary, second binary, sides binary, docs binary, alts binary, spans binary"
+FOUND = "doc_id long, alt int, open boolean, span long, again long"
+PACKED = (
+    "bucket long, first binary, second binary, sides binary, docs binary, alts binary, spans binary, agains binary"
+)
+#: Bytes of packed phrases that meet in one group, and their bytes by byte of text, at most.
+GROUP_BYTES = 16 << 20
+PHRASE_BYTES = 3
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -120,8 +127,8 @@ def first_docs(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np
 def pack(
     bucket: np.ndarray, columns: list[np.ndarray], passing: list[np.ndarray], buckets: int
 ) -> Iterator[pa.RecordBatch]:
-    """One row per bucket. ``passing`` (docs, alts, spans) is settled and goes to buckets from
-    ``buckets`` on."""
+    """One row per bucket. ``passing`` (docs, alts, spans, agains) is settled and goes to buckets
+    from ``buckets`` on."""
     order = np.argsort(bucket, kind="stable")
     ends = np.flatnonzero(np.append(np.diff(bucket[order]) != 0, True)) + 1 if len(order) else np.zeros(0, np.int64)
     names: list[int] = []
@@ -134,13 +141,27 @@ def pack(
         names.append(buckets + int(passing[2].sum() % buckets))
         rows.append([b"", b"", b"", *(planes(c) for c in passing)])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.int64()), *(pa.array(c, pa.binary()) for c in (zip(*rows) if rows else [()] * 6))],
+        [pa.array(names, pa.int64()), *(pa.array(c, pa.binary()) for c in (zip(*rows) if rows else [()] * 7))],
         names=[x.split()[0] for x in PACKED.split(", ")],
     )
 
 
-def _found(docs: np.ndarray, alts: np.ndarray, open_: np.ndarray, spans: np.ndarray) -> pa.Table:
-    return pa.table({"doc_id": docs, "alt": alts, "open": open_, "span": spans})
+def _found(docs: np.ndarray, alts: np.ndarray, open_: np.ndarray, spans: np.ndarray, agains: np.ndarray) -> pa.Table:
+    return pa.table({"doc_id": docs, "alt": alts, "open": open_, "span": spans, "again": agains})
+
+
+def _settled(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, alts, spans and agains of packed rows."""
+    kinds = {"docs": np.int64, "alts": np.int32, "spans": np.int64, "agains": np.int64}
+    return tuple(from_planes(table[c].to_pylist(), k) for c, k in kinds.items())
+
+
+def runs(rows: np.ndarray, content: np.ndarray, lo: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring phrases of one content, as in a periodic text: each run's first, and ``again``."""
+    same = (rows[1:] == rows[:-1]) & (content[1:] == content[:-1]) & (lo[1:] == lo[:-1] + windows[:-1])
+    first = np.flatnonzero(np.append(len(rows) > 0, ~same)[: len(rows)])
+    times = np.diff(np.append(first, len(rows)))
+    return first, np.where(times > 1, times * SPAN + windows[first], 0)
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -164,6 +185,8 @@ def _parsed(docs: DataFrame, buckets: int) -> DataFrame:
                 np.concatenate([getattr(x, c) for x in found]) for c in ("trigger", "content", "windows", "lo")
             )
             sides, row = np.concatenate([x.sides for x in found]), np.concatenate(rows)
+            first, again = runs(row, content, lo, windows)
+            trigger, content, windows, lo, sides, row = (x[first] for x in (trigger, content, windows, lo, sides, row))
             doc, alt = ids[row], alts[row].astype(np.int32)
             span = lo * SPAN + windows + LENGTH - 1
             # Copies within the block: only the first document's phrases go on.
@@ -173,8 +196,8 @@ def _parsed(docs: DataFrame, buckets: int) -> DataFrame:
             go = ~late
             bucket = ((trigger[go] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             own_sides = sides[go].copy().view(np.uint32).ravel()
-            columns = [trigger[go].astype(np.uint32), content[go], own_sides, doc[go], alt[go], span[go]]
-            yield from pack(bucket, columns, [doc[late], alt[late], span[late]], buckets)
+            columns = [trigger[go].astype(np.uint32), content[go], own_sides, doc[go], alt[go], span[go], again[go]]
+            yield from pack(bucket, columns, [doc[late], alt[late], span[late], again[late]], buckets)
 
     return scanned(docs.select("doc_id", "alt", "text"), parse, PACKED)
 
@@ -183,10 +206,9 @@ def _phrase_matches(packed: DataFrame, buckets: int) -> DataFrame:
     """Spans that are whole phrases of smaller documents, and open ones that may share windows."""
 
     def match(key, table):
-        doc, alt = from_planes(table["docs"].to_pylist(), np.int64), from_planes(table["alts"].to_pylist(), np.int32)
-        span = from_planes(table["spans"].to_pylist(), np.int64)
+        doc, alt, span, again = _settled(table)
         if key[0].as_py() >= buckets:
-            return _found(doc, alt, np.zeros(len(doc), bool), span)
+            return _found(doc, alt, np.zeros(len(doc), bool), span, again)
         trigger = from_planes(table["first"].to_pylist(), np.uint32)
         content = from_planes(table["second"].to_pylist(), np.uint64)
         sides = from_planes(table["sides"].to_pylist(), np.uint32)
@@ -201,23 +223,20 @@ def _phrase_matches(packed: DataFrame, buckets: int) -> DataFrame:
             shares[o] |= (largest[g] != smallest[g]) & (side[one][o] != 0)
         open_ = ~whole & shares[group]
         say = whole | open_
-        return _found(doc[order][say], alt[order][say], open_[say], span[order][say])
+        at = order[say]
+        return _found(doc[at], alt[at], open_[say], span[at], again[at])
 
-    return packed.groupBy("bucket").applyInArrow(match, FOUND)
+    return grouped(packed, ["bucket"], match, FOUND)
 
 
 def _windows_parsed(docs: DataFrame, buckets: int) -> DataFrame:
     """Windows of the open spans of (doc_id, alt, text, spans), packed by content."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        spans = batch.column(3)
-        bounds, values = spans.offsets.to_numpy(), spans.values.to_numpy(zero_copy_only=False)
         for data, offsets, ids, alts, i in _blocks(batch):
-            n = len(ids)
-            own = values[bounds[i] : bounds[i + n]]
-            row = np.repeat(np.arange(n), np.diff(bounds[i : i + n + 1]))
+            row, own, again = _listed(batch, i, i + len(ids))
             count = own % SPAN - LENGTH + 1
-            row = np.repeat(row, count)
+            row, again = np.repeat(row, count), np.repeat(again, count)
             lo = np.repeat(own // SPAN - (np.cumsum(count) - count), count) + np.arange(count.sum())
             content = np.zeros(len(lo), np.uint64)
             for a, b in slices(offsets):
@@ -232,29 +251,43 @@ def _windows_parsed(docs: DataFrame, buckets: int) -> DataFrame:
             go = ~late
             bucket = ((content[go] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             none = np.zeros(go.sum(), np.uint8)
-            columns = [content[go], none, none, doc[go], alt[go], span[go]]
-            yield from pack(bucket, columns, [doc[late], alt[late], span[late]], buckets)
+            columns = [content[go], none, none, doc[go], alt[go], span[go], again[go]]
+            yield from pack(bucket, columns, [doc[late], alt[late], span[late], again[late]], buckets)
 
-    return scanned(docs.select("doc_id", "alt", "text", "spans"), cut, PACKED)
+    return scanned(docs.select("doc_id", "alt", "text", "spans", "runs"), cut, PACKED)
 
 
 def _window_matches(packed: DataFrame, buckets: int) -> DataFrame:
     """Windows that smaller documents hold, too."""
 
     def match(key, table):
-        doc, alt = from_planes(table["docs"].to_pylist(), np.int64), from_planes(table["alts"].to_pylist(), np.int32)
-        span = from_planes(table["spans"].to_pylist(), np.int64)
+        doc, alt, span, again = _settled(table)
         if key[0].as_py() < buckets:
             order, group, first = first_docs([from_planes(table["first"].to_pylist(), np.uint64)], doc)
             late = order[doc[order] > first[group]]
-            doc, alt, span = doc[late], alt[late], span[late]
-        return _found(doc, alt, np.zeros(len(doc), bool), span)
+            doc, alt, span, again = doc[late], alt[late], span[late], again[late]
+        return _found(doc, alt, np.zeros(len(doc), bool), span, again)
 
-    return packed.groupBy("bucket").applyInArrow(match, FOUND)
+    return grouped(packed, ["bucket"], match, FOUND)
 
 
 def _spans(found: DataFrame) -> DataFrame:
-    return found.groupBy("doc_id", "alt").agg(F.collect_list("span").alias("spans"))
+    """Lists by document: spans, and those that come several times."""
+    once = F.col("again") == 0
+    return found.groupBy("doc_id", "alt").agg(
+        F.collect_list(F.when(once, F.col("span"))).alias("spans"),
+        F.collect_list(F.when(~once, F.struct("span", "again"))).alias("runs"),
+    )
+
+
+def _listed(batch: pa.RecordBatch, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row (from 0), span and again of everything that columns 3 and 4 list in some rows."""
+    spans, several = batch.column(3), batch.column(4)
+    ends = spans.offsets.to_numpy()[i : j + 1], several.offsets.to_numpy()[i : j + 1]
+    row = np.concatenate([np.repeat(np.arange(j - i), np.diff(e)) for e in ends])
+    one = spans.values.to_numpy(zero_copy_only=False)[ends[0][0] : ends[0][-1]]
+    more = [several.values.field(k).to_numpy(zero_copy_only=False)[ends[1][0] : ends[1][-1]] for k in (0, 1)]
+    return row, np.concatenate([one, more[0]]), np.concatenate([np.zeros(len(one), np.int64), more[1]])
 
 
 def remove_repeats(
@@ -264,8 +297,6 @@ def remove_repeats(
 
     ``carried`` is a struct of the columns named in ``carry``.
     """
-    spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
@@ -289,6 +320,8 @@ def remove_repeats(
     else:
         rows = rows.withColumn("alt", F.lit(0))
     known = rows.where("doc_id is not null")
+    n_bytes = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(partitions(docs.sparkSession), -(-n_bytes * PHRASE_BYTES // GROUP_BYTES))
 
     found = staged(_phrase_matches(_parsed(known, buckets), buckets), "phrases")
     open_ = _spans(found.where("open"))
@@ -298,12 +331,13 @@ def remove_repeats(
 
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = flat(batch.column(2))
-        spans = batch.column(3)
-        bounds, values = spans.offsets.to_numpy(), spans.values.to_numpy(zero_copy_only=False)
         for i, j in slices(offsets):
             size = offsets[j] - offsets[i]
-            own = values[bounds[i] : bounds[j]]
-            at = np.repeat(offsets[i:j] - offsets[i], np.diff(bounds[i : j + 1])) + own // SPAN
+            row, own, again = _listed(batch, i, j)
+            at = offsets[i:j][row] - offsets[i] + own // SPAN
+            times = np.maximum(again // SPAN, 1)
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at, own = np.repeat(at, times) + nth * np.repeat(again % SPAN, times), np.repeat(own, times)
             change = np.zeros(size + 1, np.int32)
             np.add.at(change, at, 1)
             np.subtract.at(change, at + own % SPAN, 1)
@@ -331,7 +365,11 @@ def remove_repeats(
             )
 
     joined = rows.join(removed, ["doc_id", "alt"], "left").select(
-        "doc_id", "carried", "text", F.coalesce("spans", F.array().cast("array<long>")).alias("spans")
+        "doc_id",
+        "carried",
+        "text",
+        F.coalesce("spans", F.array().cast("array<long>")).alias("spans"),
+        F.coalesce("runs", F.array().cast("array<struct<span:long,again:long>>")).alias("runs"),
     )
     counts = "n_bytes long, n_removed long, n_spans long, kept binary"
     return scanned(joined, remove, f"doc_id long, carried {joined.schema['carried'].dataType.simpleString()}, {counts}")

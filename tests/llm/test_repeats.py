@@ -1,3 +1,5 @@
+import random
+
 import brute
 import numpy as np
 import pytest
@@ -170,3 +172,38 @@ def test_all_pairs_that_share_a_signature_are_listed(docs, texts, monkeypatch, h
         else:
             listed.add((r.node, r.other))
     assert pairs(groups.values()) == listed | pairs(members.values())
+
+
+def test_periodic_texts_are_few_entries():
+    """A run of one byte, and short periods, do not fill a bucket."""
+    for unit in (b"a", b"ab", b"abcdefg "):
+        data = np.frombuffer(unit * (80_000 // len(unit)), np.uint8)
+        with np.errstate(over="ignore"):
+            found = suffix_dedup.Phrases(data, np.array([0, len(data)]))
+        first, again = suffix_dedup.runs(found.rows, found.content, found.lo, found.windows)
+        assert len(first) < 40 < len(found.lo)
+        times = np.maximum(again // suffix_dedup.SPAN, 1)
+        assert times.sum() == len(found.lo)
+
+
+@pytest.mark.parametrize("size", [3_000, 400_000])
+def test_removal_from_periodic_and_very_long_texts(spark, size):
+    draw = random.Random(3)
+    prose = "".join(draw.choices("abcdefgh ", k=size))
+    texts = {1: "x" * 300, 2: "x" * size, 3: "ab" * (size // 2) + prose[:200], 4: prose, 5: "q" + "ab" * 99 + "z" * 60}
+    texts |= {6: prose[size // 3 : size // 2] + "tail " * 50, 7: "z" * 70, 8: "ail t" * 40}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    seen: dict[str, int] = {}
+    for i, t in sorted(texts.items()):
+        for k in range(len(t) - 49):
+            seen.setdefault(t[k : k + 50], i)
+    for r in suffix_dedup.remove_repeats(frame).collect():
+        t = texts[r.doc_id]
+        gone = np.zeros(len(t) + 1, int)
+        for k in range(len(t) - 49):
+            if seen[t[k : k + 50]] < r.doc_id:
+                gone[k] += 1
+                gone[k + 50] -= 1
+        gone = np.cumsum(gone)[:-1] > 0
+        assert bytes(r.kept).decode() == "".join(c for c, g in zip(t, gone) if not g)
+        assert r.n_removed == gone.sum() and r.n_spans == (gone & ~np.append(False, gone[:-1])).sum()
