@@ -18,10 +18,11 @@ chance too often. A signature's content is the same in both sets, so either set'
 Signatures are packed by hash bucket and compared within a bucket. Where few sets share one, their
 pairs go on, each once; larger groups go on as members. A pair is first held against the sets'
 parity sketches: as every differing shingle flips one bit, more differing bits than allowed
-differences rule it out for certain. Of the pairs left open, spanning forests are verified on the
-full sets; components of the verified links decide which pairs are still open, and those are all
-verified. So a group of copies is not expanded into its pairs, and no link between components is
-lost.
+differences rule it out for certain. A first round takes a few signatures of each set, so its pairs
+grow with the sets and not with a group's square; of the pairs left open, spanning forests are
+verified on the full sets. A second round takes all signatures whose members the verified links
+leave in different components, and verifies every open pair between components. So a group of copies
+is not expanded into its pairs, and no link between components is lost.
 
 Defined cases: null and empty texts and texts without words are empty sets, linked with nothing,
 each its own component; texts with fewer words than a shingle are one shingle; repeated rows are
@@ -38,7 +39,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfit.llm.arrays import Words, flat, mix, seeded, slices
@@ -61,6 +62,8 @@ FEW = 8
 #: Members of one signature up to which all pairs of many signatures are compared at once.
 BATCHED = 64
 PAIRS_AT_ONCE = 500_000
+#: Signatures of a node, those with the smallest hashes, in the first round of comparisons.
+ROUND = 8
 #: Members of one signature compared in one task; larger groups are compared by pairs of blocks.
 GROUP = 4_096
 #: Bytes that meet in one group: of packed signatures, and of members with their sketches.
@@ -367,7 +370,9 @@ def open_pairs(members: np.ndarray, component: np.ndarray, sketches: Sketches, f
     partners need no comparison among themselves, all other pairs are compared.
     """
     found: list[np.ndarray] = []
-    left, others = members, members
+    names, counts = np.unique(component[members], return_counts=True)
+    # Members of the largest component are compared with those of others, not with each other.
+    left, others = members[component[members] != names[counts.argmax()]], members
     if forest:
         x, rest = members[0], members[1:]
         rest = rest[component[rest] != component[x]]
@@ -381,21 +386,20 @@ def open_pairs(members: np.ndarray, component: np.ndarray, sketches: Sketches, f
         x, y = x[once], y[once]
         open_ = sketches.open(x, y)
         found.append(np.column_stack([x[open_], y[open_]]))
-    return np.concatenate(found)
+    return np.sort(np.concatenate(found), axis=1)
 
 
-def open_pairs_of_equal(groups: np.ndarray, component: np.ndarray, sketches: Sketches) -> tuple[np.ndarray, np.ndarray]:
-    """All open pairs of many signatures with equally many members (a row each), and their rows."""
+def open_pairs_of_equal(groups: np.ndarray, component: np.ndarray, sketches: Sketches) -> np.ndarray:
+    """All open pairs of many signatures with equally many members (a row each)."""
     x, y = np.triu_indices(groups.shape[1], 1)
-    pairs, rows = [], []
+    pairs = []
     for at in np.array_split(np.arange(len(groups)), -(-len(groups) * len(x) // PAIRS_AT_ONCE) or 1):
-        a, b, row = groups[at][:, x].ravel(), groups[at][:, y].ravel(), np.repeat(at, len(x))
+        a, b = groups[at][:, x].ravel(), groups[at][:, y].ravel()
         apart = component[a] != component[b]
-        a, b, row = a[apart], b[apart], row[apart]
+        a, b = a[apart], b[apart]
         open_ = sketches.open(a, b)
         pairs.append(np.column_stack([a[open_], b[open_]]))
-        rows.append(row[open_])
-    return np.concatenate(pairs), np.concatenate(rows)
+    return np.concatenate(pairs)
 
 
 def forests(pairs: np.ndarray, count: int) -> np.ndarray:
@@ -454,9 +458,10 @@ def _open_of_pairs(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFr
 
 
 def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
-    """Open pairs (a, b) of nodes over all shared signatures, and the signatures that have some.
+    """Open pairs (a, b) of nodes of different components over shared signatures.
 
-    ``members``: signature, node, n, sketch, component. A row holds a pair or a signature.
+    ``members``: signature, node, n, sketch, component. With ``forest`` spanning forests of a
+    cell's pairs are enough.
     """
 
     def choose(table: pa.Table) -> pa.Table:
@@ -476,30 +481,22 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
         order = order[new]
         heads = np.flatnonzero(np.append(True, np.diff(group) != 0))
         sizes = np.diff(np.append(heads, len(order)))
+        own_component = component[at[order]]
+        mixed = np.minimum.reduceat(own_component, heads) != np.maximum.reduceat(own_component, heads)
+        heads, sizes = heads[mixed], sizes[mixed]
         found: list[np.ndarray] = []
-        live: set[int] = set()
         for size in np.unique(sizes[sizes > 1]):
             starts = heads[sizes == size]
             if size <= BATCHED:
-                pairs, rows = open_pairs_of_equal(at[order[starts[:, None] + np.arange(size)]], component, sketches)
-                live.update(signature[order[starts[np.unique(rows)]]].tolist())
-                found.append(pairs)
+                found.append(open_pairs_of_equal(at[order[starts[:, None] + np.arange(size)]], component, sketches))
                 continue
-            for start in starts:
-                members = at[order[start : start + size]]
-                if (component[members] != component[members[0]]).any():
-                    pairs = open_pairs(members, component, sketches, forest)
-                    if len(pairs):
-                        live.add(int(signature[order[start]]))
-                        found.append(pairs)
+            found += [open_pairs(at[order[start : start + size]], component, sketches, forest) for start in starts]
         found = [x for x in found if len(x)]
-        rows: list[tuple] = []
+        ends = np.zeros((0, 2), np.int64)
         if found:
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             ends = np.sort(node[forests(pairs, FORESTS) if forest else pairs], axis=1)
-            rows = [*((a, b, None) for a, b in ends.tolist()), *((None, None, x) for x in live)]
-        columns = zip(*rows) if rows else [()] * 3
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "signature"])
+        return pa.table([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
     # A signature with very many members is split: every two blocks of its members meet somewhere.
     large = staged(members.groupBy("signature").agg(F.count("*").alias("m")).where(F.col("m") > GROUP), "large")
@@ -520,7 +517,7 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
     cells = -(-int(n_bytes) // GROUP_BYTES) or 1
     dealt = members.withColumn("cell", F.pmod(F.xxhash64("signature", "block"), F.lit(cells)))
     dealt = dealt.select("cell", "signature", "block", "node", "n", "sketch", "component")
-    return grouped(dealt, ["cell"], choose, "a long, b long, signature long")
+    return grouped(dealt, ["cell"], choose, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
@@ -584,21 +581,21 @@ def similar_documents(
     listed = shared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
     few = staged(_open_of_pairs(listed, nodes, like), "open-pairs")
     belongs = shared.where("signature is not null").select("signature", "node")
-    members = belongs.join(nodes.select("node", "n", "sketch"), "node")
-    many = staged(_candidates(members.withColumn("component", F.col("node")), like, forest=True), "open-groups")
-    tried = few.where("first").select("a", "b").unionByName(many.where("a is not null").select("a", "b")).distinct()
+    sketched = nodes.select("node", "n", "sketch")
+    by_node = Window.partitionBy("node").orderBy("signature")
+    some = belongs.withColumn("nth", F.row_number().over(by_node)).where(F.col("nth") <= ROUND).drop("nth")
+    some = some.withColumn("component", F.col("node")).join(sketched, "node")
+    many = staged(_candidates(some, like, forest=True), "open-groups")
+    tried = few.where("first").select("a", "b").unionByName(many).distinct()
     tried = staged(tried, "pairs")
     component = staged(connected_components(_verified(tried, rows, nodes, like)), "components")
 
     # What is open between components now is verified pair by pair.
-    live = many.where("signature is not null").select("signature").distinct()
-    labelled = (
-        belongs.join(live, "signature", "left_semi")
-        .join(component.withColumnRenamed("id", "node"), "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .join(nodes.select("node", "n", "sketch"), "node")
-    )
-    second = _candidates(labelled, like, forest=False).where("a is not null").select("a", "b")
+    labelled = belongs.join(component.withColumnRenamed("id", "node"), "node", "left")
+    labelled = staged(labelled.withColumn("component", F.coalesce("component", "node")), "labelled")
+    ends = labelled.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    mixed = labelled.join(ends.where("least <> most").select("signature"), "signature", "left_semi")
+    second = _candidates(mixed.join(sketched, "node"), like, forest=False)
     of = lambda k: component.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}"))
     apart = ~F.coalesce("c_a", "a").eqNullSafe(F.coalesce("c_b", "b"))
     waiting = few.where("not first").join(of("a"), "a", "left").join(of("b"), "b", "left").where(apart)
