@@ -51,6 +51,16 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def hash_share(hashed: Column, wanted: int, total: int) -> Column:
+    """Whether a 64-bit hash lies among the smallest ``wanted`` of ``total``, if hashes are even.
+
+    Rows so drawn are about ``wanted``; those with the smallest hashes are always among them.
+    """
+    if wanted >= total:
+        return F.lit(True)
+    return hashed < F.lit(-(1 << 63) + (1 << 64) * wanted // total)
+
+
 def hand_back_memory() -> None:
     """Give freed memory back to the machine: an idle Python worker keeps what it once took."""
     pa.default_memory_pool().release_unused()

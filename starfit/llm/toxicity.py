@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfit.llm.arrays import BYTE_VALUES, Prefix, flat, mix, seeded, slices
-from starfit.llm.tables import remainder, scanned
+from starfit.llm.tables import hash_share, remainder, scanned, staged
 from starfit.llm.text_counts import IS_LETTER
 
 BUCKET_BITS = 20
@@ -97,9 +97,10 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_column, text_column, l
         .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull())
         .where(remainder("_id", HELD_OUT_MODULUS) != HELD_OUT_REMAINDER)
         .distinct()
-        .orderBy(F.xxhash64("_id"), "_id", "_label")
-        .limit(max_train)
     )
+    # Drawn by a hash first, so that no task sends more than its share.
+    drawn = hash_share(F.xxhash64("_id"), max_train + max_train // 4 + 100, own.count())
+    own = own.where(drawn).orderBy(F.xxhash64("_id"), "_id", "_label").limit(max_train)
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     # At most max_train ids and labels, so the sample's size is bounded whatever the table's.
     return rows.join(F.broadcast(own), "_id").select("_text", "_label")
@@ -183,7 +184,8 @@ def train(
     steps: int = 400,
 ) -> Model:
     """Fit the machine on rows outside the held-out fold. All four bounds are fixed parameters."""
-    rows = _training_rows(docs, labels, id_column, text_column, label_column, max_train)
+    # Written: documents are read once for training.
+    rows = staged(_training_rows(docs, labels, id_column, text_column, label_column, max_train), "training-rows")
     sums = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("_label"), F.lit(0)).alias("ones")).first()
     place = np.full(1 << BUCKET_BITS, -1, np.int64)
     if sums.ones in (0, sums.n):

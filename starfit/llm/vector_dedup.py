@@ -48,6 +48,10 @@ DEGREE, NEAR, ALPHA, BACK = 24, 64, 1.2, 4
 #: Points of the shard drawn as far candidates, and the most of them kept.
 DRAWN, FAR = 64, 8
 BEAM, ENTRIES, STRIDE = 32, 8, 4
+#: Queries from which on a match is expanded for all of them at once.
+TOGETHER = 4
+#: Products with centres that are held at once.
+PRODUCTS = 4_000_000
 #: Sampled points for the centres, and the most centres (16 MB of 64 floats): beyond it clusters grow.
 MAX_SAMPLE, MAX_CENTRES = 100_000, 65_536
 
@@ -112,6 +116,18 @@ def centres(x: np.ndarray, count: int, rounds: int = 6) -> np.ndarray:
     return found
 
 
+def nearest(x: np.ndarray, c: np.ndarray, count: int) -> np.ndarray:
+    """The places of each row's ``count`` nearest centres, the nearest first."""
+    count = min(count, len(c))
+    out = [np.zeros((0, count), np.int64)]
+    for part in np.array_split(x, -(-len(x) * len(c) // PRODUCTS) or 1):
+        near = part @ c.T
+        best = np.argpartition(-near, count - 1, axis=1)[:, :count]
+        order = np.lexsort((best, -np.take_along_axis(near, best, 1)), axis=1)
+        out.append(np.take_along_axis(best, order, 1))
+    return np.concatenate(out)
+
+
 def _prune(x: np.ndarray, near: np.ndarray, candidates: np.ndarray, most: int) -> list[int]:
     """At most ``most`` candidates, the nearest first, without those a kept one is ``ALPHA`` closer to."""
     candidates = candidates[np.argsort(-near[candidates], kind="stable")]
@@ -160,22 +176,38 @@ def robust_prune(x: np.ndarray) -> list[np.ndarray]:
 def range_search(x: np.ndarray, graph: list[np.ndarray], asking: np.ndarray, entries: np.ndarray, least: float):
     """For every asking row, the rows of ``x`` with a dot product of ``least`` or more that a search meets.
 
-    A search starts from the asking row itself and from ``entries``. Queries advance together: each expands its ``STRIDE`` best points not yet expanded, as far as
-    they are among its ``BEAM`` best or are matches.
+    A search starts from the asking row itself and from ``entries``. Queries advance together: each
+    expands its matches, and of its other points not yet expanded the ``STRIDE`` best as far as
+    they are among its ``BEAM`` best. A match of many queries is expanded for all of them at once,
+    as a block: a group of near copies takes a few rounds, not one for every few copies.
     """
     width = max((len(g) for g in graph), default=0)
     table = np.full((len(x), max(1, width)), -1, np.int64)
     for k, g in enumerate(graph):
         table[k, : len(g)] = g
     queries, n = x[asking], len(asking)
-    score = np.full((n, len(x)), -2.0)
-    open_ = np.zeros((n, len(x)), bool)
+    # By point in memory, so that a block's expansion reads stretches; by query in use.
+    by_point, opened = np.full((len(x), n), -2.0), np.zeros((len(x), n), bool)
+    score, open_ = by_point.T, opened.T
     score[:, entries] = queries @ x[entries].T
     open_[:, entries] = True
     score[np.arange(n), asking] = np.einsum("ij,ij->i", queries, queries)
     open_[np.arange(n), asking] = True
     busy = np.arange(n)
     while len(busy):
+        matched = open_[busy] & (score[busy] >= least)
+        for k in np.flatnonzero(matched.sum(0) >= TOGETHER):
+            asks, step = busy[matched[:, k]], graph[k]
+            opened[k, asks] = False
+            known = by_point[step][:, asks]
+            new = known == -2.0
+            if new.any():
+                cells = np.ix_(step, asks)
+                by_point[cells] = np.where(new, x[step] @ queries[asks].T, known)
+                opened[cells] |= new
+        busy = busy[open_[busy].any(1)]
+        if len(busy) == 0:
+            break
         own = np.where(open_[busy], score[busy], -3.0)
         stride = min(STRIDE, len(x))
         best = np.argpartition(-own, stride - 1, axis=1)[:, :stride]
@@ -235,7 +267,7 @@ def _deal(points: DataFrame, n_points: int) -> DataFrame:
             # A group too small to be sampled is one cluster.
             c = known.value.get(g)
             x = matrix(batch.column(2).take(pa.array(at)))
-            near = np.argsort(-(x @ c.T), axis=1)[:, :OVERLAP] if c is not None else np.zeros((len(at), 1), int)
+            near = nearest(x, c, OVERLAP) if c is not None else np.zeros((len(at), 1), int)
             picked += [
                 (int(p), int(k), rank == 0, row.tolist()) for p, row in zip(at, near) for rank, k in enumerate(row)
             ]

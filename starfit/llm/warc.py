@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfit.llm.tables import staged
+from starfit.llm.tables import hash_share, staged
 from starfit.sources.staging import staging_path
 
 # Fixed values of the formats.
@@ -141,10 +141,11 @@ def write_archives(
     firsts = rows.groupBy("key").agg(F.max("page_id").alias("first"))
     revisit = (F.octet_length("payload") >= min_payload) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     joined = rows.join(firsts, "key").select("page_id", "url", "payload", "first", revisit.alias("revisit"))
-    # At most MAX_SAMPLES records of up to SAMPLE_BYTES bytes come to the driver.
-    sample = (
-        rows.where(F.octet_length("payload") <= SAMPLE_BYTES).orderBy(F.xxhash64("page_id", "key")).limit(MAX_SAMPLES).collect()
-    )
+    # Few more than MAX_SAMPLES records of up to SAMPLE_BYTES bytes are drawn by a hash, and at most
+    # MAX_SAMPLES come to the driver, however many tasks there are.
+    small = rows.where(F.octet_length("payload") <= SAMPLE_BYTES)
+    drawn = hash_share(F.xxhash64("page_id", "key"), 2 * MAX_SAMPLES, small.count())
+    sample = small.where(drawn).orderBy(F.xxhash64("page_id", "key")).limit(MAX_SAMPLES).collect()
     dictionary = train_dictionary([record(r.page_id, r.url, bytes(r.payload), None, False) for r in sample])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
