@@ -593,6 +593,64 @@ LEFT JOIN best_movie m ON m.movieId IS NOT DISTINCT FROM v.movieId LEFT JOIN bes
 LEFT JOIN said x ON x.genres IS NOT DISTINCT FROM v.genres"""
     out["richer_models"] += f"""
 UNION ALL SELECT 6, 'Genre Words Model', round(({words_rmse}), 6) + 0.0"""
+
+    # Evaluation in time order: a fit of its own for every origin.
+    cuts = " UNION ALL ".join(
+        f"""SELECT CAST({k} AS INTEGER) AS origin, quantile_cont("timestamp", {p}) AS cutoff FROM enriched"""
+        for k, p in ((1, 0.5), (2, 0.7), (3, 0.9))
+    )
+    out["time_ordered_errors"] = RAW.rstrip() + f""",
+origins AS MATERIALIZED (SELECT *, lead(cutoff) OVER (ORDER BY origin) AS until FROM ({cuts})),
+past AS MATERIALIZED (SELECT origin, r.* FROM enriched r JOIN origins ON r."timestamp" < cutoff),
+means AS MATERIALIZED (SELECT origin, count(*) AS n, avg(rating) AS mu FROM past GROUP BY origin),
+movie_at AS MATERIALIZED (
+  SELECT p.origin, movieId, sum(rating - mu) / (count(*) + 5) AS b FROM past p JOIN means m ON m.origin = p.origin
+  GROUP BY p.origin, movieId),
+user_at AS MATERIALIZED (
+  SELECT p.origin, userId, sum(rating - mu - b) / (count(*) + 5) AS u FROM past p JOIN means m ON m.origin = p.origin
+  JOIN movie_at x ON x.origin = p.origin AND x.movieId IS NOT DISTINCT FROM p.movieId GROUP BY p.origin, userId),
+test AS (
+  SELECT o.origin, r.*, mu, b, u FROM enriched r
+  JOIN origins o ON r."timestamp" >= cutoff AND (until IS NULL OR r."timestamp" < until) JOIN means m ON m.origin = o.origin
+  LEFT JOIN movie_at x ON x.origin = o.origin AND x.movieId IS NOT DISTINCT FROM r.movieId
+  LEFT JOIN user_at y ON y.origin = o.origin AND y.userId IS NOT DISTINCT FROM r.userId),
+errors AS (
+  SELECT origin, count(*) AS n_test, count(*) FILTER (WHERE b IS NOT NULL AND u IS NOT NULL) AS n_known,
+         sqrt(avg((rating - mu) ^ 2) FILTER (WHERE b IS NOT NULL AND u IS NOT NULL)) AS r0,
+         sqrt(avg((rating - mu - b) ^ 2) FILTER (WHERE b IS NOT NULL AND u IS NOT NULL)) AS r1,
+         sqrt(avg((rating - mu - b - u) ^ 2) FILTER (WHERE b IS NOT NULL AND u IS NOT NULL)) AS r2 FROM test GROUP BY origin)
+SELECT o.origin, {_r('cutoff', 'cutoff')}, n AS n_train, {_r('mu', 'mu')}, n_test, n_known,
+       {_r('r0', 'rmse_mean')}, {_r('r1', 'rmse_movie')}, {_r('r2', 'rmse_movie_user')}
+FROM origins o JOIN means m ON m.origin = o.origin JOIN errors e ON e.origin = o.origin"""
+
+    # Blends: every fold is scored by models of the other two.
+    folds = DENSE.rstrip() + """,
+dealt AS MATERIALIZED (
+  SELECT *, CAST(CAST('0x' || substr(md5('fold|' || row_key), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold FROM development),
+others AS MATERIALIZED (SELECT f.fold AS without, d.* FROM dealt d JOIN (SELECT DISTINCT fold FROM dealt) f ON d.fold <> f.fold),
+means AS MATERIALIZED (SELECT without, avg(rating) AS mu FROM others GROUP BY without),
+by_movie AS MATERIALIZED (
+  SELECT o.without, movieId, sum(rating - mu) / (count(*) + 5) AS b FROM others o JOIN means m ON m.without = o.without GROUP BY o.without, movieId),
+by_user AS MATERIALIZED (
+  SELECT o.without, userId, sum(rating - mu) / (count(*) + 5) AS u FROM others o JOIN means m ON m.without = o.without GROUP BY o.without, userId),
+scored AS MATERIALIZED (
+  SELECT d.*, mu, coalesce(b, 0) AS movie, coalesce(u, 0) AS "user" FROM dealt d JOIN means m ON m.without = d.fold
+  LEFT JOIN by_movie x ON x.without = d.fold AND x.movieId IS NOT DISTINCT FROM d.movieId
+  LEFT JOIN by_user y ON y.without = d.fold AND y.userId IS NOT DISTINCT FROM d.userId)"""
+    out["out_of_fold_scores"] = folds + f"""
+SELECT row_key, fold, {_r('mu', 'mu')}, {_r('movie', 'movie')}, {_r('"user"', '"user"')} FROM scored"""
+    out["blend"] = folds + f""",
+sums AS (
+  SELECT sum(movie * movie) AS a, sum(movie * "user") AS b, sum("user" * "user") AS c,
+         sum(movie * (rating - mu)) AS x, sum("user" * (rating - mu)) AS y FROM scored),
+free AS (SELECT *, (c * x - b * y) / (a * c - b * b) AS w1, (a * y - b * x) / (a * c - b * b) AS w2 FROM sums),
+alone AS (SELECT *, greatest(x, 0) ^ 2 / a AS gain1, greatest(y, 0) ^ 2 / c AS gain2 FROM free),
+weights AS (
+  SELECT CASE WHEN w1 >= 0 AND w2 >= 0 THEN w1 WHEN gain1 >= gain2 THEN greatest(x, 0) / a ELSE 0 END AS w1,
+         CASE WHEN w1 >= 0 AND w2 >= 0 THEN w2 WHEN gain1 >= gain2 THEN 0 ELSE greatest(y, 0) / c END AS w2 FROM alone)
+SELECT 'weight of movie' AS name, {_r('w1', 'value')} FROM weights
+UNION ALL SELECT 'weight of user', {_r('w2', 'value')} FROM weights
+UNION ALL SELECT 'rmse', {_r('sqrt(avg((rating - mu - w1 * movie - w2 * "user") ^ 2))', 'value')} FROM scored, weights"""
     return {name: sql.strip() for name, sql in out.items()}
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from starfit.operators import diagnostics, effects, explore
 from starfit.operators.activity import GENRE_ACTIVITY, MOVIE_ACTIVITY, USER_ACTIVITY, point_in_time
+from starfit.operators.backtest import backtest, time_origins
+from starfit.operators.blend import blend_weights, blended, out_of_fold
 from starfit.operators.content import MoviePrior, errors_by_support
 from starfit.operators.effects import GENRE, MOVIE, USER, USER_GENRE, EffectsModel
 from starfit.operators.inner_product import recommend_by_factors
@@ -633,3 +635,34 @@ def cold_start_errors(w: Workbench) -> DataFrame:
     plain = effects.fit_effects(w.sparse.train, [MOVIE]).predict(w.sparse.validation)
     rows = plain.withColumnRenamed("pred", "plain").drop("b_i")
     return _tidy(errors_by_support(prior.predict(rows), 5))
+
+
+# ---- Evaluation in time order, and blends
+
+
+@query
+def time_ordered_errors(w: Workbench) -> DataFrame:
+    origins = time_origins(w.enriched, [0.5, 0.7, 0.9])
+    return _tidy(backtest(w.enriched, origins, FIXED_LAMBDA))
+
+
+BLENDED = {"movie": [MOVIE], "user": [USER]}
+
+
+def _out_of_fold(w: Workbench) -> DataFrame:
+    rows = w.dense.development.select("row_key", "userId", "movieId", "rating")
+    return out_of_fold(rows, BLENDED, 3, FIXED_LAMBDA, ["row_key"])
+
+
+@query
+def out_of_fold_scores(w: Workbench) -> DataFrame:
+    return _tidy(_out_of_fold(w).select("row_key", "fold", "mu", *BLENDED))
+
+
+@query
+def blend(w: Workbench) -> DataFrame:
+    scored = _out_of_fold(w)
+    weights = blend_weights(scored, list(BLENDED))
+    lines = w.spark.createDataFrame([(f"weight of {c}", v) for c, v in weights.items()], "name string, value double")
+    error = diagnostics.rmse_of(blended(scored, weights)).select(F.lit("rmse").alias("name"), F.col("rmse").alias("value"))
+    return _tidy(lines.unionByName(error))
