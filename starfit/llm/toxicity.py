@@ -3,7 +3,8 @@
 Terms are the lower-cased words of a text and the first four, five and six bytes of the longer
 ones, hashed into ``2**BUCKET_BITS`` buckets; a document's features are the distinct buckets it
 holds, wherever in the text they stand. The model keeps the buckets whose presence differs most
-between the two labels (chi-square over the training rows) and learns a weight and a short
+between the two labels (chi-square over the training rows), and of the most frequent ones those
+that tell the labels apart in pairs, though perhaps not alone. It learns a weight and a short
 vector for each: the score of a pair of terms is the product of their vectors, so a word that is
 harmless alone can count beside another.
 
@@ -144,6 +145,46 @@ def _features(rows: DataFrame, place: np.ndarray) -> DataFrame:
     return scanned(rows, extract, "label int, terms array<int>")
 
 
+def _matrix(rows: DataFrame, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """0 and 1 by row and feature, and the labels, of the bounded training rows."""
+    sample = _features(rows, place).toArrow()  # max_train rows of at most ``width`` flags
+    x = np.zeros((sample.num_rows, max(1, width)), np.uint8)
+    terms = sample["terms"].combine_chunks()
+    x[np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy())), terms.flatten().to_numpy()] = 1
+    return x, sample["label"].to_numpy().astype(np.float64)
+
+
+def _skill(a, c, p: int, q: int):
+    """Chi-square of a flag that ``a`` of p rows of label 1 and ``c`` of q others hold."""
+    held = a + c
+    return (p + q) * (a * q - c * p) ** 2 / np.maximum(held * (p + q - held) * p * q, 1)
+
+
+def telling_pairs(x: np.ndarray, y: np.ndarray, least: float, most: int) -> list[int]:
+    """Features of pairs that tell the labels apart by far better than either feature alone.
+
+    Pairs come by how much better they do; at most ``most`` features are returned.
+    """
+    p, q = int(y.sum()), int((1 - y).sum())
+    counts = [np.zeros((x.shape[1],) * 2, np.float32) for _ in range(2)]
+    for part, label in zip(np.array_split(x, -(-len(x) // 2048)), np.array_split(y, -(-len(x) // 2048))):
+        for k in (0, 1):
+            flags = part[label == k].astype(np.float32)
+            counts[k] += flags.T @ flags
+    zeros, ones = (c.astype(np.float64) for c in counts)
+    single = np.zeros(x.shape[1])
+    single[:] = _skill(ones.diagonal(), zeros.diagonal(), p, q)
+    gain = _skill(ones, zeros, p, q) - np.maximum(single[:, None], single)
+    gain = np.triu(gain, 1)
+    at = np.argsort(-gain, axis=None, kind="stable")[: 4 * most]
+    found: dict[int, None] = {}
+    for k in at[gain.ravel()[at] >= least].tolist():
+        if len(found) + 2 > most:
+            break
+        found |= dict.fromkeys(divmod(k, x.shape[1]))
+    return list(found)
+
+
 def _fit(x: np.ndarray, y: np.ndarray, factors: int, steps: int, decay: float) -> tuple[float, np.ndarray, np.ndarray]:
     """Adam on the log loss over mini-batches; x holds 0 and 1."""
     n, d = x.shape
@@ -182,8 +223,16 @@ def train(
     n_terms: int = 1024,
     factors: int = 4,
     steps: int = 400,
+    n_frequent: int = 1024,
+    n_pair_terms: int = 256,
+    pair_gain: float = 40.0,
 ) -> Model:
-    """Fit the machine on rows outside the held-out fold. All four bounds are fixed parameters."""
+    """Fit the machine on rows outside the held-out fold. All bounds are fixed parameters.
+
+    Terms are the ``n_terms`` that tell the labels apart best alone, and up to ``n_pair_terms`` of
+    the ``n_frequent`` most frequent ones that do so in pairs: a pair must beat its better term's
+    chi-square by ``pair_gain``.
+    """
     # Written: documents are read once for training.
     rows = staged(_training_rows(docs, labels, id_column, text_column, label_column, max_train), "training-rows")
     sums = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("_label"), F.lit(0)).alias("ones")).first()
@@ -193,20 +242,16 @@ def train(
     a, c = F.col("ones"), F.col("zeros")
     p, q = sums.ones, sums.n - sums.ones
     skill = (a * q - c * p) * (a * q - c * p).cast("double") / ((a + c) * (F.lit(sums.n) - a - c + 1))
-    best = (
-        _class_counts(rows)
-        .where(a + c >= 3)
-        .select("bucket", skill.cast("double").alias("skill"))
-        .orderBy(F.desc("skill"), "bucket")
-        .limit(n_terms)
-        .collect()
-    )
-    place[[r.bucket for r in best]] = np.arange(len(best))
-    sample = _features(rows, place).toArrow()  # max_train rows of at most n_terms flags
-    x = np.zeros((sample.num_rows, max(1, len(best))), np.uint8)
-    terms = sample["terms"].combine_chunks()
-    x[np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy())), terms.flatten().to_numpy()] = 1
-    y = sample["label"].to_numpy().astype(np.float64)
+    counts = staged(_class_counts(rows).where(a + c >= 3), "class-counts")
+    best = counts.select("bucket", skill.cast("double").alias("skill")).orderBy(F.desc("skill"), "bucket")
+    chosen = [r.bucket for r in best.limit(n_terms).collect()]
+    often = counts.where(a + c < sums.n).orderBy(F.desc(a + c), "bucket").limit(n_frequent).collect()
+    frequent = np.full(1 << BUCKET_BITS, -1, np.int64)
+    frequent[[r.bucket for r in often]] = np.arange(len(often))
+    paired = telling_pairs(*_matrix(rows, frequent, len(often)), pair_gain, n_pair_terms)
+    chosen += [k for k in (often[i].bucket for i in paired) if k not in set(chosen)]
+    place[chosen] = np.arange(len(chosen))
+    x, y = _matrix(rows, place, len(chosen))
     order = np.lexsort((y, *x[:, :16].T))  # rows arrive in any order; draws must not depend on it
     return Model(place, *_fit(x[order], y[order], factors, steps, 1e-5))
 

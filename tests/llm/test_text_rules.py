@@ -102,3 +102,66 @@ def test_models_without_labels(spark, odd_docs, no_docs):
 def test_isotonic_levels():
     levels = quality_model.pool_adjacent_violators(np.array([0.1, 0.5, 0.3, 0.2, 0.9]), np.ones(5))
     assert np.allclose(levels, [0.1, 1 / 3, 1 / 3, 1 / 3, 0.9])
+
+
+def test_terms_that_tell_in_pairs_only_are_found(spark):
+    """Each of two words is as frequent under both labels; whether they come together decides."""
+    draw = np.random.default_rng(4)
+    fill = ["".join(draw.choice(list("bcdfghklmnprst"), 5)) for _ in range(300)]
+    texts, rows = [], []
+    for k in range(1200):
+        both, first = draw.random() < 0.5, draw.random() < 0.5
+        words = [*draw.choice(fill, 25), *(["zoqua", "vexil"] if both and first else [])]
+        words += ["zoqua" if first else "vexil"] if not both else []
+        texts.append((k, " ".join(draw.permutation(words))))
+        rows.append((k, int(both)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, n_terms=8)
+    right, scored = _share_right(toxicity.score(docs, model), labels, "toxic")
+    assert right > 0.97 and len(scored) > 150
+    without = toxicity.train(docs, labels, n_terms=8, n_pair_terms=0)
+    assert _share_right(toxicity.score(docs, without), labels, "toxic")[0] < 0.7
+
+
+def test_scores_equal_a_double_loop_over_pairs():
+    draw = np.random.default_rng(1)
+    weights, vectors = draw.normal(size=30), draw.normal(size=(30, 4))
+    model = toxicity.Model(np.zeros(0, np.int64), 0.3, weights, vectors)
+    held = [np.sort(draw.choice(30, n, replace=False)) for n in (0, 1, 2, 7, 30)]
+    rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    found = model.scores(rows, np.concatenate(held), len(held))
+    for own, score in zip(held, found):
+        z = 0.3 + weights[own].sum()
+        z += sum(vectors[i] @ vectors[j] for k, i in enumerate(own) for j in own[k + 1 :])
+        assert score == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_verdicts_equal_judging_chunk_by_chunk(spark):
+    import zstandard
+
+    draw = np.random.default_rng(3)
+    prose = lambda n: " ".join("".join(draw.choice(list("etaoinshrdlu"), draw.integers(2, 8))) for _ in range(n))
+    noise = lambda n: "".join(map(chr, draw.integers(0x4E00, 0x9000, n)))
+    texts = [prose(900), prose(5), "", prose(1800) + " " + noise(3000), prose(8000) + "drum and bass " * 900]
+    texts += ["word " * 400, prose(3000)[:4096 + 100], prose(4000)[:4096 + 300] + noise(60), prose(90)]
+    rules, packer = quality_rules.Bands(), zstandard.ZstdCompressor(level=3)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def outside(raw, bands):
+        ratio = len(raw) / len(packer.compress(raw))
+        low, high = next((low, high) for limit, low, high in bands if len(raw) <= limit)
+        return not low <= ratio <= high
+
+    for r in quality_rules.compression_bands(frame).collect():
+        raw = texts[r.doc_id].encode()
+        chunks = [raw[k : k + 4096] for k in range(0, len(raw), 4096)]
+        if len(chunks) > 1 and len(chunks[-1]) < 512:
+            chunks[-2:] = [chunks[-2] + chunks[-1]]
+        chunks = [c for c in chunks if len(c) >= 512]
+        bad = sum(outside(c, rules.chunk) for c in chunks)
+        kept = bool(raw) and not outside(raw, rules.whole) and bad <= 0.1 * max(len(chunks), 1)
+        counts = brute.rule_counts(texts[r.doc_id])
+        assert (r.kept, r.n_chunks, r.low_chunks + r.high_chunks) == (kept and not counts[-1], len(chunks), bad), r.doc_id
+    kept = {r.doc_id for r in quality_rules.compression_bands(frame).where("kept").collect()}
+    assert 0 in kept and not kept & {1, 2, 3, 4, 5}
