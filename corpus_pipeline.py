@@ -1,6 +1,11 @@
 """A corpus pipeline: filter, remove near-copies and repeated passages, pack for training.
 
 Each stage takes all documents its predecessor kept and is written before the next one reads.
+
+Defined cases: documents with null or empty texts fail the quality rules and go; rows that repeat in
+all columns stay once, as near copies of each other, and so do rows that share an id and differ
+elsewhere if that id names its group; rows with a null id stay only if nothing like them has one; an
+empty table gives no pieces; other columns are carried along up to packing, whatever their names.
 """
 
 from __future__ import annotations
