@@ -72,9 +72,26 @@ ranked AS (
          doc_id, score FROM scores WHERE score > 0)
 SELECT * FROM ranked WHERE rank <= 10"""
 
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+written AS (
+  SELECT *, length(regexp_replace(text, '([<\[]\\*)(/?s>|/?INST\]|/?SYS\]|/?ROLE\]|/TURN\])', '\1\\\2', 'g'))
+    + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 WHEN 'system' THEN 11
+      ELSE 20 + length(regexp_replace(role, '([<\[]\\*)(/?s>|/?INST\]|/?SYS\]|/?ROLE\]|/TURN\])', '\1\\\2', 'g')) END AS n
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(n) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id"""
+
 ORACLE_SQL = {
     "op3_embedding_near_dedup": OP3,
     "op8_warc": OP8,
     "op10_ngram_jaccard_join": OP10,
     "op11_lexical_search": OP11,
+    "op12_chat_format": OP12,
 }
