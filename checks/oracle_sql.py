@@ -651,6 +651,20 @@ weights AS (
 SELECT 'weight of movie' AS name, {_r('w1', 'value')} FROM weights
 UNION ALL SELECT 'weight of user', {_r('w2', 'value')} FROM weights
 UNION ALL SELECT 'rmse', {_r('sqrt(avg((rating - mu - w1 * movie - w2 * "user") ^ 2))', 'value')} FROM scored, weights"""
+
+    # Similar titles: all pairs that share a word.
+    out["similar_titles"] = RAW.rstrip() + f""",
+words AS MATERIALIZED (
+  SELECT DISTINCT movieId, unnest(string_split_regex(lower(trim(title)), '\\s+')) AS word FROM movies WHERE title IS NOT NULL),
+rarity AS MATERIALIZED (
+  SELECT word, ln(1 + (SELECT count(DISTINCT movieId) FROM words) / CAST(count(*) AS DOUBLE)) AS w FROM words GROUP BY word),
+lengths AS (SELECT movieId, sqrt(sum(w * w)) AS length FROM words JOIN rarity USING (word) GROUP BY movieId),
+weights AS MATERIALIZED (SELECT movieId, word, w / length AS w FROM words JOIN rarity USING (word) JOIN lengths USING (movieId)),
+pairs AS (
+  SELECT a.movieId, b.movieId AS other, round(sum(a.w * b.w), 9) AS score
+  FROM weights a JOIN weights b ON a.word = b.word AND a.movieId <> b.movieId GROUP BY a.movieId, b.movieId),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY movieId ORDER BY score DESC, other) AS rank FROM pairs WHERE score > 0)
+SELECT movieId, rank, other AS "similar", {_r('score', 'similarity')} FROM ranked WHERE rank <= 10"""
     return {name: sql.strip() for name, sql in out.items()}
 
 

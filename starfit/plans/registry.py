@@ -17,6 +17,7 @@ from starfit.operators.inner_product import recommend_by_factors
 from starfit.operators.partition import known_to_rest
 from starfit.operators.recommend import recommend
 from starfit.operators.timed import MovieBins
+from starfit.operators.titles import similar_titles as most_similar_titles
 from starfit.plans.ladder import BIN_WIDTH, LEVELS, WORDS_LAMBDA
 from starfit.plans.workbench import Workbench, workbench
 from starfit.sources import staging_path
@@ -666,3 +667,8 @@ def blend(w: Workbench) -> DataFrame:
     lines = w.spark.createDataFrame([(f"weight of {c}", v) for c, v in weights.items()], "name string, value double")
     error = diagnostics.rmse_of(blended(scored, weights)).select(F.lit("rmse").alias("name"), F.col("rmse").alias("value"))
     return _tidy(lines.unionByName(error))
+
+
+@query
+def similar_titles(w: Workbench) -> DataFrame:
+    return _tidy(most_similar_titles(w.movies, 10))
