@@ -52,6 +52,8 @@ BEAM, ENTRIES, STRIDE = 32, 8, 4
 TOGETHER = 4
 #: Products with centres that are held at once.
 PRODUCTS = 4_000_000
+#: Points audited in one pass.
+AUDITED = 5_000
 #: Sampled points for the centres, and the most centres (16 MB of 64 floats): beyond it clusters grow.
 MAX_SAMPLE, MAX_CENTRES = 100_000, 65_536
 
@@ -415,10 +417,27 @@ def audit(
     vector_column: str = "embedding",
     label_column: str = "label",
 ) -> DataFrame:
-    """One row (links, found, recall): links of the points whose id ``divisor`` divides, against all vectors."""
-    rows = _points(vectors, id_column, vector_column, label_column).where("point is not null")
-    asked = [(r["vec_id"], r["group"], bytes(r["unit"])) for r in rows.where(F.col("vec_id") % divisor == 0).collect()]
-    known = vectors.sparkSession.sparkContext.broadcast(asked)
+    """One row (links, found, recall): links of the points whose id ``divisor`` divides, against all vectors.
+
+    Asking points are handed out in blocks of some ``AUDITED``, each a pass over all vectors.
+    """
+    rows = staged(_points(vectors, id_column, vector_column, label_column).where("point is not null"), "audit-points")
+    asking = rows.where(F.col("vec_id") % divisor == 0)
+    passes = -(-asking.count() // AUDITED) or 1
+    true = None
+    for k in range(passes):
+        part = _true_links(rows, asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == k), least)
+        true = part if true is None else true.unionByName(part)
+    joined = true.join(result.select(F.col("vec_id"), "n_links"), "vec_id")
+    return joined.agg(F.sum("links").alias("links"), F.sum(F.least("links", "n_links")).alias("found")).withColumn(
+        "recall", F.when(F.col("links") > 0, F.col("found") / F.col("links")).otherwise(F.lit(1.0))
+    )
+
+
+def _true_links(rows: DataFrame, asking: DataFrame, least: float) -> DataFrame:
+    """vec_id and links of the asking points, by holding them against all others of their group."""
+    asked = [(r["vec_id"], r["group"], bytes(r["unit"])) for r in asking.collect()]
+    known = rows.sparkSession.sparkContext.broadcast(asked)
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         groups, names = np.array(batch.column(1).to_pylist()), batch.column(0).to_numpy()
@@ -436,8 +455,5 @@ def audit(
             [pa.array(out_id, pa.int64()), pa.array(out_n, pa.int64())], names=["vec_id", "n"]
         )
 
-    true = scanned(rows, count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("links"))
-    joined = true.join(result.select(F.col("vec_id"), "n_links"), "vec_id")
-    return joined.agg(F.sum("links").alias("links"), F.sum(F.least("links", "n_links")).alias("found")).withColumn(
-        "recall", F.when(F.col("links") > 0, F.col("found") / F.col("links")).otherwise(F.lit(1.0))
-    )
+    counted = scanned(rows, count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("links"))
+    return staged(counted, "true-links")

@@ -113,6 +113,7 @@ def test_links_equal_brute_force(spark, monkeypatch, cluster, room):
     assert sum(n for n, *_ in found.values()) >= 0.95 * total
     if cluster == 500:
         assert found == expected
+    monkeypatch.setattr(vector_dedup, "AUDITED", 40)
     audited = vector_dedup.audit(vectors, result, divisor=5).first()
     assert audited.recall >= 0.9 and audited.links > 0
 

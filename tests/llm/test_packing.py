@@ -27,6 +27,14 @@ def test_shards_keep_groups_and_are_even(docs, texts):
         sizes[r.shard] += r.size
     assert all(sorted(s) == list(range(len(s))) for s in shards.values())
     assert all(len(s) == 1 for s in group.values())
+    bytes_of: dict = {}
+    for r in rows:
+        bytes_of[texts[r.doc_id]] = bytes_of.get(texts[r.doc_id], 0) + r.size
+    assert max(sizes.values()) - min(sizes.values()) <= max(bytes_of.values())
+    loads = [0] * 5  # largest group first, to the least loaded shard
+    for size in sorted(bytes_of.values(), reverse=True):
+        loads[loads.index(min(loads))] += size
+    assert sorted(sizes.values()) == sorted(loads)
 
 
 def test_schedule_is_the_heap_rule():
