@@ -20,9 +20,9 @@ pairs go on, each once; larger groups go on as members. A pair is first held aga
 parity sketches: as every differing shingle flips one bit, more differing bits than allowed
 differences rule it out for certain. A first round takes a few signatures of each set, so its pairs
 grow with the sets and not with a group's square; of the pairs left open, spanning forests are
-verified on the full sets. A second round takes all signatures whose members the verified links
-leave in different components, and verifies every open pair between components. So a group of copies
-is not expanded into its pairs, and no link between components is lost.
+verified on the full sets. A second round does so with all signatures whose members the verified links
+leave in different components, and a third verifies every pair that is still open between
+components. So a group of copies is not expanded into its pairs, and no link is lost.
 
 Defined cases: null and empty texts and texts without words are empty sets, linked with nothing,
 each its own component; texts with fewer words than a shingle are one shingle; repeated rows are
@@ -363,6 +363,12 @@ class Sketches:
         return out
 
 
+    def promise(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How far a pair's sketches lie under what they may differ by, as a share of its shingles."""
+        both = self.sizes[x] + self.sizes[y]
+        return (self.like.differences(both) - self.flips(x, y)) / both
+
+
 def open_pairs(members: np.ndarray, component: np.ndarray, sketches: Sketches, forest: bool) -> np.ndarray:
     """Open pairs of one signature's members in different components.
 
@@ -495,7 +501,10 @@ def _candidates(members: DataFrame, like: Likeness, forest: bool) -> DataFrame:
         ends = np.zeros((0, 2), np.int64)
         if found:
             pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-            ends = np.sort(node[forests(pairs, FORESTS) if forest else pairs], axis=1)
+            if forest:  # of the pairs that could join two parts, the most promising one
+                pairs = pairs[np.argsort(-sketches.promise(*pairs.T), kind="stable")]
+                pairs = forests(pairs, FORESTS)
+            ends = np.sort(node[pairs], axis=1)
         return pa.table([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
     # A signature with very many members is split: every two blocks of its members meet somewhere.
@@ -590,21 +599,35 @@ def similar_documents(
     tried = staged(tried, "pairs")
     component = staged(connected_components(_verified(tried, rows, nodes, like)), "components")
 
+    def between(component: DataFrame, forest: bool) -> DataFrame:
+        """Open pairs over all signatures whose members lie in different components."""
+        named = component.withColumnRenamed("id", "node")
+        labelled = belongs.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = staged(labelled, "labelled")
+        ends = labelled.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        mixed = labelled.join(ends.where("least <> most").select("signature"), "signature", "left_semi")
+        return _candidates(mixed.join(sketched, "node"), like, forest)
+
+    def extended(component: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components when the pairs that are similar are links, too."""
+        known = component.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return staged(connected_components(known.unionByName(_verified(pairs, rows, nodes, like))), "components")
+
+    # Sets that a few signatures did not link join by forests over all of them.
+    joining = staged(between(component, True).join(tried, ["a", "b"], "left_anti").distinct(), "pairs")
+    if joining.limit(1).count():
+        component = extended(component, joining)
+        tried = tried.unionByName(joining)
+
     # What is open between components now is verified pair by pair.
-    labelled = belongs.join(component.withColumnRenamed("id", "node"), "node", "left")
-    labelled = staged(labelled.withColumn("component", F.coalesce("component", "node")), "labelled")
-    ends = labelled.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    mixed = labelled.join(ends.where("least <> most").select("signature"), "signature", "left_semi")
-    second = _candidates(mixed.join(sketched, "node"), like, forest=False)
+    second = between(component, False)
     of = lambda k: component.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}"))
     apart = ~F.coalesce("c_a", "a").eqNullSafe(F.coalesce("c_b", "b"))
     waiting = few.where("not first").join(of("a"), "a", "left").join(of("b"), "b", "left").where(apart)
     second = second.unionByName(waiting.select("a", "b")).distinct()
     second = staged(second.join(tried, ["a", "b"], "left_anti"), "pairs")
     if second.limit(1).count():
-        known = component.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        links = known.unionByName(_verified(second, rows, nodes, like))
-        component = staged(connected_components(links), "components")
+        component = extended(component, second)
 
     in_class = nodes.join(component.withColumnRenamed("id", "node"), "node", "left").select(
         "node", F.coalesce("component", "node").alias("class"), "least_id"
