@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starfit.operators import factors
 from starfit.operators.effects import GENRE, MOVIE, USER, fit_effects
-from starfit.operators.inner_product import recommend_by_factors
+from starfit.operators.inner_product import recommend_by_factors, serve
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +98,28 @@ def test_best_movies_equal_ranking_all_pairs(rated, block, chunk_bytes):
     if block == 2:
         n_blocks = -(-len({m for _, m, _ in pairs if m is not None}) // 2)
         assert min(r.blocks for r in found) < n_blocks  # the bound ends searches early
+
+
+@pytest.mark.parametrize("n", [5, 300])
+def test_users_of_typical_length_end_early_and_serve_equals_full_sorting(n):
+    draw = np.random.default_rng(3)
+    q, p = draw.normal(size=(4_000, 2)), draw.normal(size=(60, 2))
+    p[:40] /= np.linalg.norm(p[:40], axis=1)[:, None]
+    lengths = np.linalg.norm(q, axis=1)
+    shared = draw.normal(size=4_000) * 3 - lengths  # large effects go with short vectors
+    order = np.argsort(-(shared + lengths), kind="stable")
+    ids, q, shared, lengths = draw.permutation(4_000)[order], q[order], shared[order], lengths[order]
+    seen = [np.sort(draw.choice(4_000, 50, replace=False)) for _ in p]
+    scores = np.round(p @ q.T + shared, 2)  # many ties
+    none = [(np.zeros(0, np.int64), np.zeros(0)) for _ in p]
+    early = 2_000
+    halves = [(x[:early], x[early:]) for x in (ids, q, shared, lengths)]
+    later = (shared + lengths)[early:].max(), lengths[early:].min(), lengths[early:].max()
+    first, read, going = serve(p, none, [s[s < early] for s in seen], tuple(h[0] for h in halves), 1.0, later, n, 100, 2)
+    end = (-np.inf, 0.0, 0.0)
+    rest, _, more = serve(p, first, [s[s >= early] - early for s in seen], tuple(h[1] for h in halves), 1.0, end, n, 100, 2)
+    assert not more.any() and (n > 5 or (read[:40] < 10).all() and not going[:40].any())
+    for u in range(len(p)):
+        free = np.setdiff1d(np.arange(4_000), seen[u])
+        best = free[np.lexsort((ids[free], -scores[u, free]))][:n]
+        assert rest[u][0].tolist() == ids[best].tolist() and rest[u][1].tolist() == scores[u, best].tolist()
