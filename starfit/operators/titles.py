@@ -6,6 +6,9 @@ into blocks that grow. A title opens the blocks of its words round by round and
 meets. A title not met yet weighs no more in a word than the next block's first, which bounds its
 similarity; a title has done once its k-th best is above that bound, or its lists are at their ends.
 
+Titles of the same words are one set, named by its smallest movie id, and only sets are compared; a
+movie's list is its set's, without itself. So copies of a title cost no more than one.
+
 A block is one row, looked up by word and number, so a word that very many titles share is a hot
 key of a lookup (``keyed``) and never a join of its titles with each other.
 """
@@ -35,16 +38,23 @@ def block_ends(first: int, largest: int, n: int) -> list[int]:
     return ends
 
 
-def title_vectors(movies: DataFrame) -> DataFrame:
-    """movieId, word and weight of every distinct word of every title. Written.
+def word_sets(movies: DataFrame) -> DataFrame:
+    """movieId and the sorted distinct words, as one text, of every title that has words. Written."""
+    words = F.filter(F.array_distinct(F.split(F.lower(F.trim("title")), r"\s+")), lambda w: w != "")
+    rows = movies.filter("title IS NOT NULL").groupBy("movieId").agg(F.min("title").alias("title"))
+    rows = rows.select("movieId", F.array_join(F.array_sort(words), " ").alias("words"))
+    return stage(rows.filter("words <> ''"), "word-sets")
+
+
+def title_vectors(sets: DataFrame) -> DataFrame:
+    """movieId, word and weight of every word of every set (movieId, words, n titles). Written.
 
     Weights are ln(1 + titles / titles with the word), divided by the title's length.
     """
-    words = F.array_distinct(F.split(F.lower(F.trim("title")), r"\s+"))
-    rows = movies.filter("title IS NOT NULL").groupBy("movieId").agg(F.min("title").alias("title"))
-    rows = stage(rows.select("movieId", F.explode(words).alias("word")).filter("word <> ''"), "title-words")
-    n = rows.select("movieId").distinct().count()
-    rarity = rows.groupBy("word").agg(F.log(1 + F.lit(float(n)) / F.count("*")).alias("_idf"))
+    rows = stage(sets.select("movieId", "n", F.explode(F.split("words", " ")).alias("word")), "title-words")
+    n = sets.agg(F.sum("n")).first()[0] or 0
+    rarity = rows.groupBy("word").agg(F.log(1 + F.lit(float(n)) / F.sum("n")).alias("_idf"))
+    rows = rows.filter("movieId IS NOT NULL").drop("n")
     weighted = stage(attach(rows, [KeyedTable.write(rarity, ["word"], "word-rarity")]), "title-weights")
     length = weighted.groupBy("movieId").agg(F.sqrt(F.sum(F.col("_idf") * F.col("_idf"))).alias("_length"))
     sized = attach(weighted, [KeyedTable.write(length, ["movieId"], "title-lengths")])
@@ -67,7 +77,43 @@ def similar_titles(
 
     Similarities count to 9 places; equal ones go by the smaller movie id.
     """
-    vectors = title_vectors(movies)
+    titles = word_sets(movies)
+    sets = titles.groupBy("words").agg(F.min("movieId").alias("movieId"), F.count("*").alias("n"))
+    sets = stage(sets, "distinct-sets")
+    # The movies of all sets come by similarity and then by id. Of one set only its first k + 1 can be
+    # among a movie's k best and the movie itself, and so can only the sets with the k + 1 best firsts.
+    near = _nearest_sets(title_vectors(sets), k + 1, first_block, largest_block, small_bytes)
+    here = sets.filter("movieId IS NOT NULL").select("words", F.col("movieId").alias("_set"))
+    same = here.select(F.col("_set").alias("movieId"), F.col("_set").alias("similar"), F.lit(1.0).alias("similarity"))
+    members = Window.partitionBy("words").orderBy("movieId")
+    firsts = titles.filter("movieId IS NOT NULL").withColumn("_i", F.row_number().over(members)).filter(F.col("_i") <= k + 1)
+    firsts = firsts.groupBy("words").agg(F.collect_list("movieId").alias("_members"))
+    named = KeyedTable.write(here, ["words"], "set-names")
+    firsts = attach(firsts, [named], small_bytes).select(F.col("_set").alias("similar"), "_members")
+    offered = attach(
+        near.select("movieId", "similar", "similarity").unionByName(same),
+        [KeyedTable.write(firsts, ["similar"], "first-members")],
+        small_bytes,
+    )
+    offered = offered.select(F.col("movieId").alias("_set"), F.explode("_members").alias("similar"), "similarity")
+    best = Window.partitionBy("_set").orderBy(F.desc("similarity"), F.asc("similar"))
+    listed = offered.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k + 1)
+    listed = listed.groupBy("_set").agg(F.array_sort(F.collect_list(F.struct("rank", "similar", "similarity"))).alias("_best"))
+    listed = KeyedTable.write(listed, ["_set"], "best-of-sets", array_items=4 * (k + 1))
+    asking = titles.filter("movieId IS NOT NULL")
+    told = attach(attach(asking, [named], small_bytes), [listed], small_bytes)
+    # A movie skips itself; all of a set's movies otherwise have the same list.
+    others = F.slice(F.filter("_best", lambda x: x["similar"] != F.col("movieId")), 1, k)
+    return told.select("movieId", F.posexplode(others).alias("_i", "_x")).select(
+        "movieId",
+        (F.col("_i") + 1).cast("bigint").alias("rank"),
+        F.col("_x.similar").alias("similar"),
+        F.col("_x.similarity").alias("similarity"),
+    )
+
+
+def _nearest_sets(vectors: DataFrame, k: int, first_block: int, largest_block: int, small_bytes: int) -> DataFrame:
+    """movieId, similar and similarity above 0 of each set's k nearest other ones, named by movies."""
     lists = placed(vectors.withColumn("_down", -F.col("weight")), ["word"], "_down", ["movieId"], "_place").drop("_down")
     lists = stage(lists, "word-lists")
     longest = lists.agg(F.max("_place")).first()[0] or 0
@@ -123,4 +169,4 @@ def similar_titles(
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.filter("similarity > 0").select("movieId", F.col("rank").cast("bigint").alias("rank"), "similar", "similarity")
+    return out.filter("similarity > 0").select("movieId", "similar", "similarity")

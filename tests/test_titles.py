@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from starfit.operators import titles as operators
 from starfit.operators.titles import block_ends, similar_titles
 
 
@@ -40,3 +41,22 @@ def test_similar_titles_equal_comparing_all_pairs(spark, first, largest, small_b
 def test_blocks_grow_up_to_the_largest():
     assert block_ends(2, 16, 50) == [2, 18, 34, 50]
     assert block_ends(64, 32_768, 3) == [3] and block_ends(64, 32_768, 0) == [0]
+
+
+def test_copies_of_a_title_are_compared_once(spark, monkeypatch):
+    titles = {m: ("large ring", "hot ring", "large bolt", "Ring LARGE")[m % 4] for m in range(400)}
+    sizes = []
+    real = operators.attach
+
+    def counted(rows, tables, *rest):
+        if any(t.keys == ("similar",) and "_theirs" in t.frame.columns for t in tables):
+            sizes.append(rows.count())
+        return real(rows, tables, *rest)
+
+    monkeypatch.setattr(operators, "attach", counted)
+    movies = spark.createDataFrame([*titles.items(), (None, "hot ring")], "movieId int, title string")
+    found = similar_titles(movies, 3).collect()
+    got = {(r.movieId, r["rank"]): r.similar for r in found}
+    assert max(sizes) <= 9 and len(got) == 3 * len(titles)
+    assert [got[0, i] for i in (1, 2, 3)] == [3, 4, 7] and [got[5, i] for i in (1, 2, 3)] == [1, 9, 13]
+    assert all(r.similarity == 1 for r in found)
