@@ -56,14 +56,13 @@ def _ranking(seen: DataFrame, model: EffectsModel, shared: Sequence[Level], digi
     return stage(placed(scored, ["genres"], "_down", ["movieId"], "_place").drop("_down"), "genre-lists")
 
 
-def _unseen_stretches(seen: DataFrame, by_movie: KeyedTable, sizes: KeyedTable, n: int) -> DataFrame:
+def _unseen_stretches(watched: DataFrame, sizes: KeyedTable, n: int) -> DataFrame:
     """userId, genres, _from, _to, _skipped of the first unseen movies of lists with seen ones.
 
     A stretch holds the places from ``_from`` to ``_to``; ``_skipped`` unseen ones are before it.
     Stretches with n or more unseen places before them are left out.
     """
-    watched = attach(seen.select("userId", "movieId").distinct(), [by_movie]).filter("_place IS NOT NULL")
-    watched = stage(watched.select(*LIST, "_place", F.lit(1).cast("bigint").alias("_one")), "seen-places")
+    watched = watched.withColumn("_one", F.lit(1).cast("bigint"))
     counted = sums_before(watched, LIST, "_place", ["_one"])
     start = F.coalesce("_place_before", F.lit(0)) + 1
     between = counted.select(
@@ -79,11 +78,9 @@ def _unseen_stretches(seen: DataFrame, by_movie: KeyedTable, sizes: KeyedTable,
     return between.unionByName(tails).filter((F.col("_from") <= F.col("_to")) & (F.col("_skipped") < n))
 
 
-def _own_lists(seen: DataFrame, model: EffectsModel, own: Sequence[Level], ranking: DataFrame) -> DataFrame:
+def _own_lists(met: DataFrame, users: DataFrame, model: EffectsModel, own: Sequence[Level], ranking: DataFrame) -> DataFrame:
     """userId, genres and _shift of the lists that a user has an effect for or has seen from."""
-    by_movie = KeyedTable.measure(ranking.select("movieId", "genres"), ["movieId"])
-    met = attach(seen.select("userId", "movieId").distinct(), [by_movie]).select(*LIST)
-    users = KeyedTable.write(seen.select("userId", F.lit(True).alias("_asks")).distinct(), ["userId"], "users")
+    users = KeyedTable.measure(users.withColumn("_asks", F.lit(True)), ["userId"])
     for level in own:
         felt = attach(model.effects(level).select(*LIST), [users]).filter("_asks")
         met = met.unionByName(felt.select(*LIST))
@@ -126,15 +123,16 @@ def recommend_from_lists(seen: DataFrame, model: EffectsModel, n: int, digits: i
     heads = stage(placed(stage(heads, "heads"), ["_all"], "_down", ["movieId"], "_order"), "list-order")
 
     users = stage(seen.select("userId").distinct(), "users")
-    lists = stage(_own_lists(seen, model, own, ranking), "own-lists")
-    stretches = stage(_unseen_stretches(seen, by_movie, sizes, n), "unseen")
+    met = attach(seen.select("userId", "movieId").distinct(), [by_movie]).select(*LIST, "_place")
+    met = stage(met, "seen-places")
+    watched = met.filter("_place IS NOT NULL")
+    # Looked up once: what is seen tells a user's lists, their stretches and which are untouched.
+    lists = stage(_own_lists(met.select(*LIST), users, model, own, ranking), "own-lists")
+    stretches = stage(_unseen_stretches(watched, sizes, n), "unseen")
 
     # Lists without a seen movie are one stretch.
     touched = KeyedTable.write(
-        attach(seen.select("userId", "movieId").distinct(), [by_movie])
-        .filter("_place IS NOT NULL")
-        .select(*LIST, F.lit(True).alias("_touched"))
-        .distinct(),
+        watched.select(*LIST, F.lit(True).alias("_touched")).distinct(),
         LIST,
         "touched",
     )
