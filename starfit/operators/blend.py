@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starfit.functions import row_hash
 from starfit.operators.effects import RATING, Level
-from starfit.operators.keyed import SMALL_BYTES
+from starfit.operators.keyed import SMALL_BYTES, HotKeys
 from starfit.operators.variants import fit_variants
 from starfit.sources.staging import stage
 
@@ -41,14 +41,15 @@ def out_of_fold(
     out = stage(rows.withColumn("fold", fold.cast("int")), "folds")
     keys = dict.fromkeys(k for levels in models.values() for level in levels for k in level.keys)
     base = out.select(*keys, RATING, "fold")
+    hot = HotKeys(base)
     conditions = [f"fold <> {k}" for k in range(folds)]
     for name, levels in models.items():
         fitted = fit_variants(base, conditions, levels, lam, small_bytes)
         effects = " + ".join(fitted.effect(level, "fold") for level in levels)
         drop = [c for level in levels for c in (level.effect, level.count)]
-        scored = fitted.attach(out, small_bytes).withColumn(name, F.expr(effects)).drop(*drop)
-        out = stage(scored.withColumn("mu", F.expr(fitted.mu("fold"))), "out-of-fold")
-    return out
+        scored = fitted.attach(out, small_bytes, hot).withColumn(name, F.expr(effects)).drop(*drop)
+        out = scored.withColumn("mu", F.expr(fitted.mu("fold")))
+    return stage(out, "out-of-fold")
 
 
 def non_negative(gram: np.ndarray, sides: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from starfit.operators import blend as blend_operators
 from starfit.operators.backtest import backtest, time_origins
 from starfit.operators.blend import blend_weights, blended, non_negative, out_of_fold
 from starfit.operators.effects import GENRE, MOVIE, USER, fit_effects
@@ -88,3 +89,14 @@ def test_weights_are_optimal_and_not_negative():
         w = non_negative(gram, sides)
         slope = gram @ w - sides  # the conditions of the best non-negative weights
         assert (w >= 0).all() and (slope >= -1e-9).all() and abs(slope @ w) < 1e-9
+
+
+def test_rows_are_written_once_whatever_the_number_of_models(spark, monkeypatch):
+    names = []
+    real = blend_operators.stage
+    monkeypatch.setattr(blend_operators, "stage", lambda frame, name: names.append(name) or real(frame, name))
+    rows = [(k, k % 5, k % 7, float(k % 4)) for k in range(60)]
+    frame = spark.createDataFrame(rows, "id int, userId int, movieId int, rating double")
+    scored = out_of_fold(frame, {"movie": [MOVIE], "user": [USER], "both": [MOVIE, USER]}, 3, 1.0, ["id"])
+    assert names == ["folds", "out-of-fold"] and scored.count() == 60
+    assert scored.columns == ["id", "userId", "movieId", "rating", "fold", "movie", "mu", "user", "both"]
