@@ -42,13 +42,13 @@ def backtest(
     rows = stage(rows, "sliced")
     fitted = fit_variants(rows, [f"_slice <= {k}" for k in range(len(origins))], [MOVIE, USER], lam, small_bytes)
     at = "_slice - 1"
-    tested = fitted.attach(rows.filter("_slice > 0"), small_bytes).selectExpr(
+    tested = fitted.scored(rows.filter("_slice > 0"), at, small_bytes).selectExpr(
         "_slice AS origin",
         RATING,
         f"{fitted.mu(at)} AS _mu",
-        f"{fitted.effect(MOVIE, at)} AS _movie",
-        f"{fitted.effect(USER, at)} AS _user",
-        f"coalesce(get({MOVIE.count}, {at}), 0L) > 0 AND coalesce(get({USER.count}, {at}), 0L) > 0 AS _known",
+        f"{MOVIE.effect} AS _movie",
+        f"{USER.effect} AS _user",
+        f"{MOVIE.count} > 0 AND {USER.count} > 0 AS _known",
     )
 
     def error(*parts: str):

@@ -41,6 +41,18 @@ class Variants:
         """``rows`` with an array of effects and one of counts for each level."""
         return attach(rows, self.tables, small_bytes, hot)
 
+    def scored(self, rows: DataFrame, at: str, small_bytes: int = SMALL_BYTES) -> DataFrame:
+        """``rows`` with each level's effect and count, 0 for unseen keys, in the variant ``at`` of the row.
+
+        Only the row's own variant is shipped on to the next level's lookup.
+        """
+        hot = HotKeys(rows)
+        for level, table in zip(self.chain, self.tables):
+            count = f"coalesce(get({level.count}, {at}), 0L)"
+            own = {level.effect: F.expr(self.effect(level, at)), level.count: F.expr(count)}
+            rows = attach(rows, [table], small_bytes, hot).withColumns(own)
+        return rows
+
 
 def fit_variants(
     rows: DataFrame,
