@@ -33,7 +33,7 @@ def history(ratings: DataFrame, key: str, prefix: str) -> DataFrame:
         key,
         TIME,
         F.col("n_before").alias(f"{prefix}_ratings"),
-        F.when(F.col("n_before") > 0, F.col("s_before") / F.col("n_before")).alias(f"{prefix}_mean"),
+        F.col("s_before").alias(f"_{prefix}_sum"),  # takes less room in a shuffle than the mean
         (F.col(TIME) - F.col(f"{TIME}_before")).alias(f"{prefix}_idle"),
     )
 
@@ -49,4 +49,9 @@ def point_in_time(
     the rating before (null without one).
     """
     tables = [KeyedTable.write(history(ratings, key, prefix), [key, TIME], f"{prefix}-history") for key, prefix in of]
-    return attach(ratings, tables, small_bytes)
+    found = attach(ratings, tables, small_bytes)
+    features = []
+    for _, prefix in of:
+        n, total = F.col(f"{prefix}_ratings"), F.col(f"_{prefix}_sum")
+        features += [n, F.when(n > 0, total / n).alias(f"{prefix}_mean"), F.col(f"{prefix}_idle")]
+    return found.select(*ratings.columns, *features)
