@@ -3,7 +3,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from starfit.operators.keyed import KeyedTable, attach, grouped_sums, hot_keys, require_unique
+from starfit.operators import keyed as keyed_operators
+from starfit.operators.keyed import HotKeys, KeyedTable, attach, grouped_sums, hot_keys, require_unique
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,32 @@ def test_wide_sums_agree_however_they_are_shuffled(skewed):
     late = grouped_sums(skewed, ["k"], sums, group_bytes=1 << 40)
     as_set = lambda frame: {tuple(r) for r in frame.collect()}
     assert as_set(early) == as_set(late)
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 8192])
+def test_hot_keys_are_the_same_however_keys_fall_together(monkeypatch, skewed, buckets):
+    monkeypatch.setattr(keyed_operators, "HASH_BUCKETS", buckets)
+    assert {(r.k, r._parts) for r in hot_keys(skewed, ["k"]).collect()} == {(1, 2)}
+    assert {(r.k, r._parts) for r in hot_keys(skewed, ["k"], total=5000).collect()} == {(1, 2), (None, 2), (7, 2)}
+
+
+def test_hot_keys_ship_buckets_and_not_every_key(spark, monkeypatch):
+    shipped = []
+    real = keyed_operators.stage
+    monkeypatch.setattr(keyed_operators, "stage", lambda frame, name: shipped.append(frame) or real(frame, name))
+    assert hot_keys(spark.range(50_000).withColumnRenamed("id", "k"), ["k"]).count() == 0
+    plan = shipped[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan  # no bucket is large, so no key is counted
+
+
+def test_total_is_not_counted_apart(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).withColumnRenamed("id", "k").mapInArrow(seen, "k long")
+    assert HotKeys(rows).of(["k"]).count() == 0
+    assert counted.value == 1000

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfit.functions import row_hash
+from starfit.operators.keyed import HotKeys
 from starfit.operators.partition import (
     enrich,
     known_to_rest,
@@ -160,3 +161,19 @@ def test_default_hash_covers_all_columns(spark):
     for part in (parts.train, parts.validation, parts.holdout):
         total += multiset(part, frame.columns)
     assert total == multiset(frame)
+
+
+def test_given_hot_keys_spare_working_out_the_ratings(spark, no_auto_broadcast):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    ids = spark.range(600).selectExpr("int(id % 7) AS movieId")
+    ratings = ids.mapInArrow(seen, "movieId int")
+    movies = spark.createDataFrame([(k, f"t{k}", "g") for k in range(5)], "movieId int, title string, genres string")
+    out = enrich(ratings, movies, 0, HotKeys(ids))
+    assert counted.value == 0
+    assert out.filter("title IS NULL").count() == sum(k % 7 >= 5 for k in range(600))

@@ -113,3 +113,9 @@ def test_staged_tables_read_back(spark):
 def test_unknown_field_type(spark, written):
     with pytest.raises(ValueError, match="no reader"):
         read_delimited(spark, written("a.dat", ["1"]), [("a", "map")])
+
+
+def test_staged_tables_are_written_compactly(spark):
+    frame = stage(spark.range(20_000).selectExpr("concat_ws('|', hash(id), hash(id + 7)) AS text"), "compact")
+    names = frame.inputFiles()
+    assert names and all(".zstd." in name for name in names)
