@@ -154,7 +154,8 @@ def recommend_from_lists(seen: DataFrame, model: EffectsModel, n: int, digits: i
 
     named = kept.select(F.col("userId").alias("_u"), F.col("genres").alias("_g"), "_need")
     on = same_key([every["userId"], every["genres"]], [named["_u"], named["_g"]])
-    wanted = every.join(named, on & (every["_skipped"] < named["_need"]))
+    # Up to n lists a user, whose files are small: without the hint Spark may broadcast them.
+    wanted = every.join(named.hint("merge"), on & (every["_skipped"] < named["_need"]))
     last = F.least(F.col("_to"), F.col("_from") + F.col("_need") - F.col("_skipped") - 1)
     places = wanted.select(*LIST, "_shift", F.explode(F.sequence("_from", last)).alias("_place"))
     offered = attach(places, [by_place]).withColumn("_score", scored)

@@ -54,6 +54,15 @@ def test_hot_rows_are_spread_over_the_shuffle(spark, skewed, table, no_auto_broa
     assert hot._parts >= 2
 
 
+def test_a_large_table_in_small_files_is_not_broadcast(skewed, table):
+    """Spark would broadcast the table by the size of its files."""
+    keyed = KeyedTable.write(table, ["k"], "t")
+    joined = attach(skewed, [keyed], small_bytes=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin[^\n]*_cold", plan)
+    assert joined.orderBy("v").collect() == attach(skewed, [keyed]).orderBy("v").collect()
+
+
 def test_measured_size(table):
     keyed = KeyedTable.write(table, ["k"], "t")
     assert keyed.n_rows == 392

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -47,6 +48,14 @@ def test_merged_lists_equal_ranking_all_pairs(spark, seed, n):
     assert {(r.userId, r["rank"]): (r.movieId, round(r.pred, 9)) for r in found} == by_all_pairs(rows, model, n)
 
 
+def test_the_lists_kept_for_all_users_are_not_broadcast(spark):
+    train = spark.createDataFrame(draw_seen(2), "userId int, movieId int, rating double, genres string")
+    model = fit_effects(train, [MOVIE, USER, GENRE], 1.0).plus(train, USER_GENRE, 1.0)
+    found = recommend.recommend(train.select("userId", "movieId", "genres"), model, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"(\w+Join) [^\n]*_skipped#\d+L? < [^\n]*_need#", plan) == ["SortMergeJoin"]
+
+
 def test_other_levels_are_refused(spark, mini_train):
     model = fit_effects(mini_train, [MOVIE])
     odd = keyed.KeyedTable.write(mini_train.select("userId", "movieId").distinct(), ["userId", "movieId"], "odd")
