@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from starfit.operators.effects import MOVIE, USER, fit_effects
-from starfit.operators.timed import DAY, YEAR, MovieBins, UserDrift
+from starfit.operators.timed import DAY, YEAR, MovieBins, UserDrift, banded_effects
 
 WEEK = 7 * DAY
 
@@ -94,3 +94,21 @@ def test_drift_equals_ridge_regression(rated):
     a, d, _ = found[1]
     assert got[1, 99] == pytest.approx(base[1, 99] + a + d * (99 - origin) / YEAR)
     assert got[500, 99] == base[500, 99] and got[1, None] == base[1, None]
+
+
+@pytest.mark.parametrize(("smooth", "ridge"), [(0.0, 0.0), (3.0, 0.0), (3.0, 1.5)])
+def test_many_movies_solved_at_once_equal_dense_solves(smooth, ridge):
+    draw = np.random.default_rng(1)
+    sizes = [3, 1, 0, 7, 2, 7, 1]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    bins = np.concatenate([np.sort(draw.choice(40, k, replace=False)) for k in sizes])
+    n, s = draw.integers(1, 9, len(bins)), draw.normal(size=len(bins))
+    found = banded_effects(offsets, bins, n, s, smooth, ridge)
+    for a, b in zip(offsets, offsets[1:]):
+        system = np.diag(n[a:b] + ridge)
+        for k in range(b - a - 1):
+            pull = smooth / (bins[a + k + 1] - bins[a + k])
+            system[k : k + 2, k : k + 2] += pull * np.array([[1, -1], [-1, 1]])
+        if a < b:
+            assert found[a:b] == pytest.approx(np.linalg.solve(system, s[a:b]), abs=1e-12)
+    assert len(banded_effects(np.zeros(1, int), bins[:0], n[:0], s[:0], smooth, ridge)) == 0
